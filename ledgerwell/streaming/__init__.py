@@ -1,0 +1 @@
+"""Left empty on purpose: the ledger is rebuilt in batch and has no streaming operator."""
