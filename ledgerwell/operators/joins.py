@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -24,11 +23,11 @@ class Size:
         return self.rows <= limits.broadcast_rows and self.bytes <= limits.broadcast_bytes
 
 
-def measure(df: DataFrame) -> Size:
-    """Rows and text bytes, counted in parallel with one row per task sent back."""
+def measure(df: DataFrame, *facts: Column) -> tuple[Size, tuple]:
+    """Rows and text bytes, and further aggregates; counted in parallel, one row per task is sent back."""
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(1)) for c in df.columns), F.lit(0))
-    row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return Size(row[0], row[1])
+    row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)), *facts).first()
+    return Size(row[0], row[1]), tuple(row[2:])
 
 
 class Dimension:
@@ -39,7 +38,7 @@ class Dimension:
 
     @cached_property
     def size(self) -> Size:
-        return measure(self.df)
+        return measure(self.df)[0]
 
     def select(self, *columns: Column | str) -> Dimension:
         """Narrower table; the size of the whole one bounds it."""
@@ -48,59 +47,68 @@ class Dimension:
         return narrow
 
 
-def hot_keys(df: DataFrame, key: str, limits: Limits) -> DataFrame:
-    """Keys with too many rows for one task, and over how many tasks (``parts``) to spread each.
+def hot_keys(keys: Column, df: DataFrame, limits: Limits) -> DataFrame:
+    """Hashes of keys with too many rows for one task (``_key``), and over how many tasks to spread each.
 
     The counts combine before the shuffle. There are fewer than rows / threshold such keys, and the
-    threshold rises until the list is short enough to broadcast.
+    threshold rises until the list is short enough to broadcast. Keys are listed by hash, so that long
+    texts cost no more than short ones; keys that share a hash are merely spread together.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.filter(keys.isNotNull()).groupBy(F.xxhash64(keys).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     threshold = limits.hot_key_rows
     while counts.filter(F.col("_n") > threshold).count() > limits.hot_keys:
         threshold *= 10
     hot = counts.filter(F.col("_n") > threshold)
-    return hot.select(key, F.ceil(F.col("_n") / F.lit(threshold)).cast("int").alias("parts"))
+    return F.broadcast(hot.select("_key", F.ceil(F.col("_n") / F.lit(threshold)).cast("int").alias("_parts")))
 
 
-def _slot(df: DataFrame) -> Column:
-    """Row hash: repeatable, so a recomputed task sends its rows to the same place."""
-    return F.xxhash64(*df.columns)
+def deal(df: DataFrame, key: str, hot: DataFrame, copies: bool = False) -> DataFrame:
+    """Give each row one slot (``_slot``) among those of its key.
 
+    The slot follows from the row's content, so a recomputed task sends its rows to the same place. Where
+    exact copies are possible (``copies``) the row's position tells them apart; the input then has to keep
+    its order when recomputed, as scans and sorted groups do. NULL keys match nothing and may go anywhere.
+    """
+    content = [*df.columns, *([F.monotonically_increasing_id()] if copies else [])]
+    spread = F.when(F.col(key).isNull(), F.lit(NULL_PARTS)).otherwise(F.coalesce(F.col("_parts"), F.lit(1)))
+    hashed = df.withColumns({"_row": F.xxhash64(*content), "_key": F.xxhash64(key)}).join(hot, "_key", "left")
+    return hashed.withColumn("_slot", F.pmod(F.col("_row"), spread).cast("int")).drop("_row", "_key", "_parts")
+
+
+def copy_to_slots(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Repeat each row for every slot of its key; NULL keys match nothing and are left out."""
+    known = df.filter(F.col(key).isNotNull()).withColumn("_key", F.xxhash64(key)).join(hot, "_key", "left")
+    slots = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    return known.withColumn("_slot", F.explode(slots)).drop("_key", "_parts")
 
-def spread_left_join(left: DataFrame, right: DataFrame, key: str, limits: Limits) -> DataFrame:
+
+def spread_left_join(
+    left: DataFrame, right: DataFrame, key: str, limits: Limits, copies: bool = False
+) -> DataFrame:
     """Shuffled left join in which rows of a hot left key are dealt out over several copies of the right."""
-    hot = F.broadcast(hot_keys(left.select(key), key, limits))
-    parts = F.coalesce(F.col("parts"), F.lit(1))
-    # NULL keys match nothing, so they may go anywhere.
-    anywhere = F.when(F.col(key).isNull(), F.lit(NULL_PARTS)).otherwise(parts)
-    dealt = left.withColumn("_slot", _slot(left)).join(hot, key, "left")
-    dealt = dealt.withColumn("_slot", F.pmod(F.col("_slot"), anywhere).cast("int")).drop("parts")
-    copies = right.filter(F.col(key).isNotNull()).join(hot, key, "left")
-    copies = copies.withColumn("_slot", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
-    return dealt.join(copies, [key, "_slot"], "left").drop("_slot")
+    hot = hot_keys(F.col(key), left, limits)
+    dealt = deal(left, key, hot, copies)
+    return dealt.join(copy_to_slots(right, key, hot), [key, "_slot"], "left").drop("_slot")
 
 
 def lookup(left: DataFrame, right: Dimension, key: str, limits: Limits) -> DataFrame:
     """Left join of many rows to a table with few rows per key."""
     if right.size.within(limits):
         return left.join(F.broadcast(right.df), key, "left")
-    return spread_left_join(left, right.df, key, limits)
+    return spread_left_join(left, right.df, key, limits, copies=True)
 
 
 def fan_out(left: DataFrame, right: Dimension, key: str, limits: Limits) -> DataFrame:
     """Left join where each key occurs at most once on the left and any number of times on the right.
 
-    Beyond the broadcast bound a right key with many rows stays where its rows are: the one left row
-    travels to them instead.
+    Beyond the broadcast bound the rows of a hot right key are dealt out, and the one left row is copied to
+    them. Such a key surely has matches, so its left row needs no outer join.
     """
-    fits, right = right.size.within(limits), right.df.filter(F.col(key).isNotNull())
-    if fits:
-        return left.join(F.broadcast(right), key, "left")
-    hot = hot_keys(right.select(key), key, limits).select(key)
-    cool = left.join(F.broadcast(hot), key, "left_anti").join(
-        right.join(F.broadcast(hot), key, "left_anti"), key, "left"
-    )
-    # As many left rows as hot keys, so within the bound of the list.
-    few = left.join(F.broadcast(hot), key, "left_semi")
-    columns: Sequence[str] = cool.columns
-    return cool.unionByName(right.join(F.broadcast(few), key).select(*columns))
+    matchable = right.df.filter(F.col(key).isNotNull())
+    if right.size.within(limits):
+        return left.join(F.broadcast(matchable), key, "left")
+    known = matchable.select(key).distinct()
+    hot = hot_keys(F.col(key), matchable, limits)
+    copies = copy_to_slots(left.join(known, key, "left_semi"), key, hot)
+    matched = copies.join(deal(matchable, key, hot, copies=True), [key, "_slot"]).drop("_slot")
+    return matched.unionByName(left.join(known, key, "left_anti"), allowMissingColumns=True)

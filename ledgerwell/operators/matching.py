@@ -9,20 +9,18 @@ the keyword holds that piece too. ``contains`` then confirms each candidate, so
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwell.config import LedgerConfig, Limits
 from ledgerwell.functions.text import blank_to_null, normalise
-from ledgerwell.operators.joins import Size, hot_keys, measure, spread_left_join
+from ledgerwell.operators.joins import Size, copy_to_slots, deal, hot_keys, measure, spread_left_join
 from ledgerwell.operators.topk import first_by
 from ledgerwell.schemas import UNIFIED_COLUMNS
 
 GRAM = 3
-# Distinct pieces of up to three letters of a 37-letter alphabet: 1 + 37 + 37^2 + 37^3.
-MAX_GRAMS = 52_060
 
 KEYWORD = "match_key"
 TEXT = "match_text"
@@ -48,7 +46,7 @@ def anchored(dictionary: DataFrame) -> DataFrame:
     """
     long = dictionary.filter(F.length(KEYWORD) >= GRAM)
     pieces = _pieces(long.select(KEYWORD), KEYWORD, (GRAM,), sentinel=False)
-    # Bounded by MAX_GRAMS whatever the dictionary holds.
+    # At most 37^3 = 50,653 pieces exist, whatever the dictionary holds.
     frequency = pieces.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     rarest = (
         pieces.join(F.broadcast(frequency), "_gram")
@@ -59,12 +57,20 @@ def anchored(dictionary: DataFrame) -> DataFrame:
     return filed.withColumn("_gram", F.coalesce("_rarest", KEYWORD)).drop("_rarest")
 
 
-def piece_sizes(dictionary: DataFrame) -> list[int]:
-    """Piece sizes that the dictionary's keywords need."""
-    lengths = dictionary.agg(
-        *(F.max(F.length(KEYWORD) == n).alias(f"n{n}") for n in (1, 2)), F.max(F.length(KEYWORD) >= GRAM).alias("n3")
-    ).first()
-    return [n for n in (1, 2, GRAM) if lengths[f"n{n}"]] or [GRAM]
+@dataclass(frozen=True)
+class Profile:
+    """What the choice of a strategy needs to know about a dictionary."""
+
+    size: Size
+    sizes: tuple[int, ...]
+
+
+def profile_of(dictionary: DataFrame) -> Profile:
+    """Size of the dictionary and the piece sizes its keywords need, in one pass."""
+    short = [F.coalesce(F.max(F.length(KEYWORD) == n), F.lit(False)) for n in range(1, GRAM)]
+    long = F.coalesce(F.max(F.length(KEYWORD) >= GRAM), F.lit(False))
+    size, flags = measure(dictionary, *short, long)
+    return Profile(size, tuple(n for n, used in enumerate(flags, 1) if used) or (GRAM,))
 
 
 def match_nested(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -72,7 +78,7 @@ def match_nested(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(dictionary), F.contains(F.col(TEXT), F.col(KEYWORD)), "left")
 
 
-def match_grams(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+def match_grams(rows: DataFrame, dictionary: DataFrame, profile: Profile) -> DataFrame:
     """Rows meet a broadcast dictionary by piece, without moving.
 
     The empty piece of each row meets an all-NULL entry, which keeps rows without a match. A row may
@@ -82,26 +88,25 @@ def match_grams(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in dictionary.schema]
     unmatched = rows.sparkSession.range(1).select(*nulls, F.lit("").alias("_gram"))
     entries = entries.unionByName(unmatched)
-    candidates = _pieces(rows, TEXT, piece_sizes(dictionary), sentinel=True).join(F.broadcast(entries), "_gram")
+    candidates = _pieces(rows, TEXT, profile.sizes, sentinel=True).join(F.broadcast(entries), "_gram")
     return candidates.filter(F.col(KEYWORD).isNull() | F.contains(F.col(TEXT), F.col(KEYWORD))).drop("_gram")
 
 
-def match_shuffled(rows: DataFrame, dictionary: DataFrame, order: Sequence[Column], limits: Limits) -> DataFrame:
+def match_shuffled(
+    rows: DataFrame, dictionary: DataFrame, profile: Profile, order: Sequence[Column], limits: Limits
+) -> DataFrame:
     """Dictionary too large to broadcast: each distinct text is matched once, then joined back.
 
     Texts and keywords meet by piece in a shuffled join. A piece found in very many texts is split over
-    several tasks, with copies of its keywords in each.
+    several tasks, with copies of its keywords in each. Exact copies of a row are dropped at the start:
+    they share their ``source_hash``, by which the caller keeps one row anyway.
     """
+    rows = rows.distinct()
     texts = rows.select(TEXT).filter(F.col(TEXT).isNotNull()).distinct()
-    pieces = _pieces(texts, TEXT, piece_sizes(dictionary), sentinel=True)
-    # At most MAX_GRAMS pieces exist, hence no bound to search for.
-    hot = F.broadcast(hot_keys(pieces.select("_gram"), "_gram", replace(limits, hot_keys=MAX_GRAMS)))
-    parts = F.coalesce(F.col("parts"), F.lit(1))
-    dealt = pieces.join(hot, "_gram", "left").withColumn("_slot", F.pmod(F.xxhash64(TEXT), parts).cast("int"))
-    copies = anchored(dictionary).join(hot, "_gram", "left")
-    copies = copies.withColumn("_slot", F.explode(F.sequence(F.lit(0), parts - 1)))
-    found = dealt.drop("parts").join(copies.drop("parts"), ["_gram", "_slot"]).drop("_gram", "_slot")
-    found = found.filter(F.contains(F.col(TEXT), F.col(KEYWORD)))
+    pieces = _pieces(texts, TEXT, profile.sizes, sentinel=True)
+    hot = hot_keys(F.col("_gram"), pieces, limits)
+    found = deal(pieces, "_gram", hot).join(copy_to_slots(anchored(dictionary), "_gram", hot), ["_gram", "_slot"])
+    found = found.drop("_gram", "_slot").filter(F.contains(F.col(TEXT), F.col(KEYWORD)))
     return spread_left_join(rows, first_by(found, [TEXT], order), TEXT, limits)
 
 
@@ -115,12 +120,13 @@ def match_keywords(
     rows: DataFrame, dictionary: DataFrame, order: Sequence[Column], limits: Limits, way: str | None = None
 ) -> DataFrame:
     """Rows with candidate entries, the best by ``order`` among them; NULL entry where nothing matches."""
-    way = way or choose_match(measure(dictionary), limits)
+    profile = profile_of(dictionary)
+    way = way or choose_match(profile.size, limits)
     if way == "nested":
         return match_nested(rows, dictionary)
     if way == "grams":
-        return match_grams(rows, dictionary)
-    return match_shuffled(rows, dictionary, order, limits)
+        return match_grams(rows, dictionary, profile)
+    return match_shuffled(rows, dictionary, profile, order, limits)
 
 
 def _collapsed(entries: DataFrame, keyword: str, order: Sequence[Column], cfg: LedgerConfig) -> DataFrame:
