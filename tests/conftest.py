@@ -27,6 +27,8 @@ def warehouse(spark, cfg):
     return Warehouse(spark, TestData(spark, ROOT).inputs(), cfg)
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def resolved(warehouse):
-    return warehouse.int_transactions().cache()
+    df = warehouse.int_transactions().cache()
+    yield df
+    df.unpersist()
