@@ -31,7 +31,7 @@ def has_sign(amount: Column, sign: int) -> Column:
 
 @dataclass(frozen=True)
 class NatureRule:
-    """Nature of a statement line; every given field has to hold."""
+    """Nature of a statement line; every given field has to hold, cheap ones are tested first."""
 
     nature: str
     pattern: str | None = None
@@ -42,10 +42,10 @@ class NatureRule:
         parts = []
         if self.types:
             parts.append(kind.isin(*self.types))
-        if self.pattern is not None:
-            parts.append(matches(text, self.pattern))
         if self.sign is not None:
             parts.append(has_sign(amount, self.sign))
+        if self.pattern is not None:
+            parts.append(matches(text, self.pattern))
         return all_of(parts)
 
 

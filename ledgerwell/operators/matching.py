@@ -32,10 +32,12 @@ def _pieces(df: DataFrame, text: str, sizes: Sequence[int], sentinel: bool) -> D
         df = df.withColumn("_size", F.explode(F.array(*(F.lit(s) for s in sizes))))
     else:
         df = df.withColumn("_size", F.lit(sizes[0]))
-    last = F.greatest(F.coalesce(F.length(text), F.lit(0)) - F.col("_size") + 1, F.lit(0))
+    # Never NULL, or the join would test every piece for it.
+    whole = F.coalesce(F.col(text), F.lit(""))
+    last = F.greatest(F.length(whole) - F.col("_size") + 1, F.lit(0))
     df = df.withColumn("_pos", F.explode(F.sequence(F.lit(0), last)))
     df = df.filter((F.col("_pos") > 0) | ((F.col("_size") == sizes[0]) & F.lit(sentinel)))
-    piece = F.when(F.col("_pos") == 0, "").otherwise(F.substring(F.col(text), F.col("_pos"), F.col("_size")))
+    piece = F.when(F.col("_pos") == 0, "").otherwise(F.substring(whole, F.col("_pos"), F.col("_size")))
     return df.withColumn("_gram", piece).drop("_pos", "_size")
 
 

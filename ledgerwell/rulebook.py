@@ -23,7 +23,7 @@ REWARD = "REWARD"
 BIZUM = "BIZUM"
 
 # A word that starts with ANUL, wherever it stands.
-CANCELLED = r"(?<![\p{L}\p{N}_])ANUL"
+CANCELLED = r"ANUL(?<![\p{L}\p{N}_]ANUL)"
 
 
 @dataclass(frozen=True)
