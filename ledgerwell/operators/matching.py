@@ -46,17 +46,13 @@ def anchored(dictionary: DataFrame) -> DataFrame:
 
     Keywords shorter than three letters are their own piece, the empty keyword included.
     """
-    long = dictionary.filter(F.length(KEYWORD) >= GRAM)
-    pieces = _pieces(long.select(KEYWORD), KEYWORD, (GRAM,), sentinel=False)
-    # At most 37^3 = 50,653 pieces exist, whatever the dictionary holds.
+    starts = F.sequence(F.lit(1), F.greatest(F.length(KEYWORD) - GRAM + 1, F.lit(1)))
+    pieces = dictionary.withColumn("_pos", F.explode(starts))
+    pieces = pieces.withColumn("_gram", F.substring(F.col(KEYWORD), F.col("_pos"), F.lit(GRAM))).drop("_pos")
+    # At most 1 + 37 + 37^2 + 37^3 = 52,060 pieces exist, whatever the dictionary holds.
     frequency = pieces.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    rarest = (
-        pieces.join(F.broadcast(frequency), "_gram")
-        .groupBy(KEYWORD)
-        .agg(F.min(F.struct("_n", "_gram")).getField("_gram").alias("_rarest"))
-    )
-    filed = dictionary.join(rarest, KEYWORD, "left")
-    return filed.withColumn("_gram", F.coalesce("_rarest", KEYWORD)).drop("_rarest")
+    counted = pieces.join(F.broadcast(frequency), "_gram")
+    return first_by(counted, [KEYWORD], [F.col("_n"), F.col("_gram")]).drop("_n")
 
 
 @dataclass(frozen=True)

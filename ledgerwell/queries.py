@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,14 @@ KEY = ("source_hash", "source_row_id", "account_id")
 ADJUSTED = (*KEY, "adjustment_reason")
 
 
+@lru_cache(maxsize=8)
+def _warehouse(application: str, session: SparkSession, root: str) -> Warehouse:
+    return Warehouse(session, TestData(session, root).inputs(), CONFIG)
+
+
 def warehouse(spark: SparkSession, root: str) -> Warehouse:
-    return Warehouse(spark, TestData(spark, root).inputs(), CONFIG)
+    """Models over one folder: plans and table sizes are found once per application."""
+    return _warehouse(spark.sparkContext.applicationId, spark, root)
 
 
 def _stamped(df: DataFrame) -> DataFrame:
@@ -48,7 +55,7 @@ def text_normalise(w: Warehouse) -> DataFrame:
 
 
 def rules(way: str | None) -> Callable[[Warehouse], DataFrame]:
-    return lambda w: w.with_rule(way).select(*KEY, "rule_category_id", "rule_merchant", "rule_priority")
+    return lambda w: w.matched(way).select(*KEY, "rule_category_id", "rule_merchant", "rule_priority")
 
 
 def _data_calendar(w: Warehouse) -> DataFrame:

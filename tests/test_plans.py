@@ -35,7 +35,7 @@ def test_early_share_and_flag_are_pruned(core):
 
 
 def test_gram_lookup_is_a_hash_join(warehouse):
-    text = plan(warehouse.with_rule("grams").select("source_hash", "rule_category_id"))
+    text = plan(warehouse.matched("grams").select("source_hash", "rule_category_id"))
     assert "BroadcastHashJoin [_gram" in text
 
 
