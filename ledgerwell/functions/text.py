@@ -41,11 +41,12 @@ def varchar(value: Column, length: int) -> Column:
 def normalise(text: Column, fold_accents: bool = False) -> Column:
     """Lower-case text in which every run of non-alphanumeric ASCII is one space; not trimmed.
 
-    Accented letters are such a run unless they are folded first.
+    Accented letters are such a run unless they are folded first. The one class ``\\P{Alnum}``, ASCII in Java,
+    is many times faster than a negated union of ranges.
     """
     if fold_accents:
         text = F.translate(text, ACCENTED, PLAIN)
-    return F.lower(F.regexp_replace(text, "[^A-Za-z0-9]+", " "))
+    return F.lower(F.regexp_replace(text, r"\P{Alnum}+", " "))
 
 
 def title_case(text: Column) -> Column:
