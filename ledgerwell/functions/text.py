@@ -51,7 +51,10 @@ def normalise(text: Column, fold_accents: bool = False) -> Column:
 
 def title_case(text: Column) -> Column:
     """Capital after every non-alphanumeric character, unlike ``initcap`` (only after blanks)."""
-    runs = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
+    # A word with what separates it from the next one; separators at the start are a run of their own.
+    runs = F.regexp_extract_all(
+        F.lower(text), F.lit(r"[\p{L}\p{N}]+[^\p{L}\p{N}]*|[^\p{L}\p{N}]+"), F.lit(0)
+    )
     return F.array_join(
         F.transform(runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.substring(run, 2, 1 << 30))), ""
     )

@@ -95,6 +95,13 @@ def test_participants_longest_keyword_and_one_row_per_hash(spark, cfg, way):
     }
 
 
+@pytest.mark.parametrize("way", [None, *WAYS])
+def test_empty_dictionaries_leave_rows_unmatched(spark, cfg, way):
+    rows = spark.createDataFrame([("h", "A", 1, "PAGO"), ("i", "A", 2, None)], ROW)
+    out = m.attach_rule(rows, spark.createDataFrame([], RULE), cfg, way).collect()
+    assert sorted((r.source_hash, r.rule_category_id) for r in out) == [("h", None), ("i", None)]
+
+
 def test_accents_match_only_when_folded(spark, cfg):
     rows = spark.createDataFrame([("h", "A", 1, "PAGO LÓPEZ")], ROW)
     people = spark.createDataFrame([("Lopez", "Lopez")], "keyword string, person_name string")
