@@ -26,19 +26,27 @@ KEYWORD = "match_key"
 TEXT = "match_text"
 
 
-def _pieces(df: DataFrame, text: str, sizes: Sequence[int], sentinel: bool) -> DataFrame:
-    """One row per position and piece size; position 0 stands for the empty piece of every row."""
+def _pieces(df: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """One row per position and piece size, the piece hashed; position 0 is the empty piece of every row."""
     if len(sizes) > 1:
         df = df.withColumn("_size", F.explode(F.array(*(F.lit(s) for s in sizes))))
     else:
         df = df.withColumn("_size", F.lit(sizes[0]))
     # Never NULL, or the join would test every piece for it.
-    whole = F.coalesce(F.col(text), F.lit(""))
+    whole = F.coalesce(F.col(TEXT), F.lit(""))
     last = F.greatest(F.length(whole) - F.col("_size") + 1, F.lit(0))
     df = df.withColumn("_pos", F.explode(F.sequence(F.lit(0), last)))
-    df = df.filter((F.col("_pos") > 0) | ((F.col("_size") == sizes[0]) & F.lit(sentinel)))
+    df = df.filter((F.col("_pos") > 0) | (F.col("_size") == sizes[0]))
     piece = F.when(F.col("_pos") == 0, "").otherwise(F.substring(whole, F.col("_pos"), F.col("_size")))
-    return df.withColumn("_gram", piece).drop("_pos", "_size")
+    return df.withColumn("_gram", F.xxhash64(piece)).drop("_pos", "_size")
+
+
+def filed(dictionary: DataFrame) -> DataFrame:
+    """Anchored entries under the hash of their piece: numbers join faster than texts.
+
+    Pieces that share a hash only add candidates, and each candidate is confirmed.
+    """
+    return dictionary.withColumn("_gram", F.xxhash64("_gram"))
 
 
 def anchored(dictionary: DataFrame) -> DataFrame:
@@ -85,8 +93,8 @@ def match_grams(rows: DataFrame, dictionary: DataFrame, profile: Profile) -> Dat
     entries = anchored(dictionary)
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in dictionary.schema]
     unmatched = rows.sparkSession.range(1).select(*nulls, F.lit("").alias("_gram"))
-    entries = entries.unionByName(unmatched)
-    candidates = _pieces(rows, TEXT, profile.sizes, sentinel=True).join(F.broadcast(entries), "_gram")
+    entries = filed(entries.unionByName(unmatched))
+    candidates = _pieces(rows, profile.sizes).join(F.broadcast(entries), "_gram")
     return candidates.filter(F.col(KEYWORD).isNull() | F.contains(F.col(TEXT), F.col(KEYWORD))).drop("_gram")
 
 
@@ -101,9 +109,9 @@ def match_shuffled(
     """
     rows = rows.distinct()
     texts = rows.select(TEXT).filter(F.col(TEXT).isNotNull()).distinct()
-    pieces = _pieces(texts, TEXT, profile.sizes, sentinel=True)
+    pieces = _pieces(texts, profile.sizes)
     hot = hot_keys(F.col("_gram"), pieces, limits)
-    found = deal(pieces, "_gram", hot).join(copy_to_slots(anchored(dictionary), "_gram", hot), ["_gram", "_slot"])
+    found = deal(pieces, "_gram", hot).join(copy_to_slots(filed(anchored(dictionary)), "_gram", hot), ["_gram", "_slot"])
     found = found.drop("_gram", "_slot").filter(F.contains(F.col(TEXT), F.col(KEYWORD)))
     return spread_left_join(rows, first_by(found, [TEXT], order), TEXT, limits)
 
