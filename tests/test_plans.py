@@ -39,11 +39,11 @@ def test_gram_lookup_is_a_hash_join(warehouse):
     assert "BroadcastHashJoin [_gram" in text
 
 
-def test_large_dictionary_uses_no_broadcast_of_keywords(spark, cfg):
+def test_large_dictionary_is_joined_by_piece_and_slot(spark, cfg):
     rows = spark.createDataFrame([("h", "A", 1, "abc")], "source_hash string, account_id string, source_row_id bigint, description string")
     rules = spark.createDataFrame([("abc", "C", "M", 1)], "keyword string, category_id string, merchant_name string, priority int")
     text = plan(attach_rule(rows, rules, cfg, "shuffled"))
-    assert re.search(r"(SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[_gram#\d+, _slot", text)
+    assert re.search(r"(SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[_gram#\d+L, _slot", text)
 
 
 def test_marts_combine_before_the_shuffle(warehouse):
