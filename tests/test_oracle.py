@@ -6,6 +6,8 @@ import pytest
 import __spark_entry__ as entry
 from compare import TABLES, compare
 from conftest import ROOT
+from ledgerwell import queries as registry
+from ledgerwell.fixtures import oracle
 
 # The others are columns of these, or are compared by ``compare.py`` over the whole registry.
 CHECKED = [
@@ -40,7 +42,7 @@ def test_query_equals_sql(spark, connection, name):
 
 
 def test_every_query_has_its_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.MODELS) == set(oracle.QUESTIONS)
 
 
 def test_entry(spark):
