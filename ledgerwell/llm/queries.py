@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwell.llm import pieces
+from ledgerwell.llm import language, pieces
 from ledgerwell.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -33,8 +33,19 @@ def op4_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, root: str) -> DataFrame:
+    """Language of every whole text, learned from rows outside the held-out quarter."""
+    docs = table(spark, root, "documents")
+    part = language.remainder(F.col("doc_id"), 4)
+    model = language.fit(docs.filter(part != 2), "text", "lang", "doc_id")
+    asked = docs.select("doc_id", "text", F.coalesce(part == 2, F.lit(False)).alias("held_out"))
+    found = language.predict(asked, model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentencepiece": op4_sentencepiece,
+    "op7_language": op7_language,
 }
 
 ORACLES: dict[str, str] = {}
