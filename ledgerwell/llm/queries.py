@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwell.llm import language, pieces
+from ledgerwell.llm import language, pieces, quality
 from ledgerwell.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -43,7 +43,16 @@ def op7_language(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op3_quality(spark: SparkSession, root: str) -> DataFrame:
+    """Quality of every whole text, learned from the labels outside the held-out fifth."""
+    docs, labels = table(spark, root, "documents"), table(spark, root, "labels")
+    scored = quality.classify(docs, labels, language.remainder(F.col("doc_id"), 5) != 0)
+    held = F.coalesce(language.remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op4_sentencepiece": op4_sentencepiece,
     "op7_language": op7_language,
 }
