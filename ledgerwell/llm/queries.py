@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwell.llm import language, pieces, quality
+from ledgerwell.llm import language, pages, pieces, quality
 from ledgerwell.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -51,10 +51,17 @@ def op3_quality(spark: SparkSession, root: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op10_html(spark: SparkSession, root: str) -> DataFrame:
+    """Main text of every page."""
+    found = pages.extract(table(spark, root, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_sentencepiece": op4_sentencepiece,
     "op7_language": op7_language,
+    "op10_html": op10_html,
 }
 
 ORACLES: dict[str, str] = {}
