@@ -4,15 +4,18 @@ An encoding by merges is unique for every prefix of a text, so it is enough to k
 prefix. A token that ends a prefix is its last one exactly if merging leaves it apart from the last token of
 the prefix before it. An automaton finds the tokens that end at each place; ids are read backwards from the end.
 
-Spaces and line breaks bound the work: no vocabulary entry continues over a boundary between other characters
-and a following space, so a text is encoded word by word, with a bounded memory of words seen in the task.
+Some boundaries bound the work: no vocabulary entry continues over one between other characters and a following
+space, or between a closing letter and a following sign. So a text is encoded word by word, with a bounded
+memory of words seen by the Python worker.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -22,16 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 
 class Vocabulary:
-    """The pieces of a model file and the words met so far; built once in each task.
+    """The pieces of a model file and the words met so far; built once in each Python worker.
 
     ``remembered`` bounds the words and the pairs kept.
     """
 
-    def __init__(self, model: bytes, remembered: int = 300_000):
+    def __init__(self, model: bytes, remembered: int = 600_000):
         reader = sentencepiece.SentencePieceProcessor(model_proto=model)
         size = reader.get_piece_size()
         self.text = [reader.id_to_piece(i) for i in range(size)]
@@ -40,6 +42,7 @@ class Vocabulary:
         ]
         self.ids = {self.text[i]: i for i in plain}
         self.score = {i: reader.get_score(i) for i in plain}
+        self.length = [len(t) for t in self.text]
         self.bytes = {int(self.text[i][3:5], 16): i for i in range(size) if reader.is_byte(i)}
         self.unknown = reader.unk_id()
         # Runs of spaces merge after everything else and all at one score, so they are kept out of the table.
@@ -48,10 +51,26 @@ class Vocabulary:
             if not (len(piece) > 1 and piece.strip(SPACE) == "") and self.merged(piece) == [i]:
                 self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
+        self.words_of = self.boundaries()
         self.remembered = remembered
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
 
+    def boundaries(self) -> Callable[[str], list[str]]:
+        """Cuts a text where no piece can continue: before spaces, around line breaks, after closing letters.
+
+        Closing letters are followed within pieces by closing letters only.
+        """
+        if any("\n" in p and len(p) > 1 or SPACE in p.lstrip(SPACE) or p.startswith(SPACE * 2) and p.strip(SPACE) for p in self.ids):
+            raise ValueError("pieces of this vocabulary continue over spaces or lines")
+        pairs = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
+        closing = {c for pair in pairs for c in pair if c.isalpha()}
+        while open_ones := {a for a, b in pairs if a in closing and b not in closing}:
+            closing -= open_ones
+        letters = "".join(sorted(closing)) or "\n"
+        return re.compile(f"{SPACE}*(?:[^{letters}{SPACE}\n]+[{letters}]*|[{letters}]+)|{SPACE}+|\n").findall
+
     def merged(self, text: str) -> list[int]:
         """Ids by plain merging: the best-scored neighbours first, then the leftmost. For short strings."""
         parts: list[str | None] = list(text)
@@ -87,32 +106,28 @@ class Vocabulary:
 
     def apart(self, first: int, second: int) -> bool:
         """Whether merging leaves these two tokens side by side."""
-        key = first * len(self.text) + second
-        answer = self.pairs.get(key)
-        if answer is None:
-            if len(self.pairs) >= self.remembered:
-                self.pairs.clear()
-            answer = self.pairs[key] = self.merged(self.text[first] + self.text[second]) == [first, second]
+        if len(self.pairs) >= self.remembered:
+            self.pairs.clear()
+        answer = self.merged(self.text[first] + self.text[second]) == [first, second]
+        self.pairs[first * len(self.text) + second] = answer
         return answer
 
-    def table(self, word: str) -> list[tuple[int, int]]:
-        """For each prefix its last token as (length, id); id -1 stands for a character outside the vocabulary."""
-        last: list[tuple[int, int]] = [(0, -1)] * (len(word) + 1)
-        done = 0
+    def table(self, word: str) -> list[int]:
+        """For each prefix the id of its last token; -1 stands for a character outside the vocabulary."""
+        last = [-1] * (len(word) + 1)
+        size, pairs, done = len(self.text), self.pairs, -1
         for end, (length, i) in self.automaton.iter(word):
-            end += 1
-            for gap in range(done + 1, end):
-                last[gap] = (1, -1)
-            if done < end:
-                done = end
-                last[end] = (0, -1)
-            if last[end][0]:
+            if end == done:
                 continue
-            before = last[end - length][1] if end > length else -1
-            if before < 0 or self.apart(before, i):
-                last[end] = (length, i)
-        for gap in range(done + 1, len(word) + 1):
-            last[gap] = (1, -1)
+            before = last[end + 1 - length]
+            if before >= 0:
+                fits = pairs.get(before * size + i)
+                if fits is None:
+                    fits = self.apart(before, i)
+                if not fits:
+                    continue
+            last[end + 1] = i
+            done = end
         return last
 
     def word_ids(self, word: str) -> list[int]:
@@ -125,9 +140,9 @@ class Vocabulary:
         last = self.table(tail)
         place, parts = len(tail), []
         while place:
-            length, i = last[place]
-            parts.append([i] if i >= 0 else self.as_ids(tail[place - length : place]))
-            place -= length
+            i = last[place]
+            parts.append([i] if i >= 0 else self.as_ids(tail[place - 1]))
+            place -= self.length[i] if i >= 0 else 1
         parts.reverse()
         if spaces > 1:
             # A first space that joined nothing in the word belongs to the run before it.
@@ -141,14 +156,18 @@ class Vocabulary:
             return b""
         found = []
         words = self.words
-        for word in WORDS.findall(SPACE + text.replace(" ", SPACE)):
+        for word in self.words_of(SPACE + text.replace(" ", SPACE)):
             ids = words.get(word)
             if ids is None:
-                if len(words) >= self.remembered:
-                    words.clear()
-                ids = np.array(self.word_ids(word), dtype=np.int32).tobytes()
+                ids = self.older.get(word)
+                if ids is None:
+                    ids = array("i", self.word_ids(word)).tobytes()
                 if len(word) <= 64:
                     words[word] = ids
+                    if len(words) >= self.remembered // 2:
+                        # Words not met again in this half of the memory are forgotten.
+                        self.older, words = words, {}
+                        self.words = words
             found.append(ids)
         return b"".join(found)
 
@@ -174,6 +193,16 @@ class Outputs:
         return whole.removeprefix(b" ").decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def vocabulary_of(model: bytes) -> Vocabulary:
+    return Vocabulary(model)
+
+
+@lru_cache(maxsize=1)
+def outputs_of(model: bytes) -> Outputs:
+    return Outputs(model)
+
+
 def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", keep_text: bool = True) -> DataFrame:
     """Add the ids of the whole ``text`` as an array of integers, without begin or end ids.
 
@@ -185,7 +214,7 @@ def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", ke
     put = [c for c in kept if keep_text or c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value)
+        vocabulary = vocabulary_of(shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
@@ -207,7 +236,7 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded")
     kept = [c for c in df.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Outputs(shared.value)
+        vocabulary = outputs_of(shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
