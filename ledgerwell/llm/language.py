@@ -119,19 +119,43 @@ def fit(labelled: DataFrame, text: str, label: str, key: str, settings: Training
     total = usable.select("y").count()
     share = min(1.0, settings.rows / max(1, total))
     chosen = usable.filter(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = features(chosen, "t", ["y", "h"]).toPandas().sort_values(["h", "y"], kind="stable").reset_index(drop=True)
-    rows = rows[[len(a) > 0 for a in rows["_at"]]].reset_index(drop=True)
-    languages = tuple(sorted(set(rows["y"])))
-    if not languages:
+    sample = features(chosen, "t", ["y", "h"])
+    # The sample is bounded, so one task can hold it; the driver gets the finished model.
+    made = sample.repartition(1).mapInArrow(lambda batches: _train(batches, settings), _MODEL).first()
+    if made is None:
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), settings.least)
-    classes = rows["y"].map({y: i for i, y in enumerate(languages)}).to_numpy()
-    held = (rows.index.to_numpy() % 5 == 4) & (len(rows) >= 50)
+    size = len(made["languages"])
+    table_ = np.frombuffer(made["table"], np.float32).reshape(BUCKETS, size)
+    return Model(tuple(made["languages"]), table_, np.frombuffer(made["offset"], np.float32), made["threshold"], made["doubt"])
+
+
+_MODEL = "languages array<string>, table binary, offset binary, threshold double, doubt double"
+
+
+def _train(batches: Iterator[pa.RecordBatch], settings: Training) -> Iterator[pa.RecordBatch]:
+    """The model of a bounded sample of subword counts as one row; none without rows that have subwords."""
+    rows = sorted(
+        (
+            (h, y, np.asarray(at), np.asarray(n, dtype=np.float64))
+            for batch in batches
+            for h, y, at, n in zip(
+                batch.column("h").to_pylist(), batch.column("y").to_pylist(), batch.column("_at"), batch.column("_n")
+            )
+            for at, n in [(at.values, n.values)]
+            if len(at)
+        ),
+        key=lambda r: r[:2],
+    )
+    if not rows:
+        return
+    languages = sorted({r[1] for r in rows})
+    classes = np.array([languages.index(r[1]) for r in rows])
+    places, weights, totals = [r[2] for r in rows], [r[3] / r[3].sum() for r in rows], np.array([r[3].sum() for r in rows])
+    held = (np.arange(len(rows)) % 5 == 4) & (len(rows) >= 50)
     rng = np.random.default_rng(settings.seed)
     embed = rng.uniform(-0.5, 0.5, (BUCKETS, settings.size)) / settings.size
     weight = np.zeros((settings.size, len(languages)))
     offset = np.zeros(len(languages))
-    weights = [n / n.sum() for n in (np.asarray(x, dtype=float) for x in rows["_n"])]
-    places = [np.asarray(a) for a in rows["_at"]]
     train = np.flatnonzero(~held)
     steps, done = settings.epochs * len(train), 0
     for _ in range(settings.epochs):
@@ -152,7 +176,7 @@ def fit(labelled: DataFrame, text: str, label: str, key: str, settings: Training
     folded = embed @ weight
     tuned = np.flatnonzero(held) if held.any() else train
     whole = np.stack([weights[r] @ folded[places[r]] for r in tuned])
-    many = np.array([float(np.sum(rows["_n"].iloc[r])) for r in tuned])
+    many = totals[tuned]
     few = rng.integers(4, 60, len(tuned))
     thinned = np.stack([rng.multinomial(k, weights[r]) / k @ folded[places[r]] for r, k in zip(tuned, few)])
     both, number, answers = np.vstack([whole, thinned]), np.concatenate([many, few]), np.tile(classes[tuned], 2)
@@ -165,13 +189,11 @@ def fit(labelled: DataFrame, text: str, label: str, key: str, settings: Training
     good = np.cumsum(right[order]) / np.arange(1, len(order) + 1) >= settings.precision
     lowest = 0.0 if good[-1] else (best[order][np.flatnonzero(good)[-1]] if good.any() else 1.0)
     folded[0] = 0
-    return Model(
-        languages,
-        (folded / temperature).astype(np.float32),
-        (offset / temperature).astype(np.float32),
-        max(settings.least, min(float(lowest), 0.9)),
-        float(doubt),
-    )
+    threshold = max(settings.least, min(float(lowest), 0.9))
+    arrays = [(folded / temperature).astype(np.float32).tobytes(), (offset / temperature).astype(np.float32).tobytes()]
+    values = [[languages], [arrays[0]], [arrays[1]], [threshold], [float(doubt)]]
+    columns = [pa.array(v) for v in values]
+    yield pa.RecordBatch.from_arrays(columns, names=["languages", "table", "offset", "threshold", "doubt"])
 
 
 def _shrunk(scores: np.ndarray, number: np.ndarray, doubt: float) -> np.ndarray:
