@@ -56,36 +56,39 @@ def _key(column: str) -> Column:
     return F.when(F.col(column).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(column).cast("string")))
 
 
+def answered(messages: DataFrame) -> DataFrame:
+    """Messages whose ``parent`` is NULL where it is no message of the tree: those are roots."""
+    known = messages.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
+    joined = messages.join(known, ["tree", "parent"], "left")
+    return joined.withColumn("parent", F.when(F.col("known"), F.col("parent"))).drop("known")
+
+
 def paths(messages: DataFrame) -> DataFrame:
-    """Root-to-leaf paths of messages (``tree``, ``node``, ``parent``, none of the first two NULL).
+    """Ways from each leaf up to its root, of messages (``tree``, ``node``, ``parent``; the first two not NULL).
 
-    Rows (``tree``, ``leaf``, ``node``, ``back``): back counts the steps from the leaf. A message whose parent is NULL
-    or unknown is a root. Messages that lead into a circle have no path. Pointers double their reach with each
-    join, so the number of joins grows with the logarithm of the longest path.
+    Rows (``tree``, ``leaf``, ``node``, ``back``): back counts the steps from the leaf. Pointers double their reach with
+    each join, so the number of joins grows with the logarithm of the longest path. A path that runs in a circle
+    never comes to a root.
     """
-    known = messages.select("tree", F.col("node").alias("parent"))
-    up = messages.select("tree", "node", "parent").filter("parent IS NOT NULL").join(known, ["tree", "parent"])
-    up = checkpointed(up.select("tree", "node", "parent"))
+    up = messages.select("tree", "node", "parent").filter("parent IS NOT NULL")
     longest = messages.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
     jumps = [up]
-    # A path has fewer steps than its tree has messages; longer ones run in a circle.
+    # A path has fewer steps than its tree has messages.
     while 1 << len(jumps) < longest:
         last = jumps[-1]
         onward = last.select("tree", F.col("node").alias("parent"), F.col("parent").alias("far"))
-        further = checkpointed(last.join(onward, ["tree", "parent"]).select("tree", "node", F.col("far").alias("parent")))
-        if further.isEmpty():
+        further = last.join(onward, ["tree", "parent"]).select("tree", "node", F.col("far").alias("parent"))
+        jumps.append(checkpointed(further))
+        if jumps[-1].isEmpty():
             break
-        jumps.append(further)
-    leaves = messages.select("tree", "node").join(up.select("tree", F.col("parent").alias("node")), ["tree", "node"], "left_anti")
-    found = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back"))
+    parents = up.select("tree", F.col("parent").alias("node"))
+    leaves = messages.select("tree", "node").join(parents, ["tree", "node"], "left_anti")
+    found = checkpointed(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back")))
     for k in reversed(range(len(jumps))):
         further = found.join(jumps[k], ["tree", "node"])
-        found = found.unionByName(
-            further.select("tree", "leaf", F.col("parent").alias("node"), (F.col("back") + (1 << k)).alias("back"))
-        )
-    roots = messages.select("tree", "node").join(up.select("tree", "node"), ["tree", "node"], "left_anti")
-    reached = found.join(roots, ["tree", "node"], "left_semi").select("tree", "leaf").distinct()
-    return found.join(reached, ["tree", "leaf"], "left_semi")
+        step = further.select("tree", "leaf", F.col("parent").alias("node"), (F.col("back") + (1 << k)).alias("back"))
+        found = checkpointed(found.unionByName(step))
+    return found
 
 
 def format_trees(
@@ -104,7 +107,8 @@ def format_trees(
     Columns: ``tree`` under its own name, ``leaf``, ``branch_rank``, ``branch_score``, ``formatted``, ``spans`` (array of
     ``start``, ``length`` in code points, one per learned turn, in order). Branches of a tree rank by the sum of
     ``score`` along the path (NULL counts 0), then by leaf; the first ``branches`` are chosen, all if None. NULL
-    roles and texts count as empty; a NULL tree is a tree of its own; messages without an id are left out; of
+    roles and texts count as empty; a NULL tree is a tree of its own; messages without an id are left out, and so are
+    those that lead into a circle; one whose parent is NULL or unknown is a root; of
     several messages with one id the one with the least parent, role and text stays. Other columns are ignored.
     """
     points = F.coalesce(F.col(score).cast("double"), F.lit(0.0)) if score else F.lit(0.0)
@@ -120,24 +124,29 @@ def format_trees(
         ).alias("m"),
     ).filter("node IS NOT NULL")
     single = given.groupBy("tree", "node").agg(F.first("name").alias("name"), F.min("m").alias("m"))
-    single = checkpointed(single.select("tree", "node", "name", "m.*"))
-    steps = paths(single).join(single.drop("parent"), ["tree", "node"])
-    ranked = steps.groupBy("tree", "leaf").agg(F.sum("points").alias("branch_score"))
+    single = checkpointed(answered(single.select("tree", "node", "name", "m.*")))
+    found = paths(single)
+    scored = found.join(single.select("tree", "node", "parent", "points"), ["tree", "node"])
+    ranked = scored.groupBy("tree", "leaf").agg(
+        F.sum("points").alias("branch_score"), F.max(F.col("parent").isNull()).alias("rooted")
+    )
     order = Window.partitionBy("tree").orderBy(F.col("branch_score").desc(), "leaf")
-    ranked = ranked.withColumn("branch_rank", F.row_number().over(order))
+    ranked = ranked.filter("rooted").drop("rooted").withColumn("branch_rank", F.row_number().over(order))
     if branches is not None:
         ranked = ranked.filter(F.col("branch_rank") <= branches)
-        steps = steps.join(ranked.select("tree", "leaf"), ["tree", "leaf"], "left_semi")
+    chosen = checkpointed(found.join(ranked, ["tree", "leaf"]))
+    steps = chosen.join(single.drop("parent", "points"), ["tree", "node"])
+    branch = ["tree", "leaf", "branch_rank", "branch_score"]
     head = F.concat(F.lit(BEGIN), escaped_role(F.col("role")), F.lit(BREAK))
-    turns = steps.select("tree", "leaf", "name", "back", "role", head.alias("head"), escaped(F.col("text")).alias("body"))
+    turns = steps.select(*branch, "name", "back", "role", head.alias("head"), escaped(F.col("text")).alias("body"))
     before = Window.partitionBy("tree", "leaf").orderBy(F.col("back").desc())
     turns = turns.withColumn("whole", F.concat("head", "body", F.lit(END)))
     turns = turns.withColumn("until", F.sum(F.length("whole")).over(before))
     start = F.col("until") - F.length("whole") + F.length("head")
     span = F.when(F.col("role").isin(*learned), F.struct(start.alias("start"), F.length("body").cast("long").alias("length")))
     turn = F.struct((-F.col("back")).alias("step"), "whole", span.alias("span"))
-    joined = turns.groupBy("tree", "leaf").agg(F.first("name").alias("name"), F.sort_array(F.collect_list(turn)).alias("turns"))
-    made = joined.join(ranked, ["tree", "leaf"]).select(
+    joined = turns.groupBy(*branch).agg(F.first("name").alias("name"), F.sort_array(F.collect_list(turn)).alias("turns"))
+    return joined.select(
         F.col("name").alias(tree),
         "leaf",
         "branch_rank",
@@ -145,7 +154,6 @@ def format_trees(
         F.array_join("turns.whole", "").alias("formatted"),
         F.filter("turns.span", lambda s: s.isNotNull()).alias("spans"),
     )
-    return made
 
 
 def read_back(formatted: Column) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerwell.llm import chat, language, pages, pieces, quality
+from ledgerwell.llm import chat, language, neighbours, pages, pieces, quality
 from ledgerwell.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -81,6 +81,11 @@ def op3_quality(spark: SparkSession, root: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op9_embeddings(spark: SparkSession, root: str) -> DataFrame:
+    """Near-duplicate vectors of equal label."""
+    return neighbours.near(table(spark, root, "embeddings"))
+
+
 def op10_html(spark: SparkSession, root: str) -> DataFrame:
     """Main text of every page."""
     found = pages.extract(table(spark, root, "pages").select("page_id", "url", "html"))
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_sentencepiece": op4_sentencepiece,
     "op7_language": op7_language,
+    "op9_embeddings": op9_embeddings,
     "op10_html": op10_html,
 }
 
