@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerwell.llm import chat, language, neighbours, pages, pieces, quality
+from ledgerwell.llm import chat, decontaminate, language, licenses, neighbours, pages, pieces, quality
 from ledgerwell.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -43,6 +43,11 @@ def op7_language(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op1_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    """Benchmark items in all documents."""
+    return decontaminate.leaks(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
 def with_spoofed(conversations: DataFrame) -> DataFrame:
     """The conversations and number -7, whose two texts are control strings."""
     spoofed = conversations.sparkSession.range(2).select(
@@ -81,6 +86,13 @@ def op3_quality(spark: SparkSession, root: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op8_licenses(spark: SparkSession, root: str) -> DataFrame:
+    """License notices in all documents."""
+    templates = licenses.default_templates(spark)
+    found = licenses.scan(table(spark, root, "documents"), templates)
+    return found.join(F.broadcast(templates.select("template", "license")), "template")
+
+
 def op9_embeddings(spark: SparkSession, root: str) -> DataFrame:
     """Near-duplicate vectors of equal label."""
     return neighbours.near(table(spark, root, "embeddings"))
@@ -93,10 +105,12 @@ def op10_html(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_chat": op2_chat,
     "op3_quality": op3_quality,
     "op4_sentencepiece": op4_sentencepiece,
     "op7_language": op7_language,
+    "op8_licenses": op8_licenses,
     "op9_embeddings": op9_embeddings,
     "op10_html": op10_html,
 }
