@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerwell.llm.common import checkpointed
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     """address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
@@ -261,6 +263,8 @@ def extract(
     # One row per article of a host, whatever the number of its copies; the whole of it counts as subtree NULL.
     parts = seen.select("h", "article", F.explode(F.concat("subtrees", F.array(F.lit(None).cast("long")))).alias("s"))
     standing = parts.distinct().groupBy("h", "s").agg(F.count(F.lit(1)).alias("n"))
+    # Kept, since both what follows would otherwise parse all pages.
+    standing = checkpointed(standing.filter("s IS NULL OR n > %d" % (least * share)))
     sizes = standing.filter("s IS NULL AND n >= %d" % least).select("h", F.col("n").alias("total"))
     usual = standing.filter("s IS NOT NULL AND n > %d" % (least * share)).join(sizes, "h").filter(F.col("n") > F.col("total") * share)
     lists = usual.groupBy("h").agg(F.collect_set("s").alias("_template"))
