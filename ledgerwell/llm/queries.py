@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerwell.llm import chat, decontaminate, language, licenses, neighbours, pages, pieces, quality
+from ledgerwell.llm import chat, decontaminate, language, licenses, lines, neighbours, pages, pieces, quality
 from ledgerwell.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -33,6 +33,12 @@ def op4_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    """All documents without repeated lines, with the number of lines before and of those removed."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    return lines.deduplicate(docs, report=True)
+
+
 def op7_language(spark: SparkSession, root: str) -> DataFrame:
     """Language of every whole text, learned from rows outside the held-out quarter."""
     docs = table(spark, root, "documents")
@@ -109,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat": op2_chat,
     "op3_quality": op3_quality,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_line_dedup": op5_line_dedup,
     "op7_language": op7_language,
     "op8_licenses": op8_licenses,
     "op9_embeddings": op9_embeddings,
