@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerwell.llm import chat, decontaminate, language, licenses, lines, neighbours, pages, pieces, quality
+from ledgerwell.llm import chat, decontaminate, jaccard, language, licenses, lines, neighbours, pages, pieces, quality
 from ledgerwell.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -39,6 +39,11 @@ def op5_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     return lines.deduplicate(docs, report=True)
 
 
+def op6_jaccard(spark: SparkSession, root: str) -> DataFrame:
+    """Documents whose sets of four-word shingles are 85 percent alike."""
+    return jaccard.join_documents(table(spark, root, "documents"))
+
+
 def op7_language(spark: SparkSession, root: str) -> DataFrame:
     """Language of every whole text, learned from rows outside the held-out quarter."""
     docs = table(spark, root, "documents")
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_line_dedup": op5_line_dedup,
+    "op6_jaccard": op6_jaccard,
     "op7_language": op7_language,
     "op8_licenses": op8_licenses,
     "op9_embeddings": op9_embeddings,
