@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwell.llm.common import checkpointed
-from ledgerwell.llm.windows import contents, keyed, once, overlap, references, shared_places
+from ledgerwell.llm.windows import bounded, contents, keyed, once, overlap, references, shared_places
 
 RUN = 5
 BITS = 64
@@ -104,5 +104,5 @@ def leaks(
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents without a benchmark passage; all columns stay."""
-    found = leaks(docs, benchmark, key, text).select(F.col(key).alias("_leaked")).distinct()
+    found = bounded(leaks(docs, benchmark, key, text).select(F.col(key).alias("_leaked")).distinct())
     return docs.join(found, docs[key].eqNullSafe(found["_leaked"]), "left_anti")

@@ -276,4 +276,5 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", join:
     """Documents without those linked to one with a smaller key; all columns stay. NULL keys stay where unlinked."""
     gone = join_documents(docs, key, text, join).filter(F.col(key) != F.col("component_id"))
     gone = checkpointed(gone.select(F.col(key).alias("_gone")).distinct())
-    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
+    few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(gone) if few else gone, docs[key] == gone["_gone"], "left_anti")
