@@ -18,9 +18,9 @@ EDITS = 2
 BROADCAST_ROWS = 500_000
 
 
-def _small(df: DataFrame, weight: Column = F.lit(1)) -> DataFrame:
+def _small(df: DataFrame, weight: Column | None = None) -> DataFrame:
     """A checkpointed table, broadcast if its rows (weighed by what they hold) are few."""
-    held = df.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    held = df.agg(F.coalesce(F.sum(F.lit(1) if weight is None else weight), F.lit(0))).first()[0]
     return F.broadcast(df) if held <= BROADCAST_ROWS else df
 
 
