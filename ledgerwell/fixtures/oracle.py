@@ -48,7 +48,7 @@ def _ratio(top: str, bottom: str) -> str:
     n, d = (f"CAST({x} * 100 AS HUGEINT)" for x in (top, bottom))
     whole = f"((2 * abs({n}) * 10000 + abs({d})) // (2 * abs({d})))"
     signed = f"{whole} * CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END"
-    return f"CASE WHEN {bottom} <> 0 THEN CAST(CAST({signed} AS DECIMAL(30,0)) * 0.0001 AS DECIMAL(18,4)) END"
+    return f"CASE WHEN {bottom} <> 0 THEN CAST(CAST({signed} AS DECIMAL(30,0)) * 0.0001 AS DECIMAL(38,4)) END"
 
 
 def _sum(amount: str, when: str | None = None, sign: str = "") -> str:
@@ -72,19 +72,13 @@ _VOID = r"(^|[^\pL\pN_])ANUL"
 NATURES = [
     ("personal", 1, "RECIBO PLATINUM", None, None, "CARD_SETTLEMENT"),
     ("personal", 2, "BIZUM", None, None, "BIZUM"),
-    ("personal", 3, r"^CAJA\s+[0-9]+", None, None, "REGULAR"),
-    ("personal", 4, "^CAJERO", None, None, "REGULAR"),
-    ("personal", 5, r"^TRANSF\s+A\s+CAJERO", None, None, "REGULAR"),
-    ("personal", 6, "CUENTA T[UÚ] Y YO", None, None, "INTERNAL_TRANSFER"),
-    ("personal", 7, "RECARGA WALLETPAY", None, None, "INTERNAL_TRANSFER"),
-    ("personal", 8, "TRASPASO INTERNO", None, None, "INTERNAL_TRANSFER"),
-    ("personal", 9, _OWN, None, None, "INTERNAL_TRANSFER"),
-    ("personal", 10, "TRANSF NOMI", None, None, "SALARY"),
-    ("personal", 11, "PRESTACIONES SEGURIDAD SOCIAL", None, None, "SALARY"),
-    ("personal", 12, _VOID, 1, None, "EXPENSE_REFUND"),
+    ("personal", 3, r"^(CAJA\s+[0-9]+|CAJERO|TRANSF\s+A\s+CAJERO)", None, None, "REGULAR"),
+    ("personal", 4, f"CUENTA T[UÚ] Y YO|RECARGA WALLETPAY|TRASPASO INTERNO|{_OWN}", None, None, "INTERNAL_TRANSFER"),
+    ("personal", 5, "TRANSF NOMI|PRESTACIONES SEGURIDAD SOCIAL", None, None, "SALARY"),
+    ("personal", 6, _VOID, 1, None, "EXPENSE_REFUND"),
     ("common", 1, "RECIBO VISA CLASICA", None, None, "CARD_SETTLEMENT"),
     ("common", 2, _EITHER, None, None, "PARTNER_CONTRIBUTION"),
-    ("common", 3, "IMP (INIC|DISP) PT", None, None, "LOAN_DISBURSEMENT"),
+    ("common", 3, "IMP INIC PT|IMP DISP PT", None, None, "LOAN_DISBURSEMENT"),
     ("common", 4, "OBRAS NORTE|TASADORA SUR|PROVISION FO", None, None, "CAPEX"),
     ("common", 5, r"LIQUID\. CUOTA PTMO", None, None, "MORTGAGE_PAYMENT"),
     ("common", 6, "BIZUM", None, None, "BIZUM"),
@@ -311,7 +305,7 @@ PARTS = {
                 THEN {_clean("description", _TRANSFER_PREFIX)} END AS moved,
             CASE WHEN contains(description, ',') THEN trim(split_part(description, ',', 1), ' ')
                 WHEN trim(description, ' ') <> '' THEN {_title("trim(description, ' ')")} END AS bought,
-            CASE WHEN regexp_matches(description, '(?i)^RECIB')
+            CASE WHEN regexp_matches(description, '(?i)^(RECIBO|RECIB)')
                 THEN trim(regexp_replace(description, '(?i)^(RECIBO|RECIB)\s*/?\s*', ''), ' ') END AS debited
         FROM texts""",
     "resolved": f"""
@@ -330,8 +324,8 @@ PARTS = {
     "categorised": """
         SELECT r.* EXCLUDE (movement_type), r.movement_type AS base_movement, c.group_name, c.category_name,
             c.subcategory_name, coalesce(c.is_pnl, FALSE) AS category_is_pnl,
-            CASE WHEN r.category_id = 'PAREJA_COMPENSA' AND r.amount <> 0
-                    THEN ['EXPENSE', 'INCOME'][CAST((sign(r.amount) + 3) / 2 AS INTEGER)]
+            CASE WHEN r.category_id = 'PAREJA_COMPENSA' AND r.amount > 0 THEN 'INCOME'
+                WHEN r.category_id = 'PAREJA_COMPENSA' AND r.amount < 0 THEN 'EXPENSE'
                 WHEN r.amount > 0 AND c.movement_type = 'EXPENSE' THEN 'EXPENSE_REFUND'
                 ELSE coalesce(c.movement_type, r.movement_type) END AS movement_type
         FROM resolved r LEFT JOIN categories c ON c.category_id = r.category_id""",
@@ -382,8 +376,8 @@ PARTS = {
             AND date_trunc('month', d) <= {_TODAY} - INTERVAL 1 MONTH""",
     "salary_totals": f"""
         WITH pay AS (SELECT merchant, personal_amount, category_id = 'ING_NOMINA' AS payroll,
-                CAST(date_trunc('month', value_date - CAST(least(day(value_date), 17) // 17 * -16 + 16 AS INTEGER))
-                    AS DATE) AS accrual_date
+                CAST(CASE WHEN day(value_date) <= 16 THEN date_trunc('month', value_date) - INTERVAL 1 MONTH
+                    ELSE date_trunc('month', value_date) END AS DATE) AS accrual_date
             FROM transactions WHERE category_id IN ('ING_NOMINA', 'ING_PRESTACIONES'))
         SELECT accrual_date, coalesce(max(merchant) FILTER (WHERE payroll), 'INSS') AS empresa,
             {_sum("personal_amount", "payroll")} AS importe_nomina,
@@ -417,7 +411,7 @@ PARTS = {
         FROM facts GROUP BY accrual_month""",
     "rated": f"""
         SELECT *, CASE WHEN personal_income > 0 THEN {_ratio("personal_net_savings", "personal_income")}
-            ELSE CAST(0 AS DECIMAL(18,4)) END AS savings_rate_pct FROM measures""",
+            ELSE CAST(0 AS DECIMAL(38,4)) END AS savings_rate_pct FROM measures""",
     "lagged": """
         SELECT *, lag(personal_income) OVER w AS prev_personal_income,
             lag(personal_expense) OVER w AS prev_personal_expense,
@@ -523,7 +517,9 @@ QUESTIONS = {
     "nature_cards": _source("cards"),
     "nature_cash": _source("cash"),
     "nature_wallet": _source("wallet"),
-    "cards_union": "SELECT * FROM stg_cards",
+    "cards_union": """
+        SELECT account_id, count(*) AS lines, count(DISTINCT source_hash) AS hashes,
+            CAST(sum(amount) AS DECIMAL(28,2)) AS amount FROM stg_cards GROUP BY account_id""",
     "transactions_unioned": f"SELECT {_UNIFIED} FROM classified",
     "text_normalise": f"SELECT description, norm AS normalised, {_norm('description', fold=True)} AS folded FROM texts",
     "participant_match": f"SELECT {_KEY}, description, person_name AS participant_name FROM claimed",

@@ -21,6 +21,9 @@ CONFIG = LedgerConfig(
     partner_pattern="NOA SI[EÉ]RRA",
     wallet_pattern="WALLETPAY",
     capex_patterns=("OBRAS NORTE", "TASADORA SUR"),
+    personal_card_pattern="PLATINUM",
+    common_card_pattern="VISA CLASICA",
+    joint_pattern="CUENTA T[UÚ] Y YO",
     calendar_start=dt.date(1995, 1, 1),
     calendar_end=dt.date(2024, 12, 31),
     salary_start=dt.date(1995, 1, 1),

@@ -16,12 +16,33 @@ from ledgerwell.rulebook import REGULAR, SourceProfile
 from ledgerwell.schemas import UNIFIED_COLUMNS
 
 
+ACCOUNT_COPIES = 100
+
+
 def with_account(rows: DataFrame, accounts: Dimension, limits: Limits) -> DataFrame:
     """Bank, account type and ownership of each line; unknown accounts keep NULLs."""
     owners = accounts.select("account_id", "bank", "account_type", F.col("owner").alias("account_ownership"))
     return lookup(rows, owners, "account_id", limits)
 
 
+def with_own_account(rows: DataFrame, accounts: Dimension, account_id: str, limits: Limits) -> DataFrame:
+    """The same for lines that all belong to one account: its few rows are looked up once and attached as constants.
+
+    An account that is listed several times repeats each line; beyond ``ACCOUNT_COPIES`` the general join is used.
+    """
+    names = ["bank", "account_type", "owner"]
+    own = accounts.df.filter(F.col("account_id") == account_id).select(*names).limit(ACCOUNT_COPIES + 1).collect()
+    if len(own) > ACCOUNT_COPIES:
+        return with_account(rows, accounts, limits)
+    kinds = {c: accounts.df.schema[c].dataType for c in names}
+    found = [F.struct(*(F.lit(row[c]).cast(kinds[c]).alias(c) for c in names)) for row in own or [dict.fromkeys(names)]]
+    known = found[0] if len(found) == 1 else F.explode(F.array(*found))
+    joined = rows.withColumn("_own", known)
+    return joined.withColumns(
+        {"bank": F.col("_own.bank"), "account_type": F.col("_own.account_type"), "account_ownership": F.col("_own.owner")}
+    ).drop("_own")
+
+
 def nature(profile: SourceProfile, kind: Column | None = None) -> Column:
     """First rule that holds names the nature of the line."""
     if not profile.rules:

@@ -48,67 +48,82 @@ class Dimension:
 
 
 def hot_keys(keys: Column, df: DataFrame, limits: Limits) -> DataFrame:
-    """Hashes of keys with too many rows for one task (``_key``), and over how many tasks to spread each.
+    """Over how many tasks to spread each key with too many rows for one (``_bucket``, ``_parts``).
 
-    The counts combine before the shuffle. There are fewer than rows / threshold such keys, and the
-    threshold rises until the list is short enough to broadcast. Keys are listed by hash, so that long
-    texts cost no more than short ones; keys that share a hash are merely spread together.
+    The counts combine before the shuffle. Keys fall into a fixed number of buckets by hash, so the list can be
+    broadcast however many hot keys there are: those that share a bucket are spread as the hottest of them.
     """
     counts = df.filter(keys.isNotNull()).groupBy(F.xxhash64(keys).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    threshold = limits.hot_key_rows
-    while counts.filter(F.col("_n") > threshold).count() > limits.hot_keys:
-        threshold *= 10
-    hot = counts.filter(F.col("_n") > threshold)
-    return F.broadcast(hot.select("_key", F.ceil(F.col("_n") / F.lit(threshold)).cast("int").alias("_parts")))
+    hot = counts.filter(F.col("_n") > limits.hot_key_rows)
+    parts = F.ceil(F.max("_n") / F.lit(limits.hot_key_rows)).cast("int")
+    return F.broadcast(hot.groupBy(_bucket(F.col("_key"), limits).alias("_bucket")).agg(parts.alias("_parts")))
 
 
-def deal(df: DataFrame, key: str, hot: DataFrame, copies: bool = False) -> DataFrame:
+def _bucket(key: Column, limits: Limits) -> Column:
+    return F.pmod(key, F.lit(limits.hot_keys)).cast("int")
+
+
+def deal(df: DataFrame, key: str, hot: DataFrame, limits: Limits) -> DataFrame:
     """Give each row one slot (``_slot``) among those of its key.
 
-    The slot follows from the row's content, so a recomputed task sends its rows to the same place. Where
-    exact copies are possible (``copies``) the row's position tells them apart; the input then has to keep
-    its order when recomputed, as scans and sorted groups do. NULL keys match nothing and may go anywhere.
+    The slot follows from the row's content alone, so a recomputed task sends its rows to the same place. Exact
+    copies of a row share a slot; where they are possible, ``counted`` makes them one row first. NULL keys match
+    nothing and may go anywhere.
     """
-    content = [*df.columns, *([F.monotonically_increasing_id()] if copies else [])]
     spread = F.when(F.col(key).isNull(), F.lit(NULL_PARTS)).otherwise(F.coalesce(F.col("_parts"), F.lit(1)))
-    hashed = df.withColumns({"_row": F.xxhash64(*content), "_key": F.xxhash64(key)}).join(hot, "_key", "left")
-    return hashed.withColumn("_slot", F.pmod(F.col("_row"), spread).cast("int")).drop("_row", "_key", "_parts")
+    bucket = _bucket(F.xxhash64(key), limits)
+    hashed = df.withColumns({"_row": F.xxhash64(*df.columns), "_bucket": bucket}).join(hot, "_bucket", "left")
+    return hashed.withColumn("_slot", F.pmod(F.col("_row"), spread).cast("int")).drop("_row", "_bucket", "_parts")
 
 
-def copy_to_slots(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def copy_to_slots(df: DataFrame, key: str, hot: DataFrame, limits: Limits) -> DataFrame:
     """Repeat each row for every slot of its key; NULL keys match nothing and are left out."""
-    known = df.filter(F.col(key).isNotNull()).withColumn("_key", F.xxhash64(key)).join(hot, "_key", "left")
+    known = df.filter(F.col(key).isNotNull()).withColumn("_bucket", _bucket(F.xxhash64(key), limits))
     slots = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-    return known.withColumn("_slot", F.explode(slots)).drop("_key", "_parts")
+    return known.join(hot, "_bucket", "left").withColumn("_slot", F.explode(slots)).drop("_bucket", "_parts")
+
+
+def counted(df: DataFrame) -> DataFrame:
+    """Equal rows as one, with their number in ``_copies``."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+
+
+def expanded(df: DataFrame) -> DataFrame:
+    """The inverse of ``counted`` after a join."""
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copy", "_copies")
 
 
-def spread_left_join(
-    left: DataFrame, right: DataFrame, key: str, limits: Limits, copies: bool = False
-) -> DataFrame:
+def spread_left_join(left: DataFrame, right: DataFrame, key: str, limits: Limits) -> DataFrame:
     """Shuffled left join in which rows of a hot left key are dealt out over several copies of the right."""
     hot = hot_keys(F.col(key), left, limits)
-    dealt = deal(left, key, hot, copies)
-    return dealt.join(copy_to_slots(right, key, hot), [key, "_slot"], "left").drop("_slot")
+    dealt = deal(left, key, hot, limits)
+    return dealt.join(copy_to_slots(right, key, hot, limits), [key, "_slot"], "left").drop("_slot")
 
 
 def lookup(left: DataFrame, right: Dimension, key: str, limits: Limits) -> DataFrame:
     """Left join of many rows to a table with few rows per key."""
     if right.size.within(limits):
         return left.join(F.broadcast(right.df), key, "left")
-    return spread_left_join(left, right.df, key, limits, copies=True)
+    return expanded(spread_left_join(counted(left), right.df, key, limits))
 
 
 def fan_out(left: DataFrame, right: Dimension, key: str, limits: Limits) -> DataFrame:
     """Left join where each key occurs at most once on the left and any number of times on the right.
 
-    Beyond the broadcast bound the rows of a hot right key are dealt out, and the one left row is copied to
-    them. Such a key surely has matches, so its left row needs no outer join.
+    Beyond the broadcast bound the rows of a hot right key are dealt out over slots and the one left row is copied
+    to each; copies that meet nothing there are dropped. The left rows are read once.
     """
     matchable = right.df.filter(F.col(key).isNotNull())
     if right.size.within(limits):
         return left.join(F.broadcast(matchable), key, "left")
-    known = matchable.select(key).distinct()
-    hot = hot_keys(F.col(key), matchable, limits)
-    copies = copy_to_slots(left.join(known, key, "left_semi"), key, hot)
-    matched = copies.join(deal(matchable, key, hot, copies=True), [key, "_slot"]).drop("_slot")
-    return matched.unionByName(left.join(known, key, "left_anti"), allowMissingColumns=True)
+    rows = counted(matchable)
+    hot = hot_keys(F.col(key), rows, limits)
+    known = rows.select(key).distinct().withColumn("_known", F.lit(True))
+    bucket = _bucket(F.xxhash64(key), limits)
+    marked = left.join(known, key, "left").withColumn("_bucket", bucket).join(hot, "_bucket", "left")
+    several = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    slots = F.when(F.col("_known"), several).otherwise(F.array(F.lit(0)))
+    copies = marked.drop("_bucket", "_parts").withColumn("_slot", F.explode(slots))
+    joined = copies.join(deal(rows, key, hot, limits), [key, "_slot"], "left")
+    kept = joined.filter(F.col("_known").isNull() | F.col("_copies").isNotNull()).drop("_known", "_slot")
+    return expanded(kept.withColumn("_copies", F.coalesce("_copies", F.lit(1))))

@@ -16,9 +16,19 @@ from pyspark.sql import functions as F
 
 from ledgerwell.config import LedgerConfig, Limits
 from ledgerwell.functions.text import blank_to_null, normalise
-from ledgerwell.operators.joins import Size, copy_to_slots, deal, hot_keys, measure, spread_left_join
+from ledgerwell.operators.joins import (
+    Size,
+    copy_to_slots,
+    counted,
+    deal,
+    expanded,
+    hot_keys,
+    measure,
+    spread_left_join,
+)
 from ledgerwell.operators.topk import first_by
 from ledgerwell.schemas import UNIFIED_COLUMNS
+from ledgerwell.session import stored
 
 GRAM = 3
 
@@ -103,17 +113,20 @@ def match_shuffled(
 ) -> DataFrame:
     """Dictionary too large to broadcast: each distinct text is matched once, then joined back.
 
-    Texts and keywords meet by piece in a shuffled join. A piece found in very many texts is split over
-    several tasks, with copies of its keywords in each. Exact copies of a row are dropped at the start:
-    they share their ``source_hash``, by which the caller keeps one row anyway.
+    The rows are stored first, as they are read several times. Only pieces under which a keyword is filed travel;
+    a piece found in very many texts is split over several tasks, with copies of its keywords in each.
     """
-    rows = rows.distinct()
+    rows = stored(rows)
     texts = rows.select(TEXT).filter(F.col(TEXT).isNotNull()).distinct()
-    pieces = _pieces(texts, profile.sizes)
+    entries = stored(filed(anchored(dictionary)))
+    # At most 52,060 pieces exist.
+    wanted = F.broadcast(entries.select("_gram").distinct())
+    pieces = stored(_pieces(texts, profile.sizes).join(wanted, "_gram", "left_semi"))
     hot = hot_keys(F.col("_gram"), pieces, limits)
-    found = deal(pieces, "_gram", hot).join(copy_to_slots(filed(anchored(dictionary)), "_gram", hot), ["_gram", "_slot"])
+    slots = deal(pieces, "_gram", hot, limits)
+    found = slots.join(copy_to_slots(entries, "_gram", hot, limits), ["_gram", "_slot"])
     found = found.drop("_gram", "_slot").filter(F.contains(F.col(TEXT), F.col(KEYWORD)))
-    return spread_left_join(rows, first_by(found, [TEXT], order), TEXT, limits)
+    return expanded(spread_left_join(counted(rows), first_by(found, [TEXT], order), TEXT, limits))
 
 
 def choose_match(size: Size, limits: Limits) -> str:
@@ -125,9 +138,13 @@ def choose_match(size: Size, limits: Limits) -> str:
 def match_keywords(
     rows: DataFrame, dictionary: DataFrame, order: Sequence[Column], limits: Limits, way: str | None = None
 ) -> DataFrame:
-    """Rows with candidate entries, the best by ``order`` among them; NULL entry where nothing matches."""
+    """Rows with candidate entries, the best by ``order`` among them; NULL entry where nothing matches.
+
+    ``way`` chooses among the ways that the dictionary's size allows.
+    """
     profile = profile_of(dictionary)
-    way = way or choose_match(profile.size, limits)
+    if way is None or not profile.size.within(limits):
+        way = choose_match(profile.size, limits)
     if way == "nested":
         return match_nested(rows, dictionary)
     if way == "grams":

@@ -10,20 +10,15 @@ from pyspark.sql import functions as F
 
 def days_between(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """One row per day, both ends included."""
-    bounds = spark.range(1).select(F.lit(start).alias("first"), F.lit(end).alias("last"))
-    return _days(bounds)
+    days = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))
+    return spark.range(1).select(F.explode(days).alias("date_key"))
 
 
 def days_covering(rows: DataFrame, date: str) -> DataFrame:
     """One row per day of every calendar year that the rows touch."""
-    bounds = rows.agg(
-        F.trunc(F.min(date), "year").alias("first"),
-        F.last_day(F.add_months(F.trunc(F.max(date), "year"), 11)).alias("last"),
-    )
-    return _days(bounds.filter(F.col("first").isNotNull()))
-
-
-def _days(bounds: DataFrame) -> DataFrame:
+    first = F.trunc(F.min(date), "year").alias("first")
+    last = F.last_day(F.add_months(F.trunc(F.max(date), "year"), 11)).alias("last")
+    bounds = rows.agg(first, last).filter(F.col("first").isNotNull())
     return bounds.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("date_key"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerwell import rulebook as book
 from ledgerwell.config import LedgerConfig
 from ledgerwell.operators import aggregate, resolve, timeline
-from ledgerwell.operators.classify import classify, union_all, with_account
+from ledgerwell.operators.classify import classify, union_all, with_account, with_own_account
 from ledgerwell.operators.joins import Dimension
 from ledgerwell.operators.matching import attach_participant, attach_rule
 from ledgerwell.plans import staging
@@ -95,13 +95,16 @@ class Warehouse:
     def _enriched(self, rows: DataFrame) -> DataFrame:
         return with_account(rows, self.dimension("dim_account"), self.cfg.limits)
 
+    def _own(self, rows: DataFrame, account_id: str) -> DataFrame:
+        return with_own_account(rows, self.dimension("dim_account"), account_id, self.cfg.limits)
+
     @model
     def int_account_personal(self) -> DataFrame:
-        return classify(self._enriched(self.stg_account_personal()), book.personal_account(self.cfg))
+        return classify(self._own(self.stg_account_personal(), self.cfg.accounts.personal), book.personal_account(self.cfg))
 
     @model
     def int_account_common(self) -> DataFrame:
-        return classify(self._enriched(self.stg_account_common()), book.common_account(self.cfg))
+        return classify(self._own(self.stg_account_common(), self.cfg.accounts.common), book.common_account(self.cfg))
 
     @model
     def cards_staged(self) -> DataFrame:
@@ -115,11 +118,11 @@ class Warehouse:
     @model
     def int_cash(self) -> DataFrame:
         rows = self.stg_cash().withColumn("booking_date", F.col("value_date"))
-        return classify(self._enriched(rows), book.cash(self.cfg))
+        return classify(self._own(rows, self.cfg.accounts.cash), book.cash(self.cfg))
 
     @model
     def int_wallet(self) -> DataFrame:
-        rows = self._enriched(self.stg_wallet())
+        rows = self._own(self.stg_wallet(), self.cfg.accounts.wallet)
         return classify(rows, book.wallet(self.cfg), kind="raw_transaction_type", fee="fee")
 
     @model

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -15,7 +16,9 @@ from ledgerwell.operators.classify import union_all, with_account
 from ledgerwell.operators.resolve import resolved_movement_type
 from ledgerwell.plans.run import run_layers
 from ledgerwell.plans.warehouse import Warehouse
+from ledgerwell.schemas import TOTAL
 from ledgerwell.session import shared_folder
+from ledgerwell.sources.sinks import drop_tables
 
 KEY = ("source_hash", "source_row_id", "account_id")
 ADJUSTED = (*KEY, "adjustment_reason")
@@ -48,6 +51,15 @@ def account_enrich(w: Warehouse) -> DataFrame:
     )
 
 
+def cards_union(w: Warehouse) -> DataFrame:
+    """What each card contributes to the union of the card statements."""
+    return w.cards_staged().groupBy("account_id").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.countDistinct("source_hash").alias("hashes"),
+        F.sum("amount").cast(TOTAL).alias("amount"),
+    )
+
+
 def text_normalise(w: Warehouse) -> DataFrame:
     text = F.col("description")
     texts = w.int_transactions_unioned().select(text).distinct()
@@ -60,7 +72,9 @@ def rules(way: str | None) -> Callable[[Warehouse], DataFrame]:
 
 def _data_calendar(w: Warehouse) -> DataFrame:
     """Calendar of the years that the transactions cover."""
-    return timeline.calendar_attributes(timeline.days_covering(w.int_transactions_unioned(), "value_date"))
+    first, last = w.int_transactions_unioned().agg(F.year(F.min("value_date")), F.year(F.max("value_date"))).first()
+    days = timeline.days_between(w.spark, dt.date(first, 1, 1), dt.date(last, 12, 31))
+    return timeline.calendar_attributes(days)
 
 
 def month_spines(w: Warehouse) -> DataFrame:
@@ -88,9 +102,12 @@ def _lagged(w: Warehouse) -> DataFrame:
 
 
 def layer_run_report(w: Warehouse) -> DataFrame:
-    """Everything built once into a new shared folder, reported model by model."""
-    report = run_layers(w.spark, w.inputs, w.cfg, shared_folder(w.spark, "ledger-run"), "*")
-    return report.models(w.spark)
+    """Everything built once into a new shared folder, reported model by model; the tables are removed then."""
+    out = shared_folder(w.spark, "ledger-run")
+    try:
+        return run_layers(w.spark, w.inputs, w.cfg, out, "*").models(w.spark)
+    finally:
+        drop_tables(w.spark, out)
 
 
 MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
@@ -105,7 +122,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "nature_cards": lambda w: w.int_cards(),
     "nature_cash": lambda w: w.int_cash(),
     "nature_wallet": lambda w: w.int_wallet(),
-    "cards_union": lambda w: w.cards_staged(),
+    "cards_union": cards_union,
     "transactions_unioned": lambda w: w.int_transactions_unioned(),
     "text_normalise": text_normalise,
     "participant_match": lambda w: w.with_participant().select(*KEY, "description", "participant_name"),

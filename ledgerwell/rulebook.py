@@ -1,6 +1,7 @@
 """Fixed values of the ledger: ordered rules, nature sets and category identifiers.
 
-Names of people and firms are never listed here; they come from the configuration.
+Names of people, firms and products are never listed here; they come from the configuration, and so do further
+rules.
 """
 
 from __future__ import annotations
@@ -38,16 +39,26 @@ class SourceProfile:
     share: str = "all"
 
 
+def configured(cfg: LedgerConfig, source: str) -> tuple[NatureRule, ...]:
+    """The installation's own rules for a source."""
+    return tuple(NatureRule(nature, pattern, sign=sign) for own, nature, pattern, sign in cfg.nature_rules if own == source)
+
+
+def _settlement(pattern: str | None) -> tuple[NatureRule, ...]:
+    return (NatureRule(CARD_SETTLEMENT, rf"RECIBO ({pattern})"),) if pattern else ()
+
+
 def personal_account(cfg: LedgerConfig) -> SourceProfile:
+    own = [rf"RECARGA ({cfg.wallet_pattern})", "TRASPASO INTERNO", f"({cfg.self_pattern})"]
+    if cfg.joint_pattern:
+        own.insert(0, f"({cfg.joint_pattern})")
     return SourceProfile(
         rules=(
-            NatureRule(CARD_SETTLEMENT, r"RECIBO PLATINUM"),
+            *configured(cfg, "personal"),
+            *_settlement(cfg.personal_card_pattern),
             NatureRule(BIZUM, r"BIZUM"),
             NatureRule(REGULAR, r"^(CAJA\s+[0-9]+|CAJERO|TRANSF\s+A\s+CAJERO)"),
-            NatureRule(
-                INTERNAL_TRANSFER,
-                rf"CUENTA T[UÚ] Y YO|RECARGA ({cfg.wallet_pattern})|TRASPASO INTERNO|({cfg.self_pattern})",
-            ),
+            NatureRule(INTERNAL_TRANSFER, "|".join(own)),
             NatureRule(SALARY, r"TRANSF NOMI|PRESTACIONES SEGURIDAD SOCIAL"),
             NatureRule(EXPENSE_REFUND, CANCELLED, sign=1),
         ),
@@ -61,7 +72,8 @@ def common_account(cfg: LedgerConfig) -> SourceProfile:
     moved = (CARD_SETTLEMENT, PARTNER_CONTRIBUTION, LOAN_DISBURSEMENT)
     return SourceProfile(
         rules=(
-            NatureRule(CARD_SETTLEMENT, r"RECIBO VISA CLASICA"),
+            *configured(cfg, "common"),
+            *_settlement(cfg.common_card_pattern),
             NatureRule(PARTNER_CONTRIBUTION, rf"({cfg.self_pattern})|({cfg.partner_pattern})"),
             NatureRule(LOAN_DISBURSEMENT, r"IMP INIC PT|IMP DISP PT"),
             NatureRule(CAPEX, building),
@@ -79,6 +91,7 @@ def common_account(cfg: LedgerConfig) -> SourceProfile:
 def cards(cfg: LedgerConfig) -> SourceProfile:
     return SourceProfile(
         rules=(
+            *configured(cfg, "cards"),
             NatureRule(INTERNAL_TRANSFER, cfg.wallet_pattern),
             NatureRule(EXPENSE_REFUND, r"ANUL|ABONO|DEVOLUC|REEMB"),
             NatureRule(EXPENSE_REFUND, sign=1),
@@ -90,12 +103,13 @@ def cards(cfg: LedgerConfig) -> SourceProfile:
 
 
 def cash(cfg: LedgerConfig) -> SourceProfile:
-    return SourceProfile()
+    return SourceProfile(rules=configured(cfg, "cash"))
 
 
 def wallet(cfg: LedgerConfig) -> SourceProfile:
     return SourceProfile(
         rules=(
+            *configured(cfg, "wallet"),
             NatureRule(INTERNAL_TRANSFER, types=("Recargas",)),
             NatureRule(INTERNAL_TRANSFER, rf"balance migration|({cfg.self_pattern})", types=("Transferir",)),
             NatureRule(REWARD, types=("Recompensa", "CASHBACK")),

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(18, 2)
 # Totals over many rows get room for 10^26 so that a month of a huge ledger cannot overflow.
 TOTAL = T.DecimalType(28, 2)
-RATIO = T.DecimalType(18, 4)
+RATIO = T.DecimalType(38, 4)
 SHARE = T.DecimalType(3, 2)
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "ledgerwell", shuffle: int = 8, memory: str = "8g") -> SparkSession:
@@ -40,3 +40,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerwell-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` from the cluster's checkpoint folder, computed once, with their lineage cut."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()

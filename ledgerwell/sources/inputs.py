@@ -30,14 +30,23 @@ def from_frames(frames: Mapping[str, DataFrame]) -> Inputs:
     return Inputs(lambda table: frames[table])
 
 
+def declared(df: DataFrame, table: str) -> DataFrame:
+    """The declared columns of a table, in order; staging casts them. A missing one is an error at once."""
+    missing = [c for c in TABLES[table].names if c not in df.columns]
+    if missing:
+        raise ValueError(f"{table}: missing columns {', '.join(missing)}")
+    return df.select(*TABLES[table].names)
+
+
 def from_files(spark: SparkSession, root: str, fmt: str = "parquet", **options: str) -> Inputs:
-    """One file set per table below ``root``; text formats are read with the declared schema."""
+    """One file set per table below ``root``; text formats are read with the declared schema, others
+    must have its columns."""
 
     def load(table: str) -> DataFrame:
         reader = spark.read.format(fmt).options(**options)
         if fmt in ("csv", "json"):
             reader = reader.schema(TABLES[table])
-        return reader.load(os.path.join(root, table))
+        return declared(reader.load(os.path.join(root, table)), table)
 
     return Inputs(load)
 

@@ -3,6 +3,7 @@
 import pytest
 
 from ledgerwell.plans.run import LAYERS, SelectionError, run_layers, selected_layers
+from ledgerwell.plans.warehouse import Warehouse
 from ledgerwell.schemas import RAW_TABLES, REFERENCE_TABLES
 from ledgerwell.session import shared_folder
 from ledgerwell.sources import inputs as sources
@@ -62,7 +63,38 @@ def test_failure_is_reported_and_the_rest_skipped(spark, warehouse, cfg, tmp_pat
     report = run_layers(spark, sources.Inputs(load), cfg, str(tmp_path), "staging")
     status = {r.model: r.status for r in report.results}
     assert report.status == "error" and "stg_cash: no such table" in report.error
-    assert (status["stg_card_personal"], status["stg_cash"], status["stg_wallet"]) == ("success", "error", "skipped")
+    assert (status["stg_card_personal"], status["stg_cash"], status["stg_wallet"]) == ("success", "error", "success")
+
+
+def test_only_readers_of_a_failed_model_are_skipped(spark, warehouse, cfg, tmp_path, monkeypatch):
+    """The calendar fails: salaries need it, the other marts do not; the old calendar stays."""
+    out = str(tmp_path)
+    spark.range(3).write.parquet(f"{out}/gold/dim_calendar")
+
+    def fails(self):
+        raise RuntimeError("no calendar")
+
+    monkeypatch.setattr(Warehouse, "dim_calendar", fails)
+    report = run_layers(spark, warehouse.inputs, cfg, out, "marts", schemas={"marts": "gold"})
+    status = {r.model: r.status for r in report.results}
+    assert (status["dim_calendar"], status["fct_salaries_monthly"]) == ("error", "skipped")
+    assert (status["fct_transactions"], status["fct_capex_summary"], status["fct_monthly_pnl"]) == ("success",) * 3
+    assert report.status == "error" and spark.read.parquet(f"{out}/gold/dim_calendar").count() == 3
+
+
+def test_failed_write_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(5), path)
+    with pytest.raises(Exception, match="(?i)divi"):
+        replace_table(spark.range(5).selectExpr("1 / (id - 3) AS id"), path)
+    assert read_table(spark, path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_declared_column_order(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(4).selectExpr("id % 2 AS p", "id"), path, "p")
+    assert read_table(spark, path, ["p", "id"]).columns == ["p", "id"]
 
 
 def test_sink_replaces(spark, tmp_path):
@@ -70,6 +102,7 @@ def test_sink_replaces(spark, tmp_path):
     replace_table(spark.range(5), path)
     replace_table(spark.range(2).selectExpr("id", "id % 2 AS p"), path, "p")
     assert sorted(tuple(r) for r in read_table(spark, path).collect()) == [(0, 0), (1, 1)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
 def test_file_inputs(spark, warehouse, tmp_path):
@@ -84,6 +117,9 @@ def test_file_inputs(spark, warehouse, tmp_path):
     with pytest.raises(KeyError):
         sources.from_files(spark, root)["other"]
     assert sources.from_frames({"cash": cash})["cash"] is cash
+    cash.drop("saldo", "fecha").write.parquet(f"{root}/short/cash")
+    with pytest.raises(ValueError, match="cash: missing columns fecha, saldo"):
+        sources.from_files(spark, f"{root}/short")["cash"]
 
 
 def test_catalog_inputs_look_in_both_schemas():
