@@ -1,19 +1,21 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
-Each tree splits its nodes along random projections, level by level in Spark, at the sparsest place between the
-quartiles; vectors within a margin of it go to both sides. A node is a leaf when it is small, or when several directions in turn leave nearly
-all of it on both sides: then it is one tight cluster. Vectors are compared within leaves in double precision;
-the leaves of a tight cluster are compared block by block. A pair that meets in several leaves counts in the first.
+Each tree splits its nodes along random projections, some levels in each Spark round, at the sparsest place between the
+quartiles; vectors within a margin of it go to both sides. A node is a leaf when it is small, or when several
+directions leave nearly all of it on both sides: then it is one tight cluster. Vectors are compared within leaves in
+double precision; large leaves are compared block by block. A pair that meets in several leaves counts in the first.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ from ledgerwell.llm.common import checkpointed, components
 class Forest:
     """``trees`` and their ``leaf`` size; ``margin`` in standard deviations of a projected random unit vector.
 
-    A node is split no further after ``tries`` directions in turn that each leave more than ``same`` of it on a side.
+    A node is split no further after ``tries`` directions that each leave more than ``same`` of it on a side. Splits are
+    fitted on about ``sample`` vectors of a node, ``depth`` levels at a time; every vector goes down them.
     Leaves above ``block`` vectors are compared in blocks of that size.
     """
 
@@ -34,6 +37,8 @@ class Forest:
     same: float = 0.85
     tries: int = 3
     block: int = 256
+    depth: int = 5
+    sample: int = 2000
     salts: int = 32
     seed: int = 5
 
@@ -53,87 +58,120 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-PLACES = [0.25 + k / 80 for k in range(41)]
+def _direction(forest: Forest, node: int, split: int, attempt: int, size: int) -> np.ndarray:
+    """A random direction on which unit vectors have a standard deviation of about one."""
+    seed = xxhash.xxh3_64_intdigest(f"{forest.seed}/{node}/{split}/{attempt}")
+    drawn = np.random.default_rng(seed).normal(size=size)
+    return drawn * (np.sqrt(size) / np.linalg.norm(drawn))
 
 
-def _sparsest(quantiles: Column, margin: float) -> Column:
-    """The place between the quartiles with the fewest vectors around it, so that a dense cluster stays on one side."""
+def _place(values: np.ndarray, forest: Forest) -> tuple[float, int, int]:
+    """The place between the quartiles with the fewest values around it, and how many fall to each side."""
+    ordered = np.sort(values)
+    steps = ordered[np.linspace(len(ordered) // 4, 3 * len(ordered) // 4, 41).astype(int)]
+    low = np.searchsorted(ordered, steps + forest.margin, side="right")
+    high = len(ordered) - np.searchsorted(ordered, steps - forest.margin, side="left")
+    k = min(range(len(steps)), key=lambda k: (low[k] + high[k], abs(k - 20)))
+    return float(steps[k]), int(low[k]), int(high[k])
 
-    def judged(q: Column, k: Column) -> Column:
-        crowd = F.size(F.filter(quantiles, lambda x: F.abs(x - q) <= margin))
-        return F.struct(crowd.alias("crowd"), F.abs(k - 20).alias("off"), q.alias("q"))
 
-    return F.array_min(F.transform(quantiles, judged))["q"]
+def _grow(vectors: np.ndarray, number: int, node: int, forest: Forest) -> str:
+    """Several levels of splits for a node of ``number`` vectors, from a sample of them.
+
+    JSON: ``splits`` of (attempt, place, below, above) and ``tight`` leaves; a reference below zero is a leaf.
+    """
+    unit, splits, tight = _unit(vectors), [], []
+    leaves_, todo = 0, [(np.arange(len(unit)), None, 0)]
+    while todo:
+        rows, parent, depth = todo.pop()
+        found = None
+        if len(rows) * number > forest.leaf * len(unit) and len(rows) >= 24 and depth < forest.depth:
+            for k in range(forest.tries):
+                values = unit[rows] @ _direction(forest, node, len(splits), k, unit.shape[1])
+                place, low, high = _place(values, forest)
+                if max(low, high) <= forest.same * len(rows):
+                    found = (k, round(place, 4), values)
+                    break
+            else:
+                tight.append(leaves_)
+        if found is None:
+            reference, leaves_ = -1 - leaves_, leaves_ + 1
+        else:
+            reference = len(splits)
+            splits.append([found[0], found[1], None, None])
+            todo.append((rows[found[2] <= found[1] + forest.margin], (reference, 2), depth + 1))
+            todo.append((rows[found[2] >= found[1] - forest.margin], (reference, 3), depth + 1))
+        if parent is not None:
+            splits[parent[0]][parent[1]] = reference
+    return json.dumps({"splits": splits, "tight": tight}, separators=(",", ":"))
+
+
+def _descend(vectors: np.ndarray, node: int, plan: dict, forest: Forest) -> Iterator[tuple[int, np.ndarray]]:
+    """The leaves of a plan with the rows that reach them."""
+    unit = _unit(vectors)
+    todo = [(0 if plan["splits"] else -1, np.arange(len(unit)))]
+    while todo:
+        reference, rows = todo.pop()
+        if not len(rows):
+            continue
+        if reference < 0:
+            yield -1 - reference, rows
+            continue
+        attempt, place, below, above = plan["splits"][reference]
+        values = unit[rows] @ _direction(forest, node, reference, attempt, unit.shape[1])
+        todo.append((below, rows[values <= place + forest.margin]))
+        todo.append((above, rows[values >= place - forest.margin]))
 
 
 def leaves(points: DataFrame, forest: Forest = Forest()) -> DataFrame:
-    """Leaves (``rep``, ``leaf``) of distinct vectors (``rep``, ``part``, ``vector``); parts are never mixed."""
+    """Leaves (``rep``, ``leaf``) of distinct vectors (``rep``, ``part``, ``vector``); parts are never mixed.
+
+    In each round every node with more than ``forest.leaf`` vectors is split over several levels, fitted on about
+    ``forest.sample`` of its vectors, and all its vectors go down. A round divides a node by up to 2 ** ``depth``.
+    """
     trees = F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree")
     active = points.select("rep", "part", "vector", trees)
-    active = active.select(
-        "rep", "tree", F.xxhash64("tree", "part").alias("node"), F.lit(0).alias("stuck"), "vector"
-    )
-    done, level = [], 0
+    active = checkpointed(active.select("rep", F.xxhash64("tree", "part").alias("node"), "vector"))
+    salt = F.pmod(F.xxhash64("rep"), F.lit(forest.salts)).cast("int").alias("salt")
+    every = F.explode(F.sequence(F.lit(0), F.lit(forest.salts - 1))).alias("salt")
+    done = []
+
+    def grow(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("rep", kind="stable")
+        node, number = int(group["node"].iloc[0]), int(group["n"].iloc[0])
+        plan = _grow(np.stack(group["vector"].to_numpy()).astype(np.float64), number, node, forest)
+        return pd.DataFrame({"node": [node], "plan": [plan]})
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column("node").to_numpy()
+            for node in np.unique(nodes):
+                own = batch.take(pa.array(np.flatnonzero(nodes == node)))
+                plan = json.loads(own.column("plan")[0].as_py())
+                for leaf, rows in _descend(_matrix(own.column("vector")), int(node), plan, forest):
+                    part = own.take(pa.array(rows))
+                    child = xxhash.xxh3_64_intdigest(f"{node}/{leaf}") - (1 << 63)
+                    columns = [
+                        part.column("rep"),
+                        pa.array(np.full(len(rows), child, dtype=np.int64)),
+                        part.column("vector"),
+                        pa.array(np.full(len(rows), leaf in plan["tight"])),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["rep", "node", "vector", "final"])
+
     while True:
-        place = level
-
-        def project(batches: Iterator[pa.RecordBatch], place: int = place) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                trees_of = batch.column("tree").to_numpy()
-                sizes = np.diff(batch.column("vector").offsets.to_numpy())
-                out = np.zeros(batch.num_rows)
-                # Vectors of different lengths are in different parts.
-                for size in np.unique(sizes):
-                    own = np.flatnonzero(sizes == size)
-                    unit = _unit(_matrix(batch.column("vector").take(pa.array(own))))
-                    for tree in np.unique(trees_of[own]):
-                        rng = np.random.default_rng([forest.seed, int(tree), place, int(size)])
-                        direction = rng.normal(size=int(size))
-                        chosen = trees_of[own] == tree
-                        # Unit vectors project to a standard deviation of about one.
-                        length = np.sqrt(size) / np.linalg.norm(direction)
-                        out[own[chosen]] = unit[chosen] @ direction * length
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in ("rep", "tree", "node", "stuck", "vector")), pa.array(out)],
-                    names=["rep", "tree", "node", "stuck", "vector", "p"],
-                )
-
-        schema = "rep long, tree int, node long, stuck int, vector array<double>, p double"
-        moved = checkpointed(active.mapInArrow(project, schema))
-        sizes = moved.groupBy("node").agg(
-            F.count(F.lit(1)).alias("n"), F.percentile_approx("p", PLACES, 2000).alias("q"), F.max("stuck").alias("stuck")
-        )
-        stats = checkpointed(sizes.withColumn("middle", _sparsest(F.col("q"), forest.margin)))
-        splits = stats.filter(f"n > {forest.leaf} AND stuck < {forest.tries}").select("node", "middle", "n")
-        salted = splits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(forest.salts - 1))))
-        salt = F.pmod(F.xxhash64("rep"), F.lit(forest.salts)).cast("int").alias("salt")
-        joined = checkpointed(moved.select("*", salt).join(salted, ["node", "salt"], "left"))
-        done.append(joined.filter("middle IS NULL").select("rep", F.col("node").alias("leaf")))
-        if splits.isEmpty():
+        sizes = active.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+        large = checkpointed(sizes.filter(F.col("n") > forest.leaf))
+        marked = active.select("*", salt).join(large.select("*", every), ["node", "salt"], "left")
+        done.append(marked.filter("n IS NULL").select("rep", F.col("node").alias("leaf")))
+        if large.isEmpty():
             break
-        split = joined.filter("middle IS NOT NULL")
-        low, high = F.col("p") <= F.col("middle") + forest.margin, F.col("p") >= F.col("middle") - forest.margin
-        counts = split.groupBy("node").agg(
-            F.sum(low.cast("long")).alias("low"), F.sum(high.cast("long")).alias("high"), F.first("n").alias("n")
-        )
-        tight = counts.filter(F.greatest("low", "high") > F.col("n") * forest.same).select("node", F.lit(1).alias("tight"))
-        tight = checkpointed(tight).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(forest.salts - 1))))
-        # A node that hardly divides stays whole and waits for another direction.
-        sides = F.filter(F.array(F.when(low, 0), F.when(high, 1)), lambda s: s.isNotNull())
-        judged = split.join(tight, ["node", "salt"], "left")
-        active = judged.select(
-            "rep",
-            "tree",
-            "node",
-            F.when(F.col("tight").isNull(), 0).otherwise(F.col("stuck") + 1).alias("stuck"),
-            "vector",
-            F.explode(F.when(F.col("tight").isNull(), sides).otherwise(F.array(F.lit(-1)))).alias("side"),
-        )
-        child = F.when(F.col("side") < 0, F.col("node")).otherwise(F.xxhash64("node", "side"))
-        active = active.select("rep", "tree", child.alias("node"), "stuck", "vector")
-        level += 1
+        sampled = marked.filter(F.pmod(F.xxhash64("node", "rep"), F.col("n")) < forest.sample)
+        plans = checkpointed(sampled.groupBy("node").applyInPandas(grow, "node long, plan string"))
+        planned = active.select("*", salt).join(plans.select("*", every), ["node", "salt"]).drop("salt")
+        routed = checkpointed(planned.mapInArrow(route, "rep long, node long, vector array<double>, final boolean"))
+        done.append(routed.filter("final").select("rep", F.col("node").alias("leaf")))
+        active = routed.filter("NOT final").drop("final")
     out = done[0]
     for other in done[1:]:
         out = out.unionByName(other)
