@@ -176,15 +176,20 @@ def _full(docs: DataFrame, frequent, join: Join) -> DataFrame:
     return docs.select("node", "text").mapInArrow(run, "node long, whole array<long>, second array<long>, third array<long>")
 
 
-def _allowed(join: Join) -> Column:
-    """Sizes and sketches of ``x`` and ``y`` admit the similarity.
+def _sizes_allow(join: Join) -> Column:
+    return F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * join.percent
 
-    At most (100 - p) / (100 + p) of both sizes together can differ, and each differing shingle flips one bit.
-    """
+
+def _sketches_allow(join: Join, x: str = "x.", y: str = "y.") -> Column:
+    """At most (100 - p) / (100 + p) of both sizes together can differ, and each differing shingle flips one bit."""
     p = join.percent
-    flips = sum((F.bit_count(F.col(f"x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(WORDS)), F.lit(0))
-    sizes = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * p)
-    return sizes & (flips * (100 + p) <= (F.col("x.n") + F.col("y.n")) * (100 - p))
+    flips = sum((F.bit_count(F.col(f"{x}sketch")[k].bitwiseXOR(F.col(f"{y}sketch")[k])) for k in range(WORDS)), F.lit(0))
+    return flips * (100 + p) <= (F.col(f"{x}n") + F.col(f"{y}n")) * (100 - p)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A checkpointed table of short rows, broadcast if they are few."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
@@ -204,16 +209,11 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", joi
     postings = described.filter("node IS NOT NULL").select("node", F.explode("prefix").alias("shingle"))
     several = postings.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     several = checkpointed(several.filter("low <> high").select("shingle"))
-    few = several.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    shared = postings.join(F.broadcast(several) if few else several, "shingle").distinct()
-    # What a document shares with any other, so that a pair can be told its first shared shingle.
-    mine = checkpointed(shared.groupBy("node").agg(F.sort_array(F.collect_list("shingle")).alias("mine")))
-    one = described.filter("node IS NOT NULL").select("node", "n", "sketch").join(mine, "node").dropDuplicates(["node"])
-    one = checkpointed(one)
-    if one.isEmpty():
-        linked = None
-    else:
-        linked = _linked(rows, nodes, one, frequent, join)
+    # A node's shingles that other nodes have among their first ones too.
+    shared = postings.join(_small(several), "shingle").groupBy("node").agg(F.collect_set("shingle").alias("mine"))
+    sized = described.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    one = checkpointed(shared.join(sized, "node"))
+    linked = None if one.isEmpty() else _linked(rows, nodes, one, frequent, join)
     out = documents if linked is None else documents.join(linked.withColumnRenamed("component", "c"), "node", "left")
     named = F.col("node") if linked is None else F.coalesce("c", "node")
     least = nodes if linked is None else nodes.join(linked.withColumnRenamed("component", "c"), "node", "left")
@@ -223,28 +223,39 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", joi
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _linked(rows: DataFrame, nodes: DataFrame, one: DataFrame, frequent, join: Join) -> DataFrame | None:
-    """(``node``, ``component``) of all nodes that link with another; None if there are none."""
+def _linked(rows: DataFrame, nodes: DataFrame, one: DataFrame, frequent, join: Join) -> DataFrame:
+    """(``node``, ``component``) of all nodes that link with another."""
     labels = one.select("node", F.col("node").alias("label"))
     links = None
     for number in range(join.rounds + 1):
-        labelled = one.join(labels, "node")
-        lists = labelled.select("*", F.explode("mine").alias("shingle"))
+        posts = one.select("node", "n", F.explode("mine").alias("shingle")).join(labels, "node")
+        # Shingles whose holders are all in one component have nothing more to tell.
+        spread = posts.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        mixed_ = checkpointed(spread.filter("low <> high").select("shingle"))
+        posts = posts.join(_small(mixed_), "shingle")
+        same = F.col("x.shingle") == F.col("y.shingle")
+        apart = F.col("x.label") != F.col("y.label")
         if number < join.rounds:
-            # Pivots: the members with the least hashes, of which there are new ones in each round.
-            ranked = [F.min(F.struct(F.xxhash64("node", F.lit(number * join.pivots + k)), "node")).alias(f"p{k}") for k in range(join.pivots)]
-            pivots = one.select("node", F.explode("mine").alias("shingle")).groupBy("shingle").agg(*ranked)
-            pivots = pivots.select("shingle", F.explode(F.array_distinct(F.array(*(F.col(f"p{k}.node") for k in range(join.pivots))))).alias("node"))
-            right = pivots.join(labelled.drop("mine"), "node")
-            met = lists.alias("x").join(right.alias("y"), F.col("x.shingle") == F.col("y.shingle"))
-            pairs = met.filter((F.col("x.label") != F.col("y.label")) & _allowed(join))
+            # Pivots: the holders with the least hashes, of which there are new ones in each round.
+            holder = F.struct("node", "n", "label")
+            ranked = [
+                F.min_by(holder, F.xxhash64("node", F.lit(number * join.pivots + k))).alias(f"p{k}") for k in range(join.pivots)
+            ]
+            pivots = posts.groupBy("shingle").agg(*ranked)
+            pivots = pivots.select("shingle", F.explode(F.array_distinct(F.array(*(f"p{k}" for k in range(join.pivots))))).alias("p"))
+            met = posts.alias("x").join(pivots.select("shingle", "p.*").alias("y"), same & apart & _sizes_allow(join))
+            pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+            sketches = one.select("node", "n", "sketch")
+            both = pairs.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(sketches.alias("y"), F.col("b") == F.col("y.node"))
+            pairs = both.filter(_sketches_allow(join)).select("a", "b")
         else:
-            met = lists.alias("x").join(lists.alias("y"), F.col("x.shingle") == F.col("y.shingle"))
+            held = posts.groupBy("node").agg(F.collect_list("shingle").alias("mine"), F.first("label").alias("label"))
+            full = held.join(one.drop("mine"), "node").select("*", F.explode("mine").alias("shingle"))
+            ordered = F.col("x.node") < F.col("y.node")
             first = F.array_min(F.array_intersect("x.mine", "y.mine")) == F.col("x.shingle")
-            ordered = (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
-            pairs = met.filter(ordered & _allowed(join) & first)
-        pairs = checkpointed(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-        found = _verified(rows, nodes, pairs, frequent, join)
+            fits = ordered & apart & _sizes_allow(join) & _sketches_allow(join) & first
+            pairs = full.alias("x").join(full.alias("y"), same & fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        found = _verified(rows, nodes, checkpointed(pairs), frequent, join)
         links = found if links is None else checkpointed(links.unionByName(found))
         joined = checkpointed(components(links, "a", "b"))
         labels = one.select("node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
@@ -256,8 +267,7 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, frequent, joi
     """The pairs of nodes (``a``, ``b``) that also share prefixes under the other orders and are similar enough."""
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = checkpointed(asked.join(nodes, "node").select("node", "row"))
-    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    chosen = rows.select("row", "text").join(F.broadcast(wanted) if few else wanted, "row").select("node", "text")
+    chosen = rows.select("row", "text").join(_small(wanted), "row").select("node", "text")
     sets = checkpointed(_full(chosen, frequent, join).dropDuplicates(["node"]))
 
     def side(name: str, *columns: str) -> DataFrame:
@@ -276,5 +286,4 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", join:
     """Documents without those linked to one with a smaller key; all columns stay. NULL keys stay where unlinked."""
     gone = join_documents(docs, key, text, join).filter(F.col(key) != F.col("component_id"))
     gone = checkpointed(gone.select(F.col(key).alias("_gone")).distinct())
-    few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if few else gone, docs[key] == gone["_gone"], "left_anti")
+    return docs.join(_small(gone), docs[key] == gone["_gone"], "left_anti")
