@@ -67,7 +67,7 @@ def scan(
     """Notices in documents: one row per document id and template with the best window.
 
     Columns: ``key``, ``template``, ``containment`` (share of the template's distinct five-word runs in the window,
-    ``least`` or more), ``start_word``. Case and signs between words do not count. A template of fewer than five words
+    ``least`` or more), ``start_word`` (of the first such window that is aligned with a shared run). Case and signs between words do not count. A template of fewer than five words
     is one run; templates and documents without words never match. Rows with equal ids are one document; a NULL
     id is an id of its own.
     """

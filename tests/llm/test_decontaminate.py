@@ -86,5 +86,5 @@ def test_blocks_find_all_within_the_radius(spark):
     df = spark.createDataFrame([(k, 0x0123456789ABCDEF, 0x0123456789ABCDEF ^ f) for k, f in enumerate(flips)], "k int, a long, b long")
     shared = F.size(F.array_intersect(decontaminate.blocks(F.col("a")), decontaminate.blocks(F.col("b"))))
     assert all(r["s"] >= 1 for r in df.select(shared.alias("s")).collect())
-    cover = df.select(F.aggregate(decontaminate.blocks(F.lit(-1)), F.lit(0), lambda t, b: t + F.bit_count(b["bits"])).alias("s")).first()
+    cover = df.select(F.aggregate(decontaminate.blocks(F.lit(-1).cast("long")), F.lit(0), lambda t, b: t + F.bit_count(b["bits"])).alias("s")).first()
     assert cover["s"] == 64
