@@ -123,7 +123,7 @@ def fan_out(left: DataFrame, right: Dimension, key: str, limits: Limits) -> Data
     marked = left.join(known, key, "left").withColumn("_bucket", bucket).join(hot, "_bucket", "left")
     several = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
     slots = F.when(F.col("_known"), several).otherwise(F.array(F.lit(0)))
-    copies = marked.drop("_bucket", "_parts").withColumn("_slot", F.explode(slots))
+    copies = marked.withColumn("_slot", F.explode(slots)).drop("_bucket", "_parts")
     joined = copies.join(deal(rows, key, hot, limits), [key, "_slot"], "left")
     kept = joined.filter(F.col("_known").isNull() | F.col("_copies").isNotNull()).drop("_known", "_slot")
     return expanded(kept.withColumn("_copies", F.coalesce("_copies", F.lit(1))))
