@@ -67,19 +67,25 @@ def _sketches(df: DataFrame) -> DataFrame:
     ).drop("letters")
 
 
+def padded(letters: Column, edits: int = EDITS) -> Column:
+    """Characters with room for the band before and after them."""
+    blank = F.array_repeat(F.lit(""), edits)
+    return F.concat(blank, letters, blank, blank)
+
+
 def within(one: Column, other: Column, edits: int = EDITS) -> Column:
-    """Whether two arrays of characters, whose lengths differ by ``edits`` at most, are that few edits apart.
+    """Whether two arrays of characters are at most ``edits`` edits apart; ``one`` is ``padded``.
 
     A banded automaton: for each number of edits one word whose bits are the diagonals of the band. Reading a
-    character of ``other`` moves all diagonals at once by shifts and logical operations.
+    character of ``other`` moves all diagonals at once by shifts and logical operations. Both have to be columns,
+    not expressions, or they would be computed again for every character.
     """
     width = 2 * edits + 1
     full = (1 << width) - 1
-    blank = F.array_repeat(F.lit(""), edits)
-    padded = F.concat(blank, one, blank, blank)
+    longer = F.size(one) - 3 * edits - F.size(other)
 
     def matches(character: Column, place: Column) -> Column:
-        bits = [F.when(padded[place + k] == character, F.lit(1 << k)).otherwise(F.lit(0)) for k in range(width)]
+        bits = [F.when(one[place + k] == character, F.lit(1 << k)).otherwise(F.lit(0)) for k in range(width)]
         total = bits[0]
         for b in bits[1:]:
             total = total.bitwiseOR(b)
@@ -97,9 +103,8 @@ def within(one: Column, other: Column, edits: int = EDITS) -> Column:
         return F.array(*rows)
 
     last = F.aggregate(F.transform(other, matches), start, step)
-    diagonal = F.size(one) - F.size(other) + edits
-    reached = F.call_function("shiftright", last[edits], diagonal).bitwiseAND(F.lit(1)) == 1
-    return (F.abs(F.size(one) - F.size(other)) <= edits) & reached
+    reached = F.call_function("shiftright", last[edits], longer + edits).bitwiseAND(F.lit(1)) == 1
+    return F.when(F.abs(longer) <= edits, reached).otherwise(F.lit(False))
 
 
 def _lines(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
@@ -132,9 +137,10 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
     filed = spread.filter("filed").drop("filed").withColumnRenamed("key", "filed_key")
     met = filed.join(other, (F.col("filed_key") == F.col("key")) & near)
     pairs = met.select(F.least("a", "other_a").alias("a"), F.greatest("a", "other_a").alias("other")).distinct()
-    texts = known.select("a", F.filter(F.split("line", ""), lambda c: c != "").alias("letters"))
-    both = pairs.join(texts, "a").join(texts.select(F.col("a").alias("other"), F.col("letters").alias("others")), "other")
-    return both.filter(within(F.col("letters"), F.col("others"), edits)).select("a", "other")
+    letters = F.filter(F.split("line", ""), lambda c: c != "")
+    one, two = known.select("a", padded(letters, edits).alias("one")), known.select(F.col("a").alias("other"), letters.alias("two"))
+    both = pairs.join(one, "a").join(two, "other")
+    return both.filter(within(F.col("one"), F.col("two"), edits)).select("a", "other")
 
 
 def deduplicate(

@@ -87,7 +87,8 @@ def test_automaton_is_the_edit_distance(spark, edits):
         pairs.append((a, b))
     chars = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
     df = spark.createDataFrame(pairs, "a string, b string")
-    rows = df.select("a", "b", lines.within(chars("a"), chars("b"), edits).alias("w")).collect()
+    arrays = df.select("a", "b", lines.padded(chars("a"), edits).alias("one"), chars("b").alias("two"))
+    rows = arrays.select("a", "b", lines.within(F.col("one"), F.col("two"), edits).alias("w")).collect()
     assert all(r["w"] == (distance(r["a"], r["b"]) <= edits) for r in rows)
 
 
