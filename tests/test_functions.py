@@ -112,3 +112,12 @@ def test_accrual_month(spark):
     rows = [(dt.date(2024, 3, 16), "P"), (dt.date(2024, 3, 17), "P"), (dt.date(2024, 1, 1), "P"), (dt.date(2024, 3, 1), "Q")]
     got = values(spark, rows, accrual_month(F.col("d"), F.col("c"), ("P",)), "d date, c string")
     assert got == [dt.date(2024, 2, 1), dt.date(2024, 3, 1), dt.date(2023, 12, 1), dt.date(2024, 3, 1)]
+
+
+def test_wide_ratios_are_right_or_raise(spark):
+    kinds = "n decimal(28,2), d decimal(28,2)"
+    rows = [("18446744073709.57", "0.01"), ("100000000000000.00", "-0.01"), ("-99999999999999999999999.99", "1.00")]
+    got = values(spark, [(D(n), D(d)) for n, d in rows], exact_ratio(F.col("n"), F.col("d")), kinds)
+    assert got == [D("1844674407370957"), D("-10000000000000000"), D("-99999999999999999999999.99")]
+    widest = [(D("9" * 26 + ".99"), D("0.01"))]
+    assert values(spark, widest, exact_ratio(F.col("n"), F.col("d")), kinds) == [D("9" * 28)]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerwell.config import Limits
 from ledgerwell.functions.text import normalise
 from ledgerwell.operators import matching as m
-from ledgerwell.operators.joins import Dimension, fan_out
+from ledgerwell.operators.joins import Dimension, deal, fan_out, hot_keys, lookup
 from ledgerwell.operators.resolve import with_adjustments
 
 WAYS = ("nested", "grams", "shuffled")
@@ -152,3 +152,28 @@ def test_normalise_agrees_with_plain_python(spark, corpus):
     texts = [t for t in corpus[0] if t is not None]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", normalise(F.col("t")).alias("n"))
     assert all(norm(r.t) == r.n for r in df.collect())
+
+
+def test_more_hot_keys_than_buckets(spark):
+    """Every hot key is split, rows keep their slots when permuted, and equal rows keep their number."""
+    limits = Limits(broadcast_rows=0, hot_key_rows=2, hot_keys=3)
+    left = [(f"k{k % 20}" if k % 7 else None, k // 4) for k in range(200)]
+    right = [(f"k{k % 25}", k) for k in range(75)] + [(None, 1), ("k1", 1), ("k1", 1)]
+    rows = spark.createDataFrame(left, "key string, n int")
+    table = spark.createDataFrame(right, "key string, m int")
+    hot = hot_keys(F.col("key"), rows, limits)
+    assert hot.count() == 3
+    slots = sorted(map(str, deal(rows, "key", hot, limits).collect()))
+    assert slots == sorted(map(str, deal(rows.orderBy(F.rand(3)).repartition(7), "key", hot, limits).collect()))
+    plain = lambda df: sorted((str(r["key"]), r["n"], str(r["m"])) for r in df.collect())
+    assert plain(lookup(rows, Dimension(table), "key", limits)) == plain(rows.join(table, "key", "left"))
+    once = rows.dropDuplicates(["key"])
+    assert plain(fan_out(once, Dimension(table), "key", limits)) == plain(once.join(table, "key", "left"))
+
+
+def test_asking_for_a_way_does_not_lift_the_bound(spark, cfg):
+    small = replace(cfg, limits=Limits(broadcast_rows=0))
+    rows = spark.createDataFrame([("h", "A", 1, "abc")], "source_hash string, account_id string, source_row_id bigint, description string")
+    rules = spark.createDataFrame([("abc", "C", "M", 1)], "keyword string, category_id string, merchant_name string, priority int")
+    text = m.attach_rule(rows, rules, small, "nested")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "_slot" in text

@@ -20,6 +20,12 @@ def test_no_python_and_no_cross_join(core):
     assert not re.search(r"Python|ArrowEval|MapInPandas|CartesianProduct", core)
 
 
+def test_one_account_is_attached_without_a_join(warehouse):
+    """No nested loop without a condition: the keyword loop of a short dictionary has one."""
+    for model in (warehouse.int_cash, warehouse.int_wallet, warehouse.int_account_common, warehouse.int_account_personal):
+        assert "NestedLoop" not in plan(model())
+
+
 def test_transactions_shuffle_once_by_hash(core):
     assert len(re.findall(r"Exchange hashpartitioning\(source_hash", core)) == 1
     assert "WindowGroupLimit [source_hash" in core and "Partial" in core and "Final" in core
