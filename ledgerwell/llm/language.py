@@ -72,7 +72,12 @@ def _buckets(data: np.ndarray, order: int) -> np.ndarray:
 
 
 def _spans(data: np.ndarray) -> Iterator[np.ndarray]:
-    """Subword buckets of one text in blocks, so that memory does not grow with the text."""
+    """Subword buckets of one text in blocks, so that memory does not grow with the text.
+
+    A separator stands before the text, so that its first letter begins a subword like any other word's.
+    """
+    if len(data):
+        data = np.concatenate([np.array([32], dtype=np.uint8), data])
     for low in range(0, len(data), BLOCK):
         block = _letters(data[max(0, low - 1) : low + BLOCK + max(ORDERS)])[min(low, 1) :]
         for order in ORDERS:
@@ -220,7 +225,7 @@ def _scores(data: np.ndarray, starts: np.ndarray, model: Model) -> tuple[np.ndar
                 sums[first] += model.table[found].sum(axis=0, dtype=np.float64)
                 number[first] += np.count_nonzero(found)
             continue
-        # Texts end with a separator, so that no subword runs into the next one.
+        # Texts stand between separators, so that no subword runs into the next one.
         own, places = fresh_rows(data, starts, first, last)
         filled = np.flatnonzero(np.diff(places))
         if not len(filled):

@@ -120,11 +120,11 @@ def _steps(lengths: np.ndarray) -> np.ndarray:
 
 
 def fresh_rows(data: np.ndarray, starts: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
-    """A copy of some texts with four spaces after each, and where each begins."""
+    """A copy of some texts with a space before and three after each, and where each begins."""
     lengths = np.diff(starts[first : last + 1])
     places = np.zeros(last - first + 1, dtype=np.int64)
     np.cumsum(lengths + 4, out=places[1:])
     out = np.full(places[-1], 32, dtype=np.uint8)
     source = data[starts[first] : starts[last]]
-    out[np.arange(len(source)) + 4 * np.repeat(np.arange(last - first), lengths)] = source
+    out[1 + np.arange(len(source)) + 4 * np.repeat(np.arange(last - first), lengths)] = source
     return out, places
