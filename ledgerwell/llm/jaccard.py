@@ -39,7 +39,7 @@ class Join:
     size: int = 4
     percent: int = 85
     frequent: int = 1_000_000
-    pivots: int = 6
+    pivots: int = 3
     rounds: int = 2
 
 
@@ -232,6 +232,8 @@ def _linked(rows: DataFrame, nodes: DataFrame, one: DataFrame, frequent, join: J
         # Shingles whose holders are all in one component have nothing more to tell.
         spread = posts.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         mixed_ = checkpointed(spread.filter("low <> high").select("shingle"))
+        if mixed_.isEmpty():
+            break
         posts = posts.join(_small(mixed_), "shingle")
         same = F.col("x.shingle") == F.col("y.shingle")
         apart = F.col("x.label") != F.col("y.label")
@@ -256,7 +258,7 @@ def _linked(rows: DataFrame, nodes: DataFrame, one: DataFrame, frequent, join: J
             fits = ordered & apart & _sizes_allow(join) & _sketches_allow(join) & first
             pairs = full.alias("x").join(full.alias("y"), same & fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         found = _verified(rows, nodes, checkpointed(pairs), frequent, join)
-        links = found if links is None else checkpointed(links.unionByName(found))
+        links = found if links is None else links.unionByName(found)
         joined = checkpointed(components(links, "a", "b"))
         labels = one.select("node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
         labels = checkpointed(labels)
@@ -267,8 +269,9 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, frequent, joi
     """The pairs of nodes (``a``, ``b``) that also share prefixes under the other orders and are similar enough."""
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = checkpointed(asked.join(nodes, "node").select("node", "row"))
-    chosen = rows.select("row", "text").join(_small(wanted), "row").select("node", "text")
-    sets = checkpointed(_full(chosen, frequent, join).dropDuplicates(["node"]))
+    # Equal rows are reduced while they are texts, which take less room than sets.
+    chosen = rows.select("row", "text").join(_small(wanted), "row").dropDuplicates(["node"]).select("node", "text")
+    sets = checkpointed(_full(chosen, frequent, join))
 
     def side(name: str, *columns: str) -> DataFrame:
         return sets.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
