@@ -18,10 +18,9 @@ EDITS = 2
 BROADCAST_ROWS = 500_000
 
 
-def _small(df: DataFrame, weight: Column | None = None) -> DataFrame:
-    """A checkpointed table, broadcast if its rows (weighed by what they hold) are few."""
-    held = df.agg(F.coalesce(F.sum(F.lit(1) if weight is None else weight), F.lit(0))).first()[0]
-    return F.broadcast(df) if held <= BROADCAST_ROWS else df
+def _small(df: DataFrame) -> DataFrame:
+    """A checkpointed table of short rows, broadcast if they are few."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def _positions(edits: int) -> list[tuple[int, int, int, bool]]:
@@ -119,11 +118,9 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
     """Pairs of different lines at most ``edits`` apart, as line hashes ``a`` < ``other``."""
     found = _lines(docs, key, text, least)
     signed = found.select("a", "line", F.explode(signatures(F.col("line"), F.length("line"), edits)).alias("s")).filter("s IS NOT NULL")
-    # Only keys that a line files and another one looks up matter; counts combine before the shuffle.
-    per_key = signed.select("s.key", "s.filed", "a").groupBy("key").agg(
-        F.max("filed").alias("filed"), F.min("a").alias("low"), F.max("a").alias("high")
-    )
-    keys = checkpointed(per_key.filter("filed AND low <> high").select("key"))
+    # Only keys of two different lines matter; the least and the greatest line combine before the shuffle.
+    per_key = signed.select("s.key", "a").groupBy("key").agg(F.min("a").alias("low"), F.max("a").alias("high"))
+    keys = checkpointed(per_key.filter("low <> high").select("key"))
     active = signed.select("a", "line", "s.key", "s.filed").join(_small(keys), "key")
     lines_ = active.groupBy("a").agg(F.first("line").alias("line"), F.collect_set(F.struct("key", "filed")).alias("keys"))
     known = checkpointed(_sketches(lines_))
@@ -168,9 +165,10 @@ def deduplicate(
     gone = found.select("row", "id", "place", "a", "b").join(_small(decided), ["a", "b"])
     stays = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("row") == F.col("kept.row")) & (F.col("place") == F.col("kept.place"))
     gone = gone.filter(~stays)
-    lists = checkpointed(gone.groupBy("row").agg(F.collect_set("place").alias("_gone")))
+    lists = gone.groupBy(F.col("row").alias("_row")).agg(F.collect_set("place").alias("_gone"))
     rows = docs.withColumn("_row", F.xxhash64(key, text))
-    out = rows.join(_small(lists, F.size("_gone") + 8).withColumnRenamed("row", "_row"), "_row", "left").drop("_row")
+    # Whole texts move, but are not sorted; the lists, which grow with them, are never broadcast.
+    out = rows.join(lists.hint("shuffle_hash"), "_row", "left").drop("_row")
     left = F.filter(F.split(text, "\n"), lambda line, k: ~F.array_contains(F.col("_gone"), k))
     cut = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     if report:
