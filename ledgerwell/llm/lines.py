@@ -106,7 +106,7 @@ def within(one: Column, other: Column, edits: int = EDITS) -> Column:
     return F.when(F.abs(longer) <= edits, reached).otherwise(F.lit(False))
 
 
-def _lines(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
+def _lines(docs: DataFrame, key: str, text: str, least: int = 1) -> DataFrame:
     """Lines of ``least`` characters or more: ``row`` (a hash of key and text), ``id``, ``place``, ``line``, ``a``, ``b``."""
     rows = docs.select(F.xxhash64(key, text).alias("row"), F.col(key).alias("id"), F.col(text).alias("text"))
     split = rows.select("row", "id", F.posexplode(F.split("text", "\n")).alias("place", "raw"))
@@ -146,12 +146,12 @@ def deduplicate(
     """Documents without lines that repeat an earlier one, exactly or up to ``edits`` edits.
 
     Lines that link directly or through others form a class; its first line by document key and place stays, the others
-    go from the text, with their line break. Lines of fewer than ``least`` characters between outer spaces always
-    stay. All rows and columns stay; a document that consists of repeated lines keeps an empty text. NULL texts stay
+    go from the text, with their line break. Lines of fewer than ``least`` characters between outer spaces have no near
+    lines, but go as exact repeats; empty lines always stay. All rows and columns stay; a document that consists of repeated lines keeps an empty text. NULL texts stay
     NULL. Rows with equal key and text are one document and keep or lose the same lines; a NULL key comes first.
     With ``report`` the columns ``n_lines`` and ``n_removed`` are added (those of these names are replaced).
     """
-    found = _lines(docs, key, text, least)
+    found = _lines(docs, key, text)
     place = F.struct("id", "row", "place")
     firsts = found.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     classes = checkpointed(components(links(docs, key, text, least, edits), "a", "other"))

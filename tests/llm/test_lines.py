@@ -119,3 +119,10 @@ def test_odd_rows(spark):
     ]
     assert out.filter("doc_id = 4").first()["text"] is None
     assert lines.deduplicate(df.limit(0)).count() == 0
+
+
+def test_short_lines_go_as_exact_repeats(spark):
+    rows = [(1, "Les.\n\nend\nshort line 1"), (2, " Les. \n\nmore\nshort line 2\nend"), (3, "Les.\n \nLes.\nlast\nlast")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in lines.deduplicate(df, report=True).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("\nmore\nshort line 2", 2), 3: (" \nlast", 3)}
