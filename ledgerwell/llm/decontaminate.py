@@ -1,8 +1,9 @@
 """Benchmark passages in documents: SimHash of item-sized windows, Hamming blocks, exact weighted similarity.
 
-A document window has as many words as a benchmark item. Its fingerprint and the item's differ in few bits if they are
-similar; cut into one block more than the radius, two fingerprints within the radius agree in a block at least. Windows
-that agree are compared by their runs of five words, each weighing as often as it occurs.
+A document window has as many words as a benchmark item. All windows are formed that hold enough runs of the
+benchmark to reach the similarity, wherever they begin. A window's fingerprint and the item's differ in few bits if
+they are similar; cut into one block more than the radius, two fingerprints within the radius agree in a block at
+least. Windows that agree are compared by their runs of five words, each weighing as often as it occurs.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwell.llm.common import checkpointed
-from ledgerwell.llm.windows import bounded, contents, keyed, once, overlap, references, shared_places
+from ledgerwell.llm.windows import bounded, contents, keyed, once, overlap, references, stretches
 
 RUN = 5
 BITS = 64
@@ -45,6 +46,26 @@ def blocks(print_: Column, radius: int = RADIUS) -> Column:
     return F.array(*parts)
 
 
+def starts(places: Column, n: Column, count: Column, run: int, least: float) -> Column:
+    """Where windows of ``n`` words begin that hold as many of the sorted ``places`` as ``least`` asks for.
+
+    Of m runs on both sides, S common ones are S / (2 m - S) alike. A window whose first place is number k ends
+    with place k + S - 1 or later, so it begins between that end and place k, behind place k - 1.
+    """
+    runs_ = n - run + 1
+    wanted = F.greatest(F.lit(1), F.ceil(runs_ * (2 * least / (1 + least)) - 1e-6).cast("int"))
+
+    def of(place: Column, k: Column) -> Column:
+        final = F.get(places, k + wanted - 1)
+        low = F.greatest(F.lit(0), final - runs_ + 1, F.when(k > 0, F.get(places, k - 1) + 1).otherwise(F.lit(0)))
+        high = F.least(place, count - n)
+        return F.when(final.isNotNull() & (low <= high), F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    # A document shorter than the item is one window; its runs are fewer, those of the item are not.
+    whole = F.when(F.size(places) >= F.ceil(runs_ * least - 1e-6), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    return F.when(count >= n, F.flatten(F.transform(places, of))).otherwise(whole)
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -57,8 +78,7 @@ def leaks(
     """Benchmark items in documents: one row per document id and item with the best window.
 
     Columns: ``key``, ``item``, ``similarity`` (weighted Jaccard of five-word runs, ``least`` or more), ``start_word``,
-    ``n_words``. Windows begin where an item would begin, judged by any run of words that both share, and stay within
-    the document; a shorter document is one window. Case and signs between words do not count. An item of fewer
+    ``n_words``. Windows begin at any word and stay within the document; a shorter document is one window. Case and signs between words do not count. An item of fewer
     than five words is one run; items and documents without words never match. Rows with equal ids are one
     document; a NULL id is an id of its own.
     """
@@ -66,9 +86,9 @@ def leaks(
     known = references(benchmark, item, item_text, RUN)
     found = []
     for size in sorted(r["run"] for r in known.select("run").distinct().collect()):
-        places = shared_places(rows, known, size)
-        start = F.greatest(F.lit(0), F.least("start", F.col("count") - F.col("n"))).alias("start")
-        windows = places.select("row", "n", start, F.least("n", "count").alias("length")).distinct()
+        places = stretches(rows, known, size)
+        begins = starts(F.col("places"), F.col("n"), F.col("count"), size, least)
+        windows = places.select("row", "n", F.explode(begins).alias("start"), F.least("n", "count").alias("length"))
         made = checkpointed(contents(rows, checkpointed(windows), size))
         # Equal windows of many documents are looked up once.
         content = [F.xxhash64("hashes"), F.xxhash64(F.lit(1), "hashes")]

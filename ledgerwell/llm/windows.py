@@ -73,8 +73,22 @@ def shared_places(docs: DataFrame, known: DataFrame, run: int) -> DataFrame:
     return met.select("row", "n", (F.col("place") - F.col("offset")).alias("start"), "count")
 
 
+def stretches(docs: DataFrame, known: DataFrame, run: int) -> DataFrame:
+    """Where documents (``keyed``) share a run of ``run`` words with a reference of ``references``.
+
+    Rows (``row``, ``n``, ``places``, ``count``): the references' words, the places of runs that any reference of so many
+    words has, in order, and the document's words.
+    """
+    occurrences = known.filter(F.col("run") == run).select("n", F.explode("hashes").alias("hash")).distinct()
+    split = once(docs.select("row", "text"), "words", words(F.col("text"))).select("row", "words")
+    placed = split.select("row", F.size("words").alias("count"), F.posexplode(runs(F.col("words"), run)).alias("place", "hash"))
+    met = placed.join(bounded(occurrences), "hash")
+    lists = met.groupBy("row", "n").agg(F.sort_array(F.collect_set("place")).alias("places"), F.first("count").alias("count"))
+    return lists.select("row", "n", "places", "count")
+
+
 def contents(docs: DataFrame, windows: DataFrame, run: int) -> DataFrame:
-    """Runs of words of windows (``row``, ``n``, ``start``, ``length``): adds ``id`` and ``hashes``; texts are read once more."""
+    """Runs of words of windows (``row``, ``n``, ``start``, ``length``), with ``id``, as ``hashes``; texts are read once more."""
     lists = windows.groupBy("row").agg(F.collect_set(F.struct("n", "start", "length")).alias("windows"))
     chosen = docs.join(bounded(lists), "row")
     split = once(chosen.select("row", "id", "windows", "text"), "words", words(F.col("text")))
@@ -86,8 +100,8 @@ def contents(docs: DataFrame, windows: DataFrame, run: int) -> DataFrame:
             window["n"].alias("n"), window["start"].alias("start"), F.slice(F.col("all"), window["start"] + 1, size).alias("hashes")
         )
 
-    made = hashed.select("id", F.explode(F.transform("windows", cut)).alias("w"))
-    return made.select("id", "w.n", "w.start", "w.hashes")
+    made = hashed.select("row", "id", F.explode(F.transform("windows", cut)).alias("w"))
+    return made.select("row", "id", "w.n", "w.start", "w.hashes")
 
 
 def overlap(one: Column, other: Column) -> Column:

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -88,3 +89,24 @@ def test_blocks_find_all_within_the_radius(spark):
     assert all(r["s"] >= 1 for r in df.select(shared.alias("s")).collect())
     cover = df.select(F.aggregate(decontaminate.blocks(F.lit(-1).cast("long")), F.lit(0), lambda t, b: t + F.bit_count(b["bits"])).alias("s")).first()
     assert cover["s"] == 64
+
+
+def test_insertions_moves_and_changes(spark):
+    """Windows that begin between the places where shared runs would have them begin, against every window."""
+    item = [f"p{k}" for k in range(60)]
+    filler = [f"f{k}" for k in range(20)]
+    inserted = ["first", *item[1:30], "two", "more", *item[30:59], "last"]
+    swapped = [*item[40:], *item[:40]]
+    docs = [(1, filler + inserted + filler), (2, filler + swapped), (3, inserted), (4, filler + item[:56] + filler), (5, item[3:59])]
+    rng = random.Random(3)
+    for k in range(6, 60):
+        own = list(item)
+        for _ in range(rng.randint(1, 3)):
+            at = rng.randrange(len(own))
+            own[at : at + rng.randint(0, 2)] = [f"x{rng.randrange(9)}" for _ in range(rng.randint(0, 3))]
+        docs.append((k, filler[: rng.randint(0, 20)] + own + filler[: rng.randint(0, 20)]))
+    docs = [(k, " ".join(found)) for k, found in docs]
+    items = [(1, " ".join(item)), (2, " ".join(item[:30])), (3, " ".join(f"p{k % 7}" for k in range(60)))]
+    left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.leaks(left, right).collect()}
+    assert got == brute(docs, items) and got[1, 1] == 0.806452
