@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwell.llm.common import checkpointed
+from ledgerwell.llm.common import checkpointed, fresh
 from ledgerwell.llm.windows import bounded, contents, keyed, once, overlap, references, stretches
 
 RUN = 5
@@ -66,22 +66,8 @@ def starts(places: Column, n: Column, count: Column, run: int, least: float) ->
     return F.when(count >= n, F.flatten(F.transform(places, of))).otherwise(whole)
 
 
-def leaks(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    item: str = "item_id",
-    item_text: str = "text",
-    least: float = 0.8,
-) -> DataFrame:
-    """Benchmark items in documents: one row per document id and item with the best window.
-
-    Columns: ``key``, ``item``, ``similarity`` (weighted Jaccard of five-word runs, ``least`` or more), ``start_word``,
-    ``n_words``. Windows begin at any word and stay within the document; a shorter document is one window. Case and signs between words do not count. An item of fewer
-    than five words is one run; items and documents without words never match. Rows with equal ids are one
-    document; a NULL id is an id of its own.
-    """
+def matches(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str, least: float) -> DataFrame:
+    """Windows similar to an item: ``row`` (of ``keyed``), ``id``, ``name``, ``n``, ``start``, ``similarity``."""
     rows = keyed(docs, key, text)
     known = references(benchmark, item, item_text, RUN)
     found = []
@@ -105,15 +91,34 @@ def leaks(
         pairs = once(pairs, "shared", overlap(F.col("hashes"), F.col("wanted")))
         union = F.size("hashes") + F.size("wanted") - F.col("shared")
         alike = pairs.select("n", "a", "b", "name", (F.col("shared") / union).alias("similarity")).filter(F.col("similarity") >= least)
-        found.append(marked.select("id", "n", "start", "a", "b").join(checkpointed(alike), ["n", "a", "b"]))
+        found.append(marked.select("row", "id", "n", "start", "a", "b").join(checkpointed(alike), ["n", "a", "b"]))
     if not found:
         name = F.lit(None).cast(benchmark.schema[item].dataType).alias("name")
-        empty = docs.limit(0).select(F.col(key).alias("id"), name)
-        found = [empty.selectExpr("id", "name", "0 AS n", "0 AS start", "0D AS similarity")]
-    columns = ["id", "name", "n", "start", "similarity"]
-    matches = reduce(DataFrame.unionByName, [f.select(*columns) for f in found])
+        empty = rows.limit(0).select("row", "id", name)
+        found = [empty.selectExpr("row", "id", "name", "0 AS n", "0 AS start", "0D AS similarity")]
+    columns = ["row", "id", "name", "n", "start", "similarity"]
+    return reduce(DataFrame.unionByName, [f.select(*columns) for f in found])
+
+
+def leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    least: float = 0.8,
+) -> DataFrame:
+    """Benchmark items in documents: one row per document id and item with the best window.
+
+    Columns: ``key``, ``item``, ``similarity`` (weighted Jaccard of five-word runs, ``least`` or more), ``start_word``,
+    ``n_words``. Windows begin at any word and stay within the document; a shorter document is one window. Case and signs between words do not count. An item of fewer
+    than five words is one run; items and documents without words never match. Rows with equal ids are one
+    document; a NULL id is an id of its own.
+    """
+    found = matches(docs, benchmark, key, text, item, item_text, least)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n")).alias("best")
-    return matches.groupBy("id", "name").agg(best).select(
+    return found.groupBy("id", "name").agg(best).select(
         F.col("id").alias(key),
         F.col("name").alias(item),
         F.round("best.similarity", 6).alias("similarity"),
@@ -122,7 +127,8 @@ def leaks(
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents without a benchmark passage; all columns stay."""
-    found = bounded(leaks(docs, benchmark, key, text).select(F.col(key).alias("_leaked")).distinct())
-    return docs.join(found, docs[key].eqNullSafe(found["_leaked"]), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
+    """Rows without a benchmark passage, each judged by its own text whatever its key; all columns stay."""
+    mark = fresh("row")
+    found = matches(docs, benchmark, key, text, "item_id", "text", least).select(F.col("row").alias(mark)).distinct()
+    return docs.withColumn(mark, F.xxhash64(key, text)).join(bounded(found), mark, "left_anti").drop(mark)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwell.llm.common import checkpointed, components
+from ledgerwell.llm.common import checkpointed, components, fresh
 from ledgerwell.llm.texts import flat, groups, mixed, shingles, word_hashes
 
 SKETCH = 512
@@ -192,14 +192,8 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
-    """One row per document: ``key``, ``n_shingles``, ``component_id``.
-
-    A document's set holds the runs of ``join.size`` words; a shorter text is one run. Words are what stands between
-    spaces and the characters 9 to 13, A-Z in lower case. NULL texts and texts without words have no shingles and link
-    with nothing. ``component_id`` is the smallest key reachable by links; documents of equal sets are linked.
-    Repeated rows stay. A NULL key never names a component that has another key. Other columns do not matter.
-    """
+def _described_and_linked(docs: DataFrame, key: str, text: str, join: Join) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Documents (``row``, ``id``, ``n``, ``node``), the distinct nodes, and those that link with their component, if any."""
     spark = docs.sparkSession
     rows = docs.select(F.xxhash64(key, text).alias("row"), F.col(key).alias("id"), F.col(text).alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows, "text", join))
@@ -214,6 +208,18 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", joi
     sized = described.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     one = checkpointed(shared.join(sized, "node"))
     linked = None if one.isEmpty() else _linked(rows, nodes, one, frequent, join)
+    return documents, nodes, linked
+
+
+def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
+    """One row per document: ``key``, ``n_shingles``, ``component_id``.
+
+    A document's set holds the runs of ``join.size`` words; a shorter text is one run. Words are what stands between
+    spaces and the characters 9 to 13, A-Z in lower case. NULL texts and texts without words have no shingles and link
+    with nothing. ``component_id`` is the smallest key reachable by links; documents of equal sets are linked.
+    Repeated rows stay. A NULL key never names a component that has another key. Other columns do not matter.
+    """
+    documents, nodes, linked = _described_and_linked(docs, key, text, join)
     out = documents if linked is None else documents.join(linked.withColumnRenamed("component", "c"), "node", "left")
     named = F.col("node") if linked is None else F.coalesce("c", "node")
     least = nodes if linked is None else nodes.join(linked.withColumnRenamed("component", "c"), "node", "left")
@@ -286,7 +292,28 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, frequent, joi
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
-    """Documents without those linked to one with a smaller key; all columns stay. NULL keys stay where unlinked."""
-    gone = join_documents(docs, key, text, join).filter(F.col(key) != F.col("component_id"))
-    gone = checkpointed(gone.select(F.col(key).alias("_gone")).distinct())
-    return docs.join(_small(gone), docs[key] == gone["_gone"], "left_anti")
+    """One row of each linked group, that of the smallest key, a NULL key last; all columns stay.
+
+    Rows count by key and text: a clean row that shares its key with a copy stays. Of equal keys the smallest row hash
+    stays, and of rows that repeat key and text one does. Rows without words stay.
+    """
+    documents, _, linked = _described_and_linked(docs, key, text, join)
+    documents = documents.filter("node IS NOT NULL").select("row", "id", "node")
+    if linked is None:
+        documents = documents.withColumn("of", F.col("node"))
+    else:
+        joined = documents.join(linked.withColumnRenamed("component", "c"), "node", "left")
+        documents = joined.withColumn("of", F.coalesce("c", "node"))
+    documents = checkpointed(documents.select("row", "id", "of"))
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")
+    kept = documents.groupBy("of").agg(F.min(order)["row"].alias("kept"))
+    mark, twice = fresh("row"), fresh("twice")
+    gone = documents.join(kept, "of").filter("row <> kept").select(F.col("row").alias(mark)).distinct()
+    marked = docs.withColumn(mark, F.xxhash64(key, text))
+    left = marked.join(_small(checkpointed(gone)), mark, "left_anti")
+    times = documents.groupBy("row").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    repeated = _small(checkpointed(times.select(F.col("row").alias(mark), F.lit(True).alias(twice))))
+    # Few rows are repeated; only they are reduced, before any shuffle of their texts.
+    split = left.join(repeated, mark, "left")
+    once = split.filter(F.col(twice)).dropDuplicates([mark])
+    return split.filter(F.col(twice).isNull()).unionByName(once).select(*docs.columns)

@@ -110,3 +110,13 @@ def test_insertions_moves_and_changes(spark):
     left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.leaks(left, right).collect()}
     assert got == brute(docs, items) and got[1, 1] == 0.806452
+
+
+def test_clean_judges_rows_not_keys(spark):
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(None, passage), (None, "clean words"), (None, None), (1, passage), (1, "clean as well"), (2, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    kept = decontaminate.clean(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, [r for r in rows if r[1] != passage]))

@@ -95,3 +95,13 @@ def test_hashes_do_not_depend_on_blocks(monkeypatch):
     assert hashes[0] == hashes[places[3] + 3] and hashes[1] == hashes[places[3] + 4]
     assert np.diff(places).tolist() == [2, 0, 0, 5, 1, 1]
     assert [r for r in texts.groups(starts, 6)][-1][1] == 6
+
+
+def test_one_row_of_each_group(spark):
+    """Copies without a key go, repeated rows leave one, and a clean row that shares its key with a copy stays."""
+    rows = [(None, "a copy without key"), (None, "A copy without  key"), (1, "some words here"), (2, "some words here")]
+    rows += [(2, "clean words of two"), (3, "said twice by three")] + [(3, "said twice by three")] * 3 + [(None, "some words here"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = Counter((r["doc_id"], " ".join((r["text"] or "").lower().split())) for r in jaccard.one_of_each(df).collect())
+    want = [(None, "a copy without key"), (1, "some words here"), (2, "clean words of two"), (3, "said twice by three"), (None, ""), (None, "")]
+    assert kept == Counter(want)
