@@ -1,8 +1,8 @@
 """License notices in documents: MinHash bands over overlapping windows, then exact containment.
 
-For a template of n words the windows have n words and a stride of a quarter of that more, so a notice lies whole in one
-of them. A window that holds 0.8 of a template's runs is at least 0.55 similar to it: 20 bands of 2 rows then
-meet with a probability above 0.999.
+For a template of n words the windows have n words and room for a fifth or quarter more, and begin at any shared run, so a
+notice with so many inserted words lies whole in one of them. A window that holds 0.8 of a template's runs is at
+least 0.5 similar to it: 40 bands of 2 rows then meet with a probability above 0.9999.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwell.llm.common import checkpointed
-from ledgerwell.llm.windows import contents, keyed, once, references, shared_places
+from ledgerwell.llm.windows import contents, keyed, references, stretches
 
-RUN, BANDS, ROWS = 5, 20, 2
+RUN, BANDS, ROWS = 5, 40, 2
 
 #: Public license notices. Fixed values.
 TEMPLATES = [
@@ -67,7 +67,8 @@ def scan(
     """Notices in documents: one row per document id and template with the best window.
 
     Columns: ``key``, ``template``, ``containment`` (share of the template's distinct five-word runs in the window,
-    ``least`` or more), ``start_word`` (of the first such window that is aligned with a shared run). Case and signs between words do not count. A template of fewer than five words
+    ``least`` or more), ``start_word`` (where the first such window that begins with a shared run begins, counted
+    in whole quarters of the template's words). Case and signs between words do not count. A template of fewer than five words
     is one run; templates and documents without words never match. Rows with equal ids are one document; a NULL
     id is an id of its own.
     """
@@ -76,10 +77,16 @@ def scan(
     stride = F.greatest(F.lit(1), F.floor(F.col("n") / 4).cast("int"))
     found = []
     for size in sorted(r["run"] for r in known.select("run").distinct().collect()):
-        places = shared_places(rows, known, size)
-        begin = F.greatest(F.lit(0), F.col("start"))
-        start = (begin - F.pmod(begin, stride)).alias("start")
-        windows = places.select("row", "n", start, (F.col("n") + stride - 1).alias("length")).distinct()
+        own = known.filter(F.col("run") == size)
+        needed = own.groupBy("n").agg(F.min(F.size(F.array_distinct("hashes"))).alias("least"))
+        needed = needed.select("n", F.ceil(F.col("least") * least - 1e-6).cast("int").alias("needed"))
+        places = stretches(rows, known, size).join(F.broadcast(needed), "n")
+        # A window that begins between two shared runs holds no more than the one that begins at the second.
+        length = F.col("n") + F.greatest(stride - 1, F.ceil(F.col("n") * 0.2).cast("int"))
+        final = F.transform("places", lambda p, k: F.get("places", k + F.greatest(F.lit(1), F.col("needed")) - 1) - p)
+        start = F.filter("places", lambda p, k: F.get(F.col("spans"), k) <= F.col("length") - size)
+        windows = places.withColumns({"length": length, "spans": final})
+        windows = windows.select("row", "n", F.explode(start).alias("start"), "length")
         made = checkpointed(contents(rows, checkpointed(windows), size))
         made = made.withColumn("hashes", F.array_distinct("hashes")).filter(F.size("hashes") > 0)
         marked = made.withColumns({"a": F.xxhash64("hashes"), "b": F.xxhash64(F.lit(1), "hashes")})
@@ -91,7 +98,8 @@ def scan(
         pairs = near.join(distinct, ["n", "a", "b"]).join(wanted, ["name", "n"])
         share = F.size(F.array_intersect("hashes", "wanted")) / F.size("wanted")
         alike = checkpointed(pairs.select("n", "a", "b", "name", share.alias("containment")).filter(F.col("containment") >= least))
-        found.append(marked.select("id", "n", "start", "a", "b").join(alike, ["n", "a", "b"]).select("id", "name", "start", "containment"))
+        begin = (F.col("start") - F.pmod("start", stride)).alias("start")
+        found.append(marked.select("id", "n", begin, "a", "b").join(alike, ["n", "a", "b"]).select("id", "name", "start", "containment"))
     if not found:
         name = F.lit(None).cast(templates.schema[template].dataType).alias("name")
         empty = docs.limit(0).select(F.col(key).alias("id"), name)

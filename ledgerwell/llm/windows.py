@@ -61,18 +61,6 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.xxhash64(key, text).alias("row"), F.col(key).alias("id"), F.col(text).alias("text"))
 
 
-def shared_places(docs: DataFrame, known: DataFrame, run: int) -> DataFrame:
-    """Where documents (``keyed``) share a run of ``run`` words with a reference of ``references``.
-
-    Rows (``row``, ``n``, ``start``, ``count``): the reference's words, where it would begin, the document's words.
-    """
-    occurrences = known.filter(F.col("run") == run).select("n", F.posexplode("hashes").alias("offset", "hash")).distinct()
-    split = once(docs.select("row", "text"), "words", words(F.col("text"))).select("row", "words")
-    placed = split.select("row", F.size("words").alias("count"), F.posexplode(runs(F.col("words"), run)).alias("place", "hash"))
-    met = placed.join(bounded(occurrences), "hash")
-    return met.select("row", "n", (F.col("place") - F.col("offset")).alias("start"), "count")
-
-
 def stretches(docs: DataFrame, known: DataFrame, run: int) -> DataFrame:
     """Where documents (``keyed``) share a run of ``run`` words with a reference of ``references``.
 

@@ -62,3 +62,23 @@ def test_odd_rows(spark):
     starts = {(r["doc_id"], r["template"]): r["start_word"] for r in rows}
     assert starts.pop((3, 1)) == 6 and starts == {k: b for k, (_, b) in want.items() if k != (3, 1)}
     assert licenses.scan(left.limit(0), right).count() == 0 and licenses.scan(left, right.limit(0)).count() == 0
+
+
+def test_inserted_words_at_any_place(spark):
+    """A notice with inserted words is found wherever it begins, as by trying every start."""
+    notice = licenses.TEMPLATES[8][1]
+    inserted = notice.replace("GNU General", "GNU Lesser General").split()
+    assert len(words(" ".join(inserted))) == 25
+    docs = [(k, " ".join([f"x{j}" for j in range(k)] + inserted + ["end"] * 40)) for k in range(14)]
+    docs += [(20, notice), (21, " ".join(inserted[:12])), (22, " ".join(f"{w} and" for w in notice.split()))]
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame([(1, notice)], "template int, notice string")
+    wanted, want = words(notice), {}
+    for doc, text in docs:
+        own = words(text)
+        windows = (own[k : k + 24 + 5] for k in range(len(own)))
+        share = max(len(runs(w, 5) & runs(wanted, 5)) / len(runs(wanted, 5)) for w in windows)
+        if share >= 0.8:
+            want[doc] = round(share, 6)
+    assert {r["doc_id"]: r["containment"] for r in licenses.scan(left, right).collect()} == want
+    assert want == {k: 0.8 for k in range(14)} | {20: 1.0}
