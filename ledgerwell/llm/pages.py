@@ -1,8 +1,8 @@
 """Main text of web pages: element subtrees that recur on a host's pages are removed, with the usual page furniture.
 
 Each page is parsed into a small tree. Spark counts on how many distinct articles of a host every subtree
-stands; subtrees on more than half of them are the site's template. Copies of an article count once, so a
-group of copies cannot make its own text a template.
+stands; subtrees on several of them are the site's template. Copies of an article count once, and articles
+made mostly of recurring subtrees do not count, so a group of copies cannot make its own text a template.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerwell.llm.common import checkpointed
+from ledgerwell.llm.windows import bounded
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -58,7 +59,7 @@ SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "names", "hidden", "role", "children", "digest")
+    __slots__ = ("tag", "names", "hidden", "role", "children", "digest", "own")
 
     def __init__(self, tag: str, attributes: list[tuple[str, str | None]] = ()):
         given = {k: v or "" for k, v in reversed(attributes)}
@@ -69,6 +70,7 @@ class Node:
         self.role = given.get("role", "").lower()
         self.children: list[Node | str] = []
         self.digest = 0
+        self.own = 0
 
 
 class Builder(HTMLParser):
@@ -171,6 +173,24 @@ def digests(root: Node) -> set[int]:
     return found
 
 
+def lengths(root: Node) -> tuple[dict[int, int], int]:
+    """Characters of each subtree of the article that are in no smaller block, by hash, and those of the whole article."""
+    found: dict[int, int] = {}
+    whole = 0
+    for top in article_roots(root):
+        nodes = ordered(top)
+        for node, _ in reversed(nodes):
+            node.own = sum(
+                len(SPACES.sub(" ", c).strip()) if isinstance(c, str) else 0 if c.tag in BLOCKS else c.own for c in node.children
+            )
+        for node, _ in nodes:
+            if node.tag in BLOCKS or node is top:
+                whole += node.own
+                if node is not top:
+                    found[node.digest] = found.get(node.digest, 0) + node.own
+    return found, whole
+
+
 def article_roots(root: Node) -> list[Node]:
     """The outermost articles, else the main element, else the whole page."""
     for wanted in (lambda n: n.tag == "article", lambda n: n.tag == "main" or n.role == "main"):
@@ -232,12 +252,16 @@ def extract(
     least: int = 10,
     share: float = 0.5,
     salts: int = 16,
+    several: int = 5,
+    few: int = 3,
+    copied: float = 0.75,
 ) -> DataFrame:
     """Add the main text of each page in ``out``; all rows and other columns stay.
 
-    A subtree is part of a host's template if it stands on more than ``share`` of the host's distinct
-    articles, and the host has ``least`` of them at least. There are fewer than 1 / ``share`` times as many as a page
-    has elements, so a host's list stays small. Pages without a host form no site. NULL and empty pages give an
+    A subtree is part of a host's template if it stands on ``several`` distinct articles of the host, on a host of fewer
+    than twice as many on half of them, but on ``few`` at least. An article of which more than ``copied`` of the text
+    recurs like that may be a near copy and does not count. A subtree on more than ``share`` of a host's
+    articles, if there are ``least``, is template in any case. Pages without a host form no site. NULL and empty pages give an
     empty text. Rows of a host that holds much of the input are spread over ``salts`` copies of its list.
     """
     kept = [c for c in df.columns if c != out]
@@ -247,7 +271,7 @@ def extract(
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
-                hosts, articles, subtrees = [], [], []
+                hosts, articles, subtrees, sizes, wholes = [], [], [], [], []
                 for name, page in zip(part.column("_host").to_pylist(), part.column("_html").to_pylist()):
                     root = parse(page)
                     prune(root)
@@ -255,18 +279,33 @@ def extract(
                     hosts.append(name)
                     articles.append(xxhash.xxh3_64_intdigest(blocks(root)) - (1 << 63))
                     subtrees.append(list(found))
+                    own, whole = lengths(root)
+                    sizes.append([own.get(s, 0) for s in subtrees[-1]])
+                    wholes.append(whole)
                 columns = [pa.array(hosts, pa.string()), pa.array(articles, pa.int64()), pa.array(subtrees, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["h", "article", "subtrees"])
+                columns += [pa.array(sizes, pa.list_(pa.int32())), pa.array(wholes, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "article", "subtrees", "own", "whole"])
 
     sites = pages.select("_host", F.col(html).alias("_html")).filter("_host <> '' AND _html IS NOT NULL")
-    seen = sites.mapInArrow(look, "h string, article long, subtrees array<long>")
+    # Kept, since what follows would otherwise parse all pages again.
+    seen = checkpointed(sites.mapInArrow(look, "h string, article long, subtrees array<long>, own array<int>, whole int"))
     # One row per article of a host, whatever the number of its copies; the whole of it counts as subtree NULL.
     parts = seen.select("h", "article", F.explode(F.concat("subtrees", F.array(F.lit(None).cast("long")))).alias("s"))
     standing = parts.distinct().groupBy("h", "s").agg(F.count(F.lit(1)).alias("n"))
-    # Kept, since both what follows would otherwise parse all pages.
-    standing = checkpointed(standing.filter("s IS NULL OR n > %d" % (least * share)))
-    sizes = standing.filter("s IS NULL AND n >= %d" % least).select("h", F.col("n").alias("total"))
-    usual = standing.filter("s IS NOT NULL AND n > %d" % (least * share)).join(sizes, "h").filter(F.col("n") > F.col("total") * share)
+    standing = checkpointed(standing.filter("s IS NULL OR n >= %d" % few))
+    sizes = standing.filter("s IS NULL").select("h", F.col("n").alias("total"))
+    needed = F.greatest(F.lit(few), F.least(F.lit(several), F.ceil(F.col("total") / 2)))
+    common = standing.filter("s IS NOT NULL").join(sizes, "h").withColumn("needed", needed).filter("n >= needed")
+    common = bounded(common.select("h", "s", "n", "total", "needed"))
+    # Votes of the articles that are not mostly made of such subtrees.
+    texts = seen.select("h", "article", "whole", F.explode(F.arrays_zip("subtrees", "own")).alias("p"))
+    texts = texts.select("h", "article", "whole", F.col("p.subtrees").alias("s"), "p.own")
+    texts = texts.join(common.select("h", "s"), ["h", "s"]).groupBy("h", "article", "s").agg(F.max("own").alias("own"), F.max("whole").alias("whole"))
+    found = texts.groupBy("h", "article").agg(F.collect_list("s").alias("held"), F.sum("own").alias("own"), F.max("whole").alias("whole"))
+    voting = found.filter(F.col("own") <= F.col("whole") * copied).select("h", F.explode("held").alias("s"))
+    votes = voting.groupBy("h", "s").agg(F.count(F.lit(1)).alias("votes"))
+    major = (F.col("total") >= least) & (F.col("n") > F.col("total") * share)
+    usual = common.join(votes, ["h", "s"], "left").filter((F.col("votes") >= F.col("needed")) | major)
     lists = usual.groupBy("h").agg(F.collect_set("s").alias("_template"))
     lists = lists.select(F.col("h").alias("_host"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"), "_template")
     joined = pages.join(lists.withColumn("_salt", F.col("_salt").cast("long")), ["_host", "_salt"], "left")

@@ -60,3 +60,18 @@ def test_template_of_a_host_goes_and_copies_stay(spark):
     assert all(out[k] == f"text number {k}" for k in range(12))
     assert all(out[100 + k] == "the same copy" for k in range(40))
     assert out[200] == "Read our guide"
+
+
+def test_blocks_on_a_part_of_a_host_and_on_small_hosts_go(spark):
+    def page(k, site, body, block=""):
+        return (k, f"https://{site}.example/x", f"<body><article><p>{body}</p>{block and f'<div><p>{block}</p></div>'}</article></body>")
+
+    own = [f"article {k} has {k * k} words of its own to tell" for k in range(200)]
+    rows = [page(k, "large", own[k], "Read our guide" if k < 12 else "") for k in range(40)]
+    rows += [page(50 + k, "small", own[50 + k], "Ask us" if k < 4 else "") for k in range(5)]
+    # Near copies: their common text is no template.
+    rows += [page(100 + k, "copies", f"edit {k}", "the long text that all of the near copies share, word for word") for k in range(6)]
+    rows += [page(120 + k, "copies", own[120 + k]) for k in range(20)]
+    out = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[k] == own[k] for k in [*range(40), *range(50, 55), *range(120, 140)])
+    assert all(out[100 + k].endswith("word for word") for k in range(6))
