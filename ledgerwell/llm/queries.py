@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerwell.llm import chat, decontaminate, jaccard, language, licenses, lines, neighbours, pages, pieces, quality
+from ledgerwell.llm import (
+    alignment,
+    chat,
+    copies,
+    decontaminate,
+    jaccard,
+    language,
+    licenses,
+    lines,
+    neighbours,
+    pages,
+    phrases,
+    pieces,
+    quality,
+)
 from ledgerwell.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -115,6 +129,30 @@ def op10_html(spark: SparkSession, root: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_exact(spark: SparkSession, root: str) -> DataFrame:
+    """Identical texts, the last of which stays."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    return copies.classes(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def tokenizer_files() -> alignment.Tokenizers:
+    return alignment.Tokenizers(
+        model_file(public_tokenizers.path("byte_bpe_50k.json")), public_tokenizers.PATTERN, model_file()
+    )
+
+
+def op12_alignment(spark: SparkSession, root: str) -> DataFrame:
+    """Tokens of two tokenizers that overlap in every whole text, by counts of the corpus."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    return alignment.align(docs, tokenizer_files(), keep_text=False)
+
+
+def op13_collocations(spark: SparkSession, root: str) -> DataFrame:
+    """Phrases of each language whose words belong together."""
+    return phrases.collocations(table(spark, root, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_chat": op2_chat,
@@ -126,9 +164,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_embeddings": op9_embeddings,
     "op10_html": op10_html,
+    "op11_exact": op11_exact,
+    "op12_alignment": op12_alignment,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLES: dict[str, str] = {}
+OP11_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+OP13_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), spoken AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM pieces
+), runs AS (
+    SELECT lang, t.size, array_to_string(words[u.i : u.i + t.size - 1], ' ') AS phrase
+    FROM spoken, range(1, 5) AS t(size), unnest(range(1, len(words) - t.size + 2)) AS u(i)
+), f AS (
+    SELECT lang, size, phrase, count(*) AS a FROM runs GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(a) AS n FROM f WHERE size = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, size, phrase, a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND a >= 30
+), cuts AS (
+    SELECT c.lang, c.size, c.phrase, c.a, t.k, array_to_string(words[1 : t.k], ' ') AS head,
+           array_to_string(words[t.k + 1 : c.size], ' ') AS rest
+    FROM candidates AS c, range(1, 4) AS t(k) WHERE t.k < c.size
+), scored AS (
+    SELECT cuts.lang, cuts.phrase, cuts.a, x.a AS l, y.a AS r, (2000000::HUGEINT * cuts.a) // (x.a + y.a) AS score
+    FROM cuts JOIN f AS x ON x.lang = cuts.lang AND x.phrase = cuts.head
+    JOIN f AS y ON y.lang = cuts.lang AND y.phrase = cuts.rest
+    QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1
+), inner_ones AS (
+    SELECT c.lang, array_to_string(words[u.i : u.i + t.size - 1], ' ') AS phrase, max(a) AS longer
+    FROM candidates AS c, range(2, 4) AS t(size), unnest(range(1, c.size - t.size + 2)) AS u(i)
+    WHERE t.size < c.size GROUP BY ALL
+)
+SELECT s.lang, row_number() OVER best AS rank, s.phrase, s.a, s.l, s.r, CAST(totals.n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM scored AS s JOIN totals USING (lang) LEFT JOIN inner_ones AS i ON i.lang = s.lang AND i.phrase = s.phrase
+WHERE i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * s.a
+WINDOW best AS (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase)
+QUALIFY row_number() OVER best <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op11_exact": OP11_SQL, "op13_collocations": OP13_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
