@@ -501,6 +501,20 @@ def _source(src: str) -> str:
 
 _RULES = f"SELECT {_KEY}, rule_category_id, rule_merchant, rule_priority FROM ruled"
 _ADJ = f"{_KEY}, adjustment_reason"
+_ADJUSTMENTS = f"""
+    SELECT {_ADJ}, category_id_override, merchant_override, adjustment_type, adjustment_amount FROM adjusted"""
+_CATEGORIES = f"""
+    SELECT {_ADJ}, category_id, group_name, category_name, subcategory_name, category_is_pnl FROM categorised"""
+_ORDER = f"""
+    SELECT 'fct_salaries_monthly' AS mart, '' AS account_id, CAST(fecha AS VARCHAR) AS month,
+        row_number() OVER (ORDER BY fecha DESC) AS position FROM ({_SALARIES})
+    UNION ALL
+    SELECT 'fct_monthly_balances', account_id, CAST(month_end_date AS VARCHAR),
+        row_number() OVER (PARTITION BY account_id ORDER BY month_end_date) FROM ({_BALANCES})
+    UNION ALL
+    SELECT 'fct_capex_summary', '', CAST(year_month AS VARCHAR), row_number() OVER (ORDER BY year_month DESC) FROM ({_CAPEX})
+    UNION ALL
+    SELECT 'fct_monthly_pnl', '', CAST(year_month AS VARCHAR), row_number() OVER (ORDER BY year_month DESC) FROM changed"""
 
 QUESTIONS = {
     "cash_running_balance": f"{_BALANCES} WHERE account_id = 'CASH'",
@@ -526,14 +540,15 @@ QUESTIONS = {
     "rule_match": _RULES,
     "rule_match_nested": _RULES,
     "rule_match_gram": _RULES,
+    "rule_match_coded": _RULES,
     "rule_match_shuffled": _RULES,
-    "adjustment_join": f"SELECT {_ADJ}, category_id_override, merchant_override, adjustment_type, adjustment_amount "
-    "FROM adjusted",
+    "adjustment_join": _ADJUSTMENTS,
+    "adjustment_join_shuffled": _ADJUSTMENTS,
     "category_resolve": f"SELECT {_ADJ}, category_id FROM resolved",
     "participant_resolve": f"SELECT {_ADJ}, participant_name FROM resolved",
     "merchant_resolve": f"SELECT {_ADJ}, merchant FROM resolved",
-    "category_join": f"SELECT {_ADJ}, category_id, group_name, category_name, subcategory_name, category_is_pnl "
-    "FROM categorised",
+    "category_join": _CATEGORIES,
+    "category_join_shuffled": _CATEGORIES,
     "movement_resolve": f"SELECT {_ADJ}, category_id, amount, movement_type FROM categorised",
     "personal_split": f"SELECT {_ADJ}, amount, personal_amount, personal_share_pct FROM transactions",
     "pnl_flags": f"SELECT {_ADJ}, year_month, year, month, is_pnl, is_shared FROM transactions",
@@ -555,6 +570,7 @@ QUESTIONS = {
     "pnl_mom": "SELECT year_month, personal_income_mom_pct, personal_expense_mom_pct, household_cost_mom_pct "
     "FROM changed",
     "fct_monthly_pnl": "SELECT * FROM changed",
+    "mart_order": _ORDER,
     "layer_run_report": _REPORT,
 }
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerwell import rulebook as book
 from ledgerwell.functions.dates import accrual_month
 from ledgerwell.functions.money import exact_ratio, total, zero
+from ledgerwell.operators.timeline import with_balance_months
 from ledgerwell.schemas import FACT_COLUMNS, RATIO, TOTAL
 
 SPENT = ("EXPENSE", "EXPENSE_REFUND")
@@ -68,22 +69,9 @@ def monthly_flow(resolved: DataFrame) -> DataFrame:
 
 def account_months(accounts: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
     """Every account in every month that has begun; months are generated per account, not joined."""
-    first, last = start.replace(day=1), as_of.replace(day=1)
-    span = F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month")) if start <= as_of else F.array()
-    month = F.col("start_of_month")
-    return (
-        accounts.select("account_id", "account_name", "account_type")
-        .distinct()
-        .withColumn("start_of_month", F.explode(span.cast("array<date>")))
-        .select(
-            "start_of_month",
-            F.last_day(month).alias("month_end_date"),
-            F.date_format(month, "yyyy-MM").alias("year_month"),
-            "account_id",
-            "account_name",
-            "account_type",
-        )
-    )
+    known = accounts.select("account_id", "account_name", "account_type").distinct()
+    spine = ("start_of_month", "month_end_date", "year_month")
+    return with_balance_months(known, start, as_of).select(*spine, *known.columns)
 
 
 def filled_grid(grid: DataFrame, flows: DataFrame) -> DataFrame:

@@ -101,29 +101,61 @@ def spread_left_join(left: DataFrame, right: DataFrame, key: str, limits: Limits
 
 
 def lookup(left: DataFrame, right: Dimension, key: str, limits: Limits) -> DataFrame:
-    """Left join of many rows to a table with few rows per key."""
+    """Left join of many rows to a table with few rows per key; the left rows move once at most."""
     if right.size.within(limits):
         return left.join(F.broadcast(right.df), key, "left")
-    return expanded(spread_left_join(counted(left), right.df, key, limits))
+    return spread_left_join(left, right.df, key, limits)
+
+
+def grid_join(left: DataFrame, right: DataFrame, key: str, limits: Limits) -> DataFrame:
+    """Shuffled inner join that holds when a key is hot on either side, or on both.
+
+    The rows of a hot key are dealt out on both sides: left rows over the lines of a grid, right rows over its columns.
+    A left row is copied along its line, a right one along its column, so every pair meets in one cell, and no cell
+    holds more than its share of either side.
+    """
+
+    def shares(df: DataFrame, name: str) -> DataFrame:
+        counts = df.filter(F.col(key).isNotNull()).groupBy(F.xxhash64(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+        parts = F.ceil(F.max("_n") / F.lit(limits.hot_key_rows)).cast("int").alias(name)
+        hot = counts.filter(F.col("_n") > limits.hot_key_rows)
+        return hot.groupBy(_bucket(F.col("_key"), limits).alias("_bucket")).agg(parts)
+
+    grid = F.broadcast(shares(left, "_lines").join(shares(right, "_columns"), "_bucket", "full"))
+
+    def placed(df: DataFrame, own: str, other: str) -> DataFrame:
+        known = df.filter(F.col(key).isNotNull())
+        known = known.withColumns({"_row": F.xxhash64(*df.columns), "_bucket": _bucket(F.xxhash64(key), limits)})
+        known = known.join(grid, "_bucket", "left").drop("_bucket")
+        many = {c: F.coalesce(F.col(c), F.lit(1)) for c in (own, other)}
+        dealt = known.withColumns({own: F.pmod("_row", many[own]).cast("int"), other: F.sequence(F.lit(0), many[other] - 1)})
+        return dealt.withColumn(other, F.explode(other)).drop("_row")
+
+    cells = [key, "_lines", "_columns"]
+    return placed(left, "_lines", "_columns").join(placed(right, "_columns", "_lines"), cells).drop("_lines", "_columns")
 
 
 def fan_out(left: DataFrame, right: Dimension, key: str, limits: Limits) -> DataFrame:
     """Left join where each key occurs at most once on the left and any number of times on the right.
 
     Beyond the broadcast bound the rows of a hot right key are dealt out over slots and the one left row is copied
-    to each; copies that meet nothing there are dropped. The left rows are read once.
+    to each. So that a copy can tell an empty slot from a key without rows, every slot of a listed key holds a mark.
+    The left rows are read and moved once.
     """
     matchable = right.df.filter(F.col(key).isNotNull())
     if right.size.within(limits):
         return left.join(F.broadcast(matchable), key, "left")
     rows = counted(matchable)
     hot = hot_keys(F.col(key), rows, limits)
-    known = rows.select(key).distinct().withColumn("_known", F.lit(True))
     bucket = _bucket(F.xxhash64(key), limits)
-    marked = left.join(known, key, "left").withColumn("_bucket", bucket).join(hot, "_bucket", "left")
-    several = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-    slots = F.when(F.col("_known"), several).otherwise(F.array(F.lit(0)))
-    copies = marked.withColumn("_slot", F.explode(slots)).drop("_bucket", "_parts")
-    joined = copies.join(deal(rows, key, hot, limits), [key, "_slot"], "left")
-    kept = joined.filter(F.col("_known").isNull() | F.col("_copies").isNotNull()).drop("_known", "_slot")
+    slots = F.sequence(F.lit(0), F.col("_parts") - 1)
+    listed = rows.select(key).distinct().withColumn("_bucket", bucket).join(hot, "_bucket")
+    marks = listed.select(key, F.explode(slots).alias("_slot"), F.lit(False).alias("_real"))
+    known = deal(rows, key, hot, limits).withColumn("_real", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    # Rows without a key match nothing and may go anywhere.
+    loose = F.array(F.pmod(F.xxhash64(*left.columns), F.lit(NULL_PARTS)).cast("int"))
+    places = F.when(F.col(key).isNull(), loose).otherwise(F.coalesce(slots, F.array(F.lit(0))))
+    copies = left.withColumn("_bucket", bucket).join(hot, "_bucket", "left").withColumn("_slot", F.explode(places))
+    joined = copies.drop("_bucket", "_parts").join(known, [key, "_slot"], "left")
+    kept = joined.filter(F.coalesce(F.col("_real"), F.col(key).isNull() | (F.col("_slot") == 0))).drop("_real", "_slot")
     return expanded(kept.withColumn("_copies", F.coalesce("_copies", F.lit(1))))

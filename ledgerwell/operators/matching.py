@@ -4,12 +4,16 @@ Text and keywords are normalised to the alphabet ``[a-z0-9 ]`` first, so contain
 ``contains``. A nested loop costs texts x keywords; beyond a few dozen keywords the pairs are found with
 an equi-join instead: every keyword is filed under its rarest three-letter piece, and a text that holds
 the keyword holds that piece too. ``contains`` then confirms each candidate, so all ways agree exactly.
+
+Statements repeat few texts many times. Beyond the nested loop, and while the distinct texts are few enough to
+broadcast, they alone are matched, and each row looks up what its text found.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +21,11 @@ from pyspark.sql import functions as F
 from ledgerwell.config import LedgerConfig, Limits
 from ledgerwell.functions.text import blank_to_null, normalise
 from ledgerwell.operators.joins import (
+    Dimension,
     Size,
-    copy_to_slots,
     counted,
-    deal,
     expanded,
-    hot_keys,
+    grid_join,
     measure,
     spread_left_join,
 )
@@ -108,25 +111,60 @@ def match_grams(rows: DataFrame, dictionary: DataFrame, profile: Profile) -> Dat
     return candidates.filter(F.col(KEYWORD).isNull() | F.contains(F.col(TEXT), F.col(KEYWORD))).drop("_gram")
 
 
+class Texts:
+    """The distinct values of a text column, if they are few enough to broadcast; judged once.
+
+    The column is sketched before it is collected: a table of mostly different texts is not sorted out for nothing.
+    The sketch errs by a twentieth, so twice the estimate has to fit.
+    """
+
+    def __init__(self, rows: DataFrame, column: str):
+        self.column = column
+        self._rows = rows.select(column).filter(F.col(column).isNotNull())
+
+    @cached_property
+    def distinct(self) -> DataFrame:
+        return self._rows.distinct()
+
+    def few(self, limits: Limits) -> bool:
+        return self._size.within(limits)
+
+    @cached_property
+    def _size(self) -> Size:
+        widest = F.coalesce(F.max(F.octet_length(F.col(self.column))), F.lit(0))
+        row = self._rows.agg(F.approx_count_distinct(self.column, 0.05), widest).first()
+        return Size(2 * row[0], 2 * row[0] * row[1])
+
+
+def match_texts(
+    texts: Texts, dictionary: DataFrame, profile: Profile, order: Sequence[Column], cfg: LedgerConfig
+) -> DataFrame:
+    """The best entry of each distinct text that holds a keyword, under the text itself."""
+    rows = texts.distinct.withColumn(TEXT, normalise(F.col(texts.column), cfg.fold_accents))
+    found = match_grams(rows, dictionary, profile)
+    best = first_by(found.filter(F.col(KEYWORD).isNotNull()), [texts.column], order)
+    return best.drop(TEXT)
+
+
 def match_shuffled(
-    rows: DataFrame, dictionary: DataFrame, profile: Profile, order: Sequence[Column], limits: Limits
+    rows: DataFrame, texts: Texts, dictionary: DataFrame, profile: Profile, order: Sequence[Column], cfg: LedgerConfig
 ) -> DataFrame:
-    """Dictionary too large to broadcast: each distinct text is matched once, then joined back.
+    """Dictionary too large to broadcast: each distinct text is matched once, then looked up by the rows.
 
-    The rows are stored first, as they are read several times. Only pieces under which a keyword is filed travel;
-    a piece found in very many texts is split over several tasks, with copies of its keywords in each.
+    Only pieces under which a keyword is filed travel. A piece found in very many texts, or under which very many
+    keywords are filed, is split on both sides. What the texts found is broadcast if its measured size allows.
     """
-    rows = stored(rows)
-    texts = rows.select(TEXT).filter(F.col(TEXT).isNotNull()).distinct()
+    distinct = stored(texts.distinct.withColumn(TEXT, normalise(F.col(texts.column), cfg.fold_accents)))
     entries = stored(filed(anchored(dictionary)))
     # At most 52,060 pieces exist.
     wanted = F.broadcast(entries.select("_gram").distinct())
-    pieces = stored(_pieces(texts, profile.sizes).join(wanted, "_gram", "left_semi"))
-    hot = hot_keys(F.col("_gram"), pieces, limits)
-    slots = deal(pieces, "_gram", hot, limits)
-    found = slots.join(copy_to_slots(entries, "_gram", hot, limits), ["_gram", "_slot"])
-    found = found.drop("_gram", "_slot").filter(F.contains(F.col(TEXT), F.col(KEYWORD)))
-    return expanded(spread_left_join(counted(rows), first_by(found, [TEXT], order), TEXT, limits))
+    pieces = _pieces(distinct, profile.sizes).distinct().join(wanted, "_gram", "left_semi")
+    found = grid_join(pieces, entries, "_gram", cfg.limits).drop("_gram")
+    found = found.filter(F.contains(F.col(TEXT), F.col(KEYWORD)))
+    best = Dimension(stored(first_by(found, [texts.column], order).drop(TEXT)))
+    if best.size.within(cfg.limits):
+        return rows.join(F.broadcast(best.df), texts.column, "left")
+    return expanded(spread_left_join(counted(rows), best.df, texts.column, cfg.limits))
 
 
 def choose_match(size: Size, limits: Limits) -> str:
@@ -136,20 +174,34 @@ def choose_match(size: Size, limits: Limits) -> str:
 
 
 def match_keywords(
-    rows: DataFrame, dictionary: DataFrame, order: Sequence[Column], limits: Limits, way: str | None = None
-) -> DataFrame:
+    rows: DataFrame,
+    dictionary: DataFrame,
+    order: Sequence[Column],
+    cfg: LedgerConfig,
+    way: str | None = None,
+    texts: Texts | None = None,
+) -> tuple[DataFrame, bool]:
     """Rows with candidate entries, the best by ``order`` among them; NULL entry where nothing matches.
 
-    ``way`` chooses among the ways that the dictionary's size allows.
+    ``way`` chooses among the ways that the sizes of the dictionary and of the distinct ``texts`` allow. Also tells
+    whether each row carries its best entry only.
     """
-    profile = profile_of(dictionary)
-    if way is None or not profile.size.within(limits):
-        way = choose_match(profile.size, limits)
-    if way == "nested":
-        return match_nested(rows, dictionary)
-    if way == "grams":
-        return match_grams(rows, dictionary, profile)
-    return match_shuffled(rows, dictionary, profile, order, limits)
+    limits, profile = cfg.limits, profile_of(dictionary)
+    texts = texts or Texts(rows, "description")
+    chosen = choose_match(profile.size, limits)
+    way = chosen if way is None and chosen != "grams" else way or "coded"
+    if chosen == "shuffled":
+        way = chosen
+    elif way == "coded" and not texts.few(limits):
+        way = "grams"
+    if way == "coded":
+        best = match_texts(texts, dictionary, profile, order, cfg)
+        return rows.join(F.broadcast(best), texts.column, "left"), True
+    if way == "shuffled":
+        return match_shuffled(rows, texts, dictionary, profile, order, cfg), True
+    rows = rows.withColumn(TEXT, normalise(F.col(texts.column), cfg.fold_accents))
+    found = match_nested(rows, dictionary) if way == "nested" else match_grams(rows, dictionary, profile)
+    return found.drop(TEXT), False
 
 
 def _collapsed(entries: DataFrame, keyword: str, order: Sequence[Column], cfg: LedgerConfig) -> DataFrame:
@@ -159,7 +211,7 @@ def _collapsed(entries: DataFrame, keyword: str, order: Sequence[Column], cfg: L
 
 
 def attach_participant(
-    rows: DataFrame, participants: DataFrame, cfg: LedgerConfig, way: str | None = None
+    rows: DataFrame, participants: DataFrame, cfg: LedgerConfig, way: str | None = None, texts: Texts | None = None
 ) -> DataFrame:
     """Person with the longest keyword found in the description, and one row per ``source_hash``.
 
@@ -172,8 +224,7 @@ def attach_participant(
         F.col("participant_name").asc_nulls_last(),
     ]
     people = _collapsed(people, "_keyword", best, cfg)
-    texts = rows.withColumn(TEXT, normalise(F.col("description"), cfg.fold_accents))
-    found = match_keywords(texts, people, best, cfg.limits, way).drop(TEXT, KEYWORD)
+    found = match_keywords(rows, people, best, cfg, way, texts)[0].drop(KEYWORD)
     copies = ["account_id", "source_row_id"]
     copies += [c for c in UNIFIED_COLUMNS if c in rows.columns and c not in (*copies, "source_hash")]
     copies = [c for c in copies if c not in ("personal_amount", "is_pnl")]
@@ -181,11 +232,13 @@ def attach_participant(
     return first_by(found, ["source_hash"], order).drop("_keyword")
 
 
-def attach_rule(rows: DataFrame, rules: DataFrame, cfg: LedgerConfig, way: str | None = None) -> DataFrame:
+def attach_rule(
+    rows: DataFrame, rules: DataFrame, cfg: LedgerConfig, way: str | None = None, texts: Texts | None = None
+) -> DataFrame:
     """Best rule whose keyword the description contains: highest priority, then longest keyword.
 
-    Needs one row per ``source_hash``. The pick partitions by the same hash as the step before, so it
-    adds no shuffle of the transactions.
+    Needs one row per ``source_hash``. A pick partitions by the same hash as the step before, so it
+    adds no shuffle of the transactions; rows that looked their text up need none.
     """
     rules = rules.select(
         F.col("keyword").alias("_keyword"),
@@ -201,7 +254,8 @@ def attach_rule(rows: DataFrame, rules: DataFrame, cfg: LedgerConfig, way: str |
         F.col("_keyword").asc_nulls_last(),
     ]
     rules = _collapsed(rules, "_keyword", best, cfg)
-    texts = rows.withColumn(TEXT, normalise(F.col("description"), cfg.fold_accents))
-    found = match_keywords(texts, rules, best, cfg.limits, way).drop(TEXT)
+    found, picked = match_keywords(rows, rules, best, cfg, way, texts)
+    if picked:
+        return found.drop(KEYWORD, "_keyword")
     order = [F.col(KEYWORD).isNull(), *best]
     return first_by(found, ["source_hash"], order).drop(KEYWORD, "_keyword")

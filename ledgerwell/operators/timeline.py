@@ -55,10 +55,13 @@ def salary_months(calendar: DataFrame, start: dt.date, as_of: dt.date) -> DataFr
     return months.select("start_of_month", "year", "month", "year_month").distinct()
 
 
-def balance_months(calendar: DataFrame, as_of: dt.date) -> DataFrame:
-    """Months that have begun by ``as_of``, the current one with its end still ahead."""
-    return (
-        calendar.filter(F.col("date_key") <= F.lit(as_of))
-        .select("start_of_month", F.col("end_of_month").alias("month_end_date"), "year_month")
-        .distinct()
-    )
+def with_balance_months(df: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
+    """Each row once for every month that has begun by ``as_of``, the current one with its end still ahead.
+
+    The months are generated per row, not joined.
+    """
+    first, last = start.replace(day=1), as_of.replace(day=1)
+    span = F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month")) if start <= as_of else F.array()
+    month = F.col("start_of_month")
+    months = df.withColumn("start_of_month", F.explode(span.cast("array<date>")))
+    return months.withColumns({"month_end_date": F.last_day(month), "year_month": F.date_format(month, "yyyy-MM")})

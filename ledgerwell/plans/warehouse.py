@@ -14,7 +14,7 @@ from ledgerwell.config import LedgerConfig
 from ledgerwell.operators import aggregate, resolve, timeline
 from ledgerwell.operators.classify import classify, union_all, with_account, with_own_account
 from ledgerwell.operators.joins import Dimension
-from ledgerwell.operators.matching import attach_participant, attach_rule
+from ledgerwell.operators.matching import Texts, attach_participant, attach_rule
 from ledgerwell.plans import staging
 from ledgerwell.schemas import MONEY
 from ledgerwell.sources.inputs import Inputs
@@ -48,17 +48,21 @@ class Warehouse:
     inputs: Inputs
     cfg: LedgerConfig
     stored: Callable[[str], DataFrame | None] = lambda model: None
-    _dimensions: dict[str, Dimension] = field(default_factory=dict, repr=False)
+    _dimensions: dict[str, tuple[tuple[str, ...], Dimension]] = field(default_factory=dict, repr=False)
     _plans: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    _texts: dict[str, Texts] = field(default_factory=dict, repr=False)
 
     def reading(self, stored: Callable[[str], DataFrame | None]) -> Warehouse:
-        return replace(self, stored=stored, _plans={})
+        return replace(self, stored=stored, _plans={}, _texts={})
 
     def dimension(self, table: str) -> Dimension:
-        """Reference table whose size is measured once."""
-        if table not in self._dimensions:
-            self._dimensions[table] = Dimension(self.inputs[table])
-        return self._dimensions[table]
+        """Reference table whose size is measured once for each state of its files."""
+        df = self.inputs[table]
+        files = tuple(sorted(df.inputFiles()))
+        known = self._dimensions.get(table)
+        if known is None or not files or known[0] != files:
+            known = self._dimensions[table] = (files, Dimension(df))
+        return known[1]
 
     # Staging
 
@@ -137,12 +141,20 @@ class Warehouse:
             ]
         )
 
+    def descriptions(self) -> Texts:
+        """The distinct statement texts, read apart from the other columns."""
+        if "descriptions" not in self._texts:
+            self._texts["descriptions"] = Texts(self.int_transactions_unioned(), "description")
+        return self._texts["descriptions"]
+
     @model
     def with_participant(self) -> DataFrame:
-        return attach_participant(self.int_transactions_unioned(), self.inputs["master_participants"], self.cfg)
+        people = self.inputs["master_participants"]
+        return attach_participant(self.int_transactions_unioned(), people, self.cfg, texts=self.descriptions())
 
     def matched(self, way: str | None) -> DataFrame:
-        return attach_rule(self.with_participant(), self.inputs["rules_mapping"], self.cfg, way)
+        rules = self.inputs["rules_mapping"]
+        return attach_rule(self.with_participant(), rules, self.cfg, way, self.descriptions())
 
     @model
     def with_rule(self) -> DataFrame:

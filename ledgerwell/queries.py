@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerwell.config import Limits
 from ledgerwell.fixtures.testdata import CONFIG, TestData
 from ledgerwell.functions.text import normalise
-from ledgerwell.operators import aggregate, timeline
+from ledgerwell.operators import aggregate, resolve, timeline
 from ledgerwell.operators.classify import union_all, with_account
 from ledgerwell.operators.resolve import resolved_movement_type
 from ledgerwell.plans.run import run_layers
@@ -22,6 +23,8 @@ from ledgerwell.sources.sinks import drop_tables
 
 KEY = ("source_hash", "source_row_id", "account_id")
 ADJUSTED = (*KEY, "adjustment_reason")
+#: Tables beyond any broadcast, and keys that are hot from few rows on.
+SHUFFLED = Limits(broadcast_rows=0, hot_key_rows=10_000)
 
 
 @lru_cache(maxsize=8)
@@ -70,23 +73,46 @@ def rules(way: str | None) -> Callable[[Warehouse], DataFrame]:
     return lambda w: w.matched(way).select(*KEY, "rule_category_id", "rule_merchant", "rule_priority")
 
 
-def _data_calendar(w: Warehouse) -> DataFrame:
-    """Calendar of the years that the transactions cover."""
+def _data_years(w: Warehouse) -> tuple[dt.date, dt.date]:
+    """First and last day of the years that the transactions cover."""
     first, last = w.int_transactions_unioned().agg(F.year(F.min("value_date")), F.year(F.max("value_date"))).first()
-    days = timeline.days_between(w.spark, dt.date(first, 1, 1), dt.date(last, 12, 31))
-    return timeline.calendar_attributes(days)
+    return dt.date(first, 1, 1), dt.date(last, 12, 31)
+
+
+def _data_calendar(w: Warehouse) -> DataFrame:
+    return timeline.calendar_attributes(timeline.days_between(w.spark, *_data_years(w)))
 
 
 def month_spines(w: Warehouse) -> DataFrame:
-    calendar = _data_calendar(w)
+    first, last = _data_years(w)
+    calendar = timeline.calendar_attributes(timeline.days_between(w.spark, first, last))
     salaries = timeline.salary_months(calendar, w.cfg.salary_start, w.cfg.today()).select(
         F.lit("salaries").alias("spine"),
         "start_of_month",
         F.last_day("start_of_month").alias("month_end_date"),
         "year_month",
     )
-    balances = timeline.balance_months(calendar, w.cfg.today()).select(F.lit("balances").alias("spine"), "*")
-    return salaries.unionByName(balances)
+    one = w.spark.range(1).select(F.lit("balances").alias("spine"))
+    return salaries.unionByName(timeline.with_balance_months(one, first, min(last, w.cfg.today())))
+
+
+def mart_order(w: Warehouse) -> DataFrame:
+    """At which place each row of an ordered mart stands: months in the whole mart, balances among their account's."""
+    place = F.monotonically_increasing_id().alias("_place")
+
+    def placed(df: DataFrame, mart: str, month: str, account: Column) -> DataFrame:
+        rows = df.select(F.lit(mart).alias("mart"), account.alias("account_id"), F.col(month).alias("month"), place)
+        order = Window.partitionBy("account_id").orderBy("_place")
+        return rows.withColumn("position", F.row_number().over(order).cast("long")).drop("_place")
+
+    none = F.lit("")
+    marts = [
+        placed(w.fct_salaries_monthly(), "fct_salaries_monthly", "fecha", none),
+        placed(w.fct_monthly_balances(), "fct_monthly_balances", "month_end_date", F.col("account_id")),
+        placed(w.fct_capex_summary(), "fct_capex_summary", "year_month", none),
+        placed(w.fct_monthly_pnl(), "fct_monthly_pnl", "year_month", none),
+    ]
+    return reduce(DataFrame.unionByName, (m.withColumn("month", F.col("month").cast("string")) for m in marts))
 
 
 def account_month_grid(w: Warehouse) -> DataFrame:
@@ -129,16 +155,23 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "rule_match": rules(None),
     "rule_match_nested": rules("nested"),
     "rule_match_gram": rules("grams"),
+    "rule_match_coded": rules("coded"),
     "rule_match_shuffled": rules("shuffled"),
     "adjustment_join": lambda w: w.adjusted().select(
         *ADJUSTED, "category_id_override", "merchant_override", "adjustment_type", "adjustment_amount"
     ),
+    "adjustment_join_shuffled": lambda w: resolve.with_adjustments(
+        w.with_rule(), w.dimension("master_adjustments"), SHUFFLED
+    ).select(*ADJUSTED, "category_id_override", "merchant_override", "adjustment_type", "adjustment_amount"),
     "category_resolve": lambda w: w.resolved().select(*ADJUSTED, "category_id"),
     "participant_resolve": lambda w: w.resolved().select(*ADJUSTED, "participant_name"),
     "merchant_resolve": lambda w: w.resolved().select(*ADJUSTED, "merchant"),
     "category_join": lambda w: w.categorised().select(
         *ADJUSTED, "category_id", "group_name", "category_name", "subcategory_name", "category_is_pnl"
     ),
+    "category_join_shuffled": lambda w: resolve.with_category(
+        w.resolved(), w.dimension("dim_categories"), SHUFFLED
+    ).select(*ADJUSTED, "category_id", "group_name", "category_name", "subcategory_name", "category_is_pnl"),
     "movement_resolve": lambda w: w.categorised().select(
         *ADJUSTED, "category_id", "amount", resolved_movement_type().alias("movement_type")
     ),
@@ -168,6 +201,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         "year_month", "personal_income_mom_pct", "personal_expense_mom_pct", "household_cost_mom_pct"
     ),
     "fct_monthly_pnl": lambda w: w.fct_monthly_pnl(),
+    "mart_order": mart_order,
     "layer_run_report": layer_run_report,
 }
 

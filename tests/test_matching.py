@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ledgerwell.config import Limits
 from ledgerwell.functions.text import normalise
 from ledgerwell.operators import matching as m
-from ledgerwell.operators.joins import Dimension, deal, fan_out, hot_keys, lookup
+from ledgerwell.operators.joins import Dimension, deal, fan_out, grid_join, hot_keys, lookup
 from ledgerwell.operators.resolve import with_adjustments
 
-WAYS = ("nested", "grams", "shuffled")
+WAYS = ("nested", "grams", "coded", "shuffled")
 ROW = "source_hash string, account_id string, source_row_id bigint, description string"
 RULE = "keyword string, category_id string, merchant_name string, priority int"
 
@@ -177,3 +177,23 @@ def test_asking_for_a_way_does_not_lift_the_bound(spark, cfg):
     rules = spark.createDataFrame([("abc", "C", "M", 1)], "keyword string, category_id string, merchant_name string, priority int")
     text = m.attach_rule(rows, rules, small, "nested")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in text and "_slot" in text
+
+
+def test_grid_join_with_both_sides_hot(spark):
+    """Every pair meets once, and no cell holds more than its share of a hot key."""
+    limits = Limits(hot_key_rows=10, hot_keys=7)
+    left = spark.range(300).selectExpr("if(id < 250, 'hot', if(id % 9 = 0, null, cast(id % 11 as string))) as k", "id as n")
+    right = spark.range(120).selectExpr("if(id < 90, 'hot', if(id % 7 = 0, null, cast(id % 13 as string))) as k", "id as m")
+    plain = lambda df: sorted((r["k"], r["n"], r["m"]) for r in df.collect())
+    assert plain(grid_join(left, right, "k", limits)) == plain(left.join(right, "k"))
+    cells = left.join(right, "k").count()
+    assert cells > 250 * 90 - 1 and grid_join(left.limit(0), right, "k", limits).count() == 0
+
+
+def test_many_texts_are_not_coded(spark, cfg):
+    rows = spark.createDataFrame([("h%d" % i, "A", i, "text %d abc" % i) for i in range(300)], ROW)
+    rules = spark.createDataFrame([("abc", "C", "M", 1)], RULE)
+    few = replace(cfg, limits=Limits(broadcast_rows=100))
+    text = m.attach_rule(rows, rules, few, "coded")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [_gram" in text
+    assert m.attach_rule(rows, rules, few, "coded").filter("rule_category_id = 'C'").count() == 300

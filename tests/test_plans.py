@@ -4,6 +4,8 @@ import re
 
 import pytest
 
+from ledgerwell.config import Limits
+from ledgerwell.operators.joins import Dimension, fan_out, grid_join, lookup
 from ledgerwell.operators.matching import attach_rule
 
 
@@ -45,11 +47,34 @@ def test_gram_lookup_is_a_hash_join(warehouse):
     assert "BroadcastHashJoin [_gram" in text
 
 
-def test_large_dictionary_is_joined_by_piece_and_slot(spark, cfg):
+def test_large_dictionary_is_joined_by_piece_and_cell(spark, cfg):
+    """The pieces meet in a shuffled join on both places of the grid; what they found is stored and looked up."""
+    pieces, entries = (spark.createDataFrame([(1, "a")], f"_gram long, {c} string") for c in ("text", "word"))
+    text = plan(grid_join(pieces, entries, "_gram", cfg.limits))
+    assert re.search(r"(SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[_gram#\d+L, _lines#\d+, _columns", text)
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
     rows = spark.createDataFrame([("h", "A", 1, "abc")], "source_hash string, account_id string, source_row_id bigint, description string")
     rules = spark.createDataFrame([("abc", "C", "M", 1)], "keyword string, category_id string, merchant_name string, priority int")
-    text = plan(attach_rule(rows, rules, cfg, "shuffled"))
-    assert re.search(r"(SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[_gram#\d+L, _slot", text)
+    assert "BroadcastHashJoin [description" in plan(attach_rule(rows, rules, cfg, "shuffled"))
+
+
+def test_known_texts_are_matched_once_and_looked_up(warehouse):
+    text = plan(warehouse.matched("coded").select("source_hash", "rule_category_id"))
+    assert "BroadcastHashJoin [description" in text
+
+
+@pytest.mark.parametrize("join", [fan_out, lookup])
+def test_the_left_side_of_a_large_join_moves_once(spark, join):
+    left = spark.range(50).selectExpr("cast(id as string) as k", "id as wide")
+    right = Dimension(spark.range(80).selectExpr("cast(id % 20 as string) as k", "id as v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(join(left, right, "k", Limits(broadcast_rows=0, hot_key_rows=3)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One exchange of each side by key and slot; all others carry counts or keys only.
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert len([x for x in moved if "_slot" in x]) == 2 and not any("wide" in x for x in moved)
 
 
 def test_marts_combine_before_the_shuffle(warehouse):

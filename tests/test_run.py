@@ -7,6 +7,7 @@ from ledgerwell.plans.warehouse import Warehouse
 from ledgerwell.schemas import RAW_TABLES, REFERENCE_TABLES
 from ledgerwell.session import shared_folder
 from ledgerwell.sources import inputs as sources
+from ledgerwell.sources import sinks
 from ledgerwell.sources.sinks import read_table, replace_table, schema_name, table_path
 
 
@@ -123,12 +124,91 @@ def test_file_inputs(spark, warehouse, tmp_path):
 
 
 def test_catalog_inputs_look_in_both_schemas():
-    class Catalog:
-        def table(self, name):
-            return name
-
     tables = sources.from_catalog(Catalog())
-    assert (tables["wallet"], tables["dim_account"]) == ("raw.wallet", "stg.dim_account")
+    assert (tables["wallet"].name, tables["dim_account"].name) == ("raw.wallet", "stg.dim_account")
+    with pytest.raises(ValueError, match="cash: missing columns"):
+        sources.from_catalog(Catalog(lost=("saldo",)))["cash"]
+
+
+class Table:
+    def __init__(self, name, columns):
+        self.name, self.columns = name, columns
+
+
+class Catalog:
+    """Stand-in for a session's catalog."""
+
+    def __init__(self, lost=()):
+        self.lost = lost
+
+    def table(self, name):
+        columns = sources.TABLES[name.split(".")[1]].names
+        return Table(name, [c for c in columns if c not in self.lost])
+
+
+class Span(Table):
+    def first(self):
+        return (3, 90)
+
+
+def test_database_slices_follow_the_row_numbers_found():
+    asked = []
+
+    def read(options):
+        asked.append(options)
+        table = options["dbtable"]
+        return Span("span", []) if "min(" in table else Table(table, sources.TABLES[table.split(".")[1]].names)
+
+    tables = sources.sliced(read, "jdbc:x", "raw", "stg", 4, {"wallet": (1, 7)})
+    assert tables["cash"].name == "raw.cash" and tables["dim_account"].name == "stg.dim_account"
+    tables["wallet"]
+    assert "FROM raw.cash" in asked[0]["dbtable"] and "partitionColumn" not in asked[0]
+    assert (asked[1]["lowerBound"], asked[1]["upperBound"], asked[1]["numPartitions"]) == ("3", "90", "4")
+    assert "partitionColumn" not in asked[2] and asked[3]["upperBound"] == "7" and len(asked) == 4
+
+
+STEPS = ("write", "point", "clean")
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_crash_at_any_step_leaves_a_whole_table(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(5), path)
+    replace_table(spark.range(6), path)
+
+    class Crash(BaseException):
+        pass
+
+    def crash(*_):
+        raise Crash
+
+    whole, store = sinks._point, sinks._store
+    if step == "write":
+        monkeypatch.setattr(sinks, "_point", crash)
+    elif step == "point":
+        monkeypatch.setattr(spark.sparkContext._gateway, "new_array", crash)
+    else:
+        monkeypatch.setattr(sinks, "_point", lambda *x: (whole(*x), crash()))
+    with pytest.raises(Crash):
+        replace_table(spark.range(7), path)
+    monkeypatch.undo()
+    assert store is sinks._store
+    assert read_table(spark, path).count() == (7 if step == "clean" else 6)
+    replace_table(spark.range(8), path)
+    assert read_table(spark, path).count() == 8
+    # The version before stays for its readers; nothing older does.
+    assert len([p for p in (tmp_path / "t").iterdir() if p.is_dir()]) == 2
+
+
+def test_a_grown_dictionary_is_measured_again(spark, cfg, tmp_path):
+    path = str(tmp_path / "dim_categories")
+    schema = sources.TABLES["dim_categories"]
+    spark.createDataFrame([], schema).repartition(1).write.parquet(path)
+    grown = Warehouse(spark, sources.from_files(spark, str(tmp_path)), cfg)
+    first = grown.dimension("dim_categories")
+    assert first.size.rows == 0 and grown.dimension("dim_categories") is first
+    spark.createDataFrame([tuple(None for _ in schema)] * 3, schema).write.mode("append").parquet(path)
+    assert grown.dimension("dim_categories").size.rows == 3
 
 
 def test_database_options_slice_raw_tables_only():
