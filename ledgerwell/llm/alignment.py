@@ -22,7 +22,6 @@ from math import ceil, sqrt
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import sentencepiece
 import tiktoken
 from pyspark import TaskContext
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerwell.llm.common import checkpointed
-from ledgerwell.llm.texts import mixed
+from ledgerwell.llm.texts import mixed, slices
 
 SPACE = "▁"
 SHARDS = 64
@@ -197,19 +196,6 @@ def aligner_of(files: Tokenizers) -> Aligner:
     return Aligner(files)
 
 
-def _slices(batch: pa.RecordBatch, text: str, budget: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with at most ``budget`` bytes of text, or one longer text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    first, held = 0, 0
-    for k, size in enumerate(sizes):
-        if k > first and held + size > budget:
-            yield batch.slice(first, k - first)
-            first, held = k, 0
-        held += size
-    if batch.num_rows > first:
-        yield batch.slice(first)
-
-
 def _summed(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs in order, with the sums of their counts."""
     order = np.argsort(pairs, kind="stable")
@@ -312,7 +298,7 @@ def pair_counts(docs: DataFrame, files: Tokenizers, text: str = "text") -> DataF
             return pa.RecordBatch.from_arrays(columns, names=["shard", "branch", "pairs", "counts"])
 
         for batch in batches:
-            for part in _slices(batch, text, SLICE):
+            for part in slices(batch, text, SLICE):
                 found = aligner.align(part.column(text).to_pylist())
                 weights = np.repeat(found.times(), found.n_links)
                 met = weights > 0
@@ -438,7 +424,7 @@ def align(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             aligner = aligner_of(shared.value)
             for batch in batches:
-                for part in _slices(batch, text, SLICE):
+                for part in slices(batch, text, SLICE):
                     found = aligner.align(part.column(text).to_pylist())
                     met = np.repeat(found.times() > 0, found.n_links)
                     counts, best = np.zeros(len(met), np.int64), np.zeros(len(met), np.int64)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwell.llm.texts import BLOCK, flat, fresh_rows, groups
+from ledgerwell.llm.texts import BLOCK, flat, fresh_rows, groups, slices
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -259,7 +259,7 @@ def predict(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text)):
             data, starts = flat(batch.column(text))
             lettered = batch.column(has_letter).to_numpy(zero_copy_only=False)
             if known.languages:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwell.llm.common import checkpointed, components
+from ledgerwell.llm.common import checkpointed, components, fresh
 
 EDITS = 2
 #: Tables of at most this many short rows are broadcast; larger ones are joined by shuffle.
@@ -165,18 +165,20 @@ def deduplicate(
     gone = found.select("row", "id", "place", "a", "b").join(_small(decided), ["a", "b"])
     stays = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("row") == F.col("kept.row")) & (F.col("place") == F.col("kept.place"))
     gone = gone.filter(~stays)
-    lists = gone.groupBy(F.col("row").alias("_row")).agg(F.collect_set("place").alias("_gone"))
-    rows = docs.withColumn("_row", F.xxhash64(key, text))
-    # Whole texts move, but are not sorted; the lists, which grow with them, are never broadcast.
-    out = rows.join(lists.hint("shuffle_hash"), "_row", "left").drop("_row")
-    left = F.filter(F.split(text, "\n"), lambda line, k: ~F.array_contains(F.col("_gone"), k))
-    cut = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    row, places, split = fresh("row"), fresh("places"), fresh("split")
+    lists = gone.groupBy(F.col("row").alias(row)).agg(F.collect_set("place").alias(places))
+    # Texts move as their lines, but are not sorted; the lists, which grow with them, are never broadcast.
+    rows = docs.withColumns({row: F.xxhash64(key, text), split: F.split(text, "\n")}).drop(text)
+    out = rows.join(lists.hint("shuffle_hash"), row, "left")
+    # Set difference and access by number: linear in the lines of a text.
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), places)
+    left = F.transform(numbers, lambda k: F.col(split)[k])
+    cut = F.array_join(F.when(F.col(places).isNull(), F.col(split)).otherwise(left), "\n")
+    counts = {}
     if report:
         none = F.lit(0).cast("long")
-        out = out.withColumns(
-            {
-                "n_lines": F.when(F.col(text).isNull(), none).otherwise(F.size(F.split(text, "\n")).cast("long")),
-                "n_removed": F.when(F.col("_gone").isNull(), none).otherwise(F.size("_gone").cast("long")),
-            }
-        )
-    return out.withColumn(text, cut).drop("_gone")
+        counts["n_lines"] = F.when(F.col(split).isNull(), none).otherwise(F.size(split).cast("long"))
+        counts["n_removed"] = F.when(F.col(places).isNull(), none).otherwise(F.size(places).cast("long"))
+    kept_ = [c for c in docs.columns if c not in counts]
+    texts = [cut.alias(c) if c == text else F.col(c) for c in kept_]
+    return out.select(*texts, *(column.alias(name) for name, column in counts.items()))

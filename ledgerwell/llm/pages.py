@@ -1,7 +1,7 @@
 """Main text of web pages: element subtrees that recur on a host's pages are removed, with the usual page furniture.
 
-Each page is parsed into a small tree. Spark counts on how many distinct articles of a host every subtree
-stands; subtrees on several of them are the site's template. Copies of an article count once, and articles
+Each page is parsed once into a small tree, of which its lines are kept with the subtrees they stand in. Spark counts on
+how many distinct articles of a host every subtree stands; subtrees on a good part of them are the site's template. Copies of an article count once, and articles
 made mostly of recurring subtrees do not count, so a group of copies cannot make its own text a template.
 """
 
@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwell.llm.common import checkpointed
-from ledgerwell.llm.windows import bounded
+from ledgerwell.llm.common import checkpointed, fresh
+from ledgerwell.session import shared_folder
 
+#: Templates of at most this many subtrees are broadcast.
+BROADCAST_ROWS = 500_000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     """address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
@@ -206,16 +208,19 @@ def article_roots(root: Node) -> list[Node]:
     return [root]
 
 
-def blocks(root: Node, removed: frozenset[int] | set[int] = frozenset()) -> str:
-    """Text of the article, one line per block, without the subtrees whose hashes are in ``removed``."""
-    lines: list[str] = []
+def lines(root: Node) -> tuple[list[str], list[list[int]]]:
+    """Text of the article, one line per block, and the hashes of the subtrees that each line stands in."""
+    found: list[str] = []
+    marks: list[list[int]] = []
     current: list[str] = []
+    inside: list[int] = []
 
     def end() -> None:
         line = SPACES.sub(" ", "".join(current)).strip()
         current.clear()
         if line:
-            lines.append(line)
+            found.append(line)
+            marks.append(list(inside))
 
     for top in article_roots(root):
         stack: list[Node | str | None] = [top]
@@ -223,20 +228,24 @@ def blocks(root: Node, removed: frozenset[int] | set[int] = frozenset()) -> str:
             item = stack.pop()
             if item is None:
                 end()
+                inside.pop()
             elif isinstance(item, str):
                 current.append(item)
             elif item.tag == "br":
                 current.append(" ")
             elif item.tag in BLOCKS:
-                if item.digest in removed and item is not top:
-                    continue
                 end()
+                inside.append(0 if item is top else item.digest)
                 stack.append(None)
                 stack.extend(reversed(item.children))
             else:
                 stack.extend(reversed(item.children))
         end()
-    return "\n".join(lines)
+    return found, marks
+
+
+def blocks(root: Node) -> str:
+    return "\n".join(lines(root)[0])
 
 
 def host(url: Column) -> Column:
@@ -244,6 +253,83 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
+_PARSED = (
+    "host string, article long, subtrees array<long>, own array<int>, whole int, lines array<string>, marks array<array<long>>"
+)
+
+
+def parsed(df: DataFrame, html: str, name: str, keep: list[str], at: str) -> DataFrame:
+    """The pages as trees that are looked at once: columns ``keep``, and in ``at`` what later steps need of a tree.
+
+    Written to the shared folder, compressed, since whole texts are in it.
+    """
+    struct = T._parse_datatype_string(_PARSED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.struct(
+            [
+                ("host", pa.string()),
+                ("article", pa.int64()),
+                ("subtrees", pa.list_(pa.int64())),
+                ("own", pa.list_(pa.int32())),
+                ("whole", pa.int32()),
+                ("lines", pa.list_(pa.string())),
+                ("marks", pa.list_(pa.list_(pa.int64()))),
+            ]
+        )
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                rows = []
+                for site, page in zip(part.column(name).to_pylist(), part.column(html).to_pylist()):
+                    root = parse(page or "")
+                    prune(root)
+                    found = list(digests(root))
+                    text, marks = lines(root)
+                    own, whole = lengths(root)
+                    article = None if page is None else xxhash.xxh3_64_intdigest("\n".join(text)) - (1 << 63)
+                    rows.append((site, article, found, [own.get(s, 0) for s in found], whole, text, marks))
+                named = [dict(zip(struct.names, row)) for row in rows]
+                columns = [*(part.column(c) for c in keep), pa.array(named, kind)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, at])
+
+    schema = T.StructType([df.schema[c] for c in keep]).add(at, struct)
+    path = shared_folder(df.sparkSession, "pages")
+    df.mapInArrow(run, schema).write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def templates(
+    seen: DataFrame, few: int, several: int, part: float, least: int, share: float, copied: float, wide: int, lift: float
+) -> DataFrame:
+    """Subtrees (``s``) that are template on a ``host``, of trees with ``host``, ``article``, ``subtrees``, ``own``, ``whole``."""
+    # One row per article of a host, whatever the number of its copies; the whole of it counts as subtree NULL.
+    parts = seen.select("host", "article", F.explode(F.concat("subtrees", F.array(F.lit(None).cast("long")))).alias("s"))
+    standing = checkpointed(parts.distinct().groupBy("host", "s").agg(F.count(F.lit(1)).alias("n")))
+    sizes = standing.filter("s IS NULL").select("host", F.col("n").alias("total"))
+    total, n = F.col("total"), F.col("n")
+    small = F.least(F.lit(several), F.ceil(total / 2))
+    needed = F.greatest(F.lit(few), small, F.ceil(total * part))
+    common = standing.filter(F.col("s").isNotNull() & (n >= few)).join(sizes, "host").withColumn("needed", needed)
+    common = checkpointed(common.filter(n >= F.col("needed")))
+    # What stands as often on many other hosts is text that many write, unless most articles of the host hold it.
+    elsewhere = standing.filter("s IS NOT NULL").join(common.select("s").distinct(), "s", "left_semi")
+    elsewhere = elsewhere.groupBy("s").agg(F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("hosts"))
+    articles = sizes.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    others = F.greatest(F.lit(articles) - total, F.lit(1))
+    usual = (F.col("hosts") > wide) & (n / total < lift * (F.col("all_n") - n) / others)
+    # Votes of the articles that are not mostly made of such subtrees.
+    held = seen.select("host", "article", "whole", F.explode(F.arrays_zip("subtrees", "own")).alias("p"))
+    held = held.select("host", "article", "whole", F.col("p.subtrees").alias("s"), "p.own").join(common.select("host", "s"), ["host", "s"])
+    held = held.groupBy("host", "article", "s").agg(F.max("own").alias("own"), F.max("whole").alias("whole"))
+    found = held.groupBy("host", "article").agg(F.collect_list("s").alias("held"), F.sum("own").alias("own"), F.max("whole").alias("whole"))
+    voting = found.filter(F.col("own") <= F.col("whole") * copied).select("host", F.explode("held").alias("s"))
+    votes = voting.groupBy("host", "s").agg(F.count(F.lit(1)).alias("votes"))
+    major = (total >= least) & (n > total * share)
+    judged = common.join(votes, ["host", "s"], "left").join(elsewhere, "s")
+    return judged.filter(major | ((F.col("votes") >= F.col("needed")) & ~usual)).select("host", "s")
+
+
 def extract(
     df: DataFrame,
     html: str = "html",
@@ -254,75 +340,35 @@ def extract(
     salts: int = 16,
     several: int = 5,
     few: int = 3,
+    part: float = 0.25,
     copied: float = 0.75,
+    wide: int = 5,
+    lift: float = 4.0,
+    keep_html: bool = True,
 ) -> DataFrame:
-    """Add the main text of each page in ``out``; all rows and other columns stay.
-
-    A subtree is part of a host's template if it stands on ``several`` distinct articles of the host, on a host of fewer
-    than twice as many on half of them, but on ``few`` at least. An article of which more than ``copied`` of the text
-    recurs like that may be a near copy and does not count. A subtree on more than ``share`` of a host's
-    articles, if there are ``least``, is template in any case. Pages without a host form no site. NULL and empty pages give an
-    empty text. Rows of a host that holds much of the input are spread over ``salts`` copies of its list.
+    """Add the main text of each page in ``out``; all rows and other columns stay, ``html`` itself with ``keep_html``.
+
+    A subtree is part of a host's template if it stands on ``part`` of the host's distinct articles, but on ``several``
+    at least; on a host of fewer than twice as many on half of them, and on ``few``. It is not if it stands on more than
+    ``wide`` hosts and not ``lift`` times as often here as elsewhere: a stock sentence is no template. An article of which
+    more than ``copied`` of the text recurs like that may be a near copy and does not count. A subtree on more than
+    ``share`` of a host's articles, if there are ``least``, is template in any case. Pages without a host form no site. NULL
+    and empty pages give an empty text. Templates are broadcast if they are few; else they meet the pages by host, those
+    of a large host spread over ``salts`` copies.
     """
-    kept = [c for c in df.columns if c != out]
-    pages = df.select(*kept).withColumns({"_host": host(F.col(url)), "_salt": F.pmod(F.xxhash64(html), F.lit(salts))})
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                hosts, articles, subtrees, sizes, wholes = [], [], [], [], []
-                for name, page in zip(part.column("_host").to_pylist(), part.column("_html").to_pylist()):
-                    root = parse(page)
-                    prune(root)
-                    found = digests(root)
-                    hosts.append(name)
-                    articles.append(xxhash.xxh3_64_intdigest(blocks(root)) - (1 << 63))
-                    subtrees.append(list(found))
-                    own, whole = lengths(root)
-                    sizes.append([own.get(s, 0) for s in subtrees[-1]])
-                    wholes.append(whole)
-                columns = [pa.array(hosts, pa.string()), pa.array(articles, pa.int64()), pa.array(subtrees, pa.list_(pa.int64()))]
-                columns += [pa.array(sizes, pa.list_(pa.int32())), pa.array(wholes, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, names=["h", "article", "subtrees", "own", "whole"])
-
-    sites = pages.select("_host", F.col(html).alias("_html")).filter("_host <> '' AND _html IS NOT NULL")
-    # Kept, since what follows would otherwise parse all pages again.
-    seen = checkpointed(sites.mapInArrow(look, "h string, article long, subtrees array<long>, own array<int>, whole int"))
-    # One row per article of a host, whatever the number of its copies; the whole of it counts as subtree NULL.
-    parts = seen.select("h", "article", F.explode(F.concat("subtrees", F.array(F.lit(None).cast("long")))).alias("s"))
-    standing = parts.distinct().groupBy("h", "s").agg(F.count(F.lit(1)).alias("n"))
-    standing = checkpointed(standing.filter("s IS NULL OR n >= %d" % few))
-    sizes = standing.filter("s IS NULL").select("h", F.col("n").alias("total"))
-    needed = F.greatest(F.lit(few), F.least(F.lit(several), F.ceil(F.col("total") / 2)))
-    common = standing.filter("s IS NOT NULL").join(sizes, "h").withColumn("needed", needed).filter("n >= needed")
-    common = bounded(common.select("h", "s", "n", "total", "needed"))
-    # Votes of the articles that are not mostly made of such subtrees.
-    texts = seen.select("h", "article", "whole", F.explode(F.arrays_zip("subtrees", "own")).alias("p"))
-    texts = texts.select("h", "article", "whole", F.col("p.subtrees").alias("s"), "p.own")
-    texts = texts.join(common.select("h", "s"), ["h", "s"]).groupBy("h", "article", "s").agg(F.max("own").alias("own"), F.max("whole").alias("whole"))
-    found = texts.groupBy("h", "article").agg(F.collect_list("s").alias("held"), F.sum("own").alias("own"), F.max("whole").alias("whole"))
-    voting = found.filter(F.col("own") <= F.col("whole") * copied).select("h", F.explode("held").alias("s"))
-    votes = voting.groupBy("h", "s").agg(F.count(F.lit(1)).alias("votes"))
-    major = (F.col("total") >= least) & (F.col("n") > F.col("total") * share)
-    usual = common.join(votes, ["h", "s"], "left").filter((F.col("votes") >= F.col("needed")) | major)
-    lists = usual.groupBy("h").agg(F.collect_set("s").alias("_template"))
-    lists = lists.select(F.col("h").alias("_host"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"), "_template")
-    joined = pages.join(lists.withColumn("_salt", F.col("_salt").cast("long")), ["_host", "_salt"], "left")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                texts = []
-                for page, template in zip(part.column(html).to_pylist(), part.column("_template").to_pylist()):
-                    root = parse(page or "")
-                    prune(root)
-                    if template:
-                        digests(root)
-                    texts.append(blocks(root, frozenset(template or ())))
-                columns = [*(part.column(c) for c in kept), pa.array(texts, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*kept, out])
-
-    schema = T.StructType([df.schema[c] for c in kept]).add(out, T.StringType())
-    return joined.select(*kept, "_template").mapInArrow(read, schema)
+    kept = [c for c in df.columns if c != out and (keep_html or c != html)]
+    name, at, salt, template = (fresh(x) for x in ("host", "parsed", "salt", "template"))
+    pages = parsed(df.withColumn(name, host(F.col(url))), html, name, kept, at)
+    seen = pages.select(f"{at}.*").filter("host <> '' AND article IS NOT NULL")
+    found = checkpointed(templates(seen, few, several, part, least, share, copied, wide, lift))
+    lists = found.groupBy(F.col("host").alias(name)).agg(F.collect_set("s").alias(template))
+    same = F.col(f"{at}.host") == F.col(name)
+    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        joined = pages.join(F.broadcast(lists), same, "left")
+    else:
+        lists = lists.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        dealt = F.pmod(F.col(f"{at}.article"), F.lit(salts)).cast("int") == F.col(salt)
+        joined = pages.join(lists, same & dealt, "left")
+    rest = F.filter(f"{at}.lines", lambda _, k: ~F.arrays_overlap(F.col(f"{at}.marks")[k], F.col(template)))
+    text = F.when(F.col(template).isNull(), F.array_join(f"{at}.lines", "\n")).otherwise(F.array_join(rest, "\n"))
+    return joined.select(*kept, text.alias(out))

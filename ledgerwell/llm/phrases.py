@@ -2,8 +2,9 @@
 
 Every run of words gets a Rabin-Karp fingerprint from prefix polynomials. A shuffle adds up the occurrences of each
 fingerprint; a run can be frequent only if the two shorter runs in it are, so lengths are counted one after the other.
-Of frequent fingerprints a second, independent print and a pointer to an occurrence are gathered: prints that differ
-tell a collision, and those phrases are counted again by their texts. Only frequent phrases are ever materialised.
+With the occurrences a second, independent print is added up; of frequent fingerprints a pointer to the first
+occurrence is gathered. Sums that are no multiple of its print tell a collision, and those phrases are counted again by
+their texts. Only frequent phrases are ever materialised.
 """
 
 from __future__ import annotations
@@ -123,10 +124,18 @@ class Filter:
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _filter(keys: DataFrame) -> Filter:
-    """The filter of a table of ``key``; its fixed number of bits is put together by the tasks."""
-    place = F.expr(f"((key % {BITS}) + {BITS}) % {BITS}")
-    parts = keys.select(place.alias("p")).groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("bucket"))
+def _filter(keys: DataFrame, key: str, bucket: str | None = None) -> Filter:
+    """The filter of a table's keys, or of its keys and buckets; its fixed number of bits is put together by the tasks."""
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(key).to_numpy().view(np.uint64)
+            if bucket:
+                values = _of_bucket(values, batch.column(bucket).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array((values % np.uint64(BITS)).astype(np.int64))], names=["p"])
+
+    places = keys.select(key, *([bucket] if bucket else [])).mapInArrow(put, "p long")
+    parts = places.groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("bucket"))
     bits = np.zeros(BITS // 8, dtype=np.uint8)
     for row in parts.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p + 1))").alias("bits")).collect():
         own = np.frombuffer(row["bits"], dtype=np.uint8)
@@ -166,68 +175,89 @@ def _survivors(words: Words, size: int, hashes, languages, shorter: Filter | Non
     return at, keys_of(words, size, at, FIRST, hashes, languages) & np.uint64(mining.mask)
 
 
+def _of_bucket(keys: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    return keys ^ mixed(buckets.astype(np.int64).view(np.uint64))
+
+
 def _counted(docs: DataFrame, size: int, shorter, mining: Mining) -> DataFrame:
-    """Fingerprints of runs of ``size`` words that occur often enough."""
+    """Fingerprints (``key``) of runs of ``size`` words that occur often enough.
+
+    ``a`` occurrences, the sum ``s`` of their second prints, and the least ``bucket`` of a text that holds one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shorter.value if shorter else None
         held, number = [], 0
 
         def portion() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "a"])
+            keys, checks, buckets = _joined(held)
+            order = np.argsort(keys)
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            counts = np.diff(np.append(first, len(keys)))
+            sums, least = np.add.reduceat(checks[order].astype(np.int64), first), np.minimum.reduceat(buckets[order], first)
+            columns = [pa.array(x) for x in (keys[first].view(np.int64), counts, sums, least)]
+            return pa.RecordBatch.from_arrays(columns, names=["key", "a", "s", "bucket"])
 
-        for words, languages, *_ in _read(batches):
+        for words, languages, _, rows, _ in _read(batches):
             hashes = FIRST.words(words.data, words.firsts, words.lasts)
-            held.append(_survivors(words, size, hashes, languages, known, mining)[1])
-            number += len(held[-1])
+            at, keys = _survivors(words, size, hashes, languages, known, mining)
+            if not len(at):
+                continue
+            held.append([keys, _checks(words, size, at, languages), (rows[words.text[at]] >> 56).astype(np.int8)])
+            number += len(keys)
             if number >= PORTION:
                 yield portion()
                 held, number = [], 0
         if number:
             yield portion()
 
-    counts = docs.mapInArrow(run, "key long, a long").groupBy("key").agg(F.sum("a").alias("a"))
-    return checkpointed(counts.filter(F.col("a") >= mining.least).select("key"))
+    found = docs.mapInArrow(run, "key long, a long, s long, bucket byte")
+    counts = found.groupBy("key").agg(F.sum("a").alias("a"), F.sum("s").alias("s"), F.min("bucket").alias("bucket"))
+    return checkpointed(counts.filter(F.col("a") >= mining.least))
+
+
+def _checks(words: Words, size: int, at: np.ndarray, languages: np.ndarray) -> np.ndarray:
+    """16 bits of the second print of each run."""
+    seconds = SECOND.words(words.data, words.firsts, words.lasts)
+    return (keys_of(words, size, at, SECOND, seconds, languages) >> np.uint64(48)).astype(np.uint16)
 
 
-_DETAIL = "lang string, key long, a long, low long, high long, row long, place long, width long"
+_POINTER = "key long, row long, place long, width long, check long, lang string"
 
 
-def _described(docs: DataFrame, size: int, shorter, wanted, mining: Mining) -> DataFrame:
-    """Of the runs that ``wanted`` lets through: count, least and greatest second print, and the first pointer."""
+def _pointers(docs: DataFrame, size: int, counts: DataFrame, shorter, mining: Mining) -> DataFrame:
+    """The first occurrence of each counted run: the one in the text with the least print.
+
+    Only texts of a run's least bucket are asked for it, so few tasks report the same one.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(_filter(counts, "key", "bucket"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shorter.value if shorter else None
         held, number, names = [], 0, {}
 
         def portion() -> pa.RecordBatch:
-            keys, checks, langs, rows, places, widths = _joined(held)
-            order = np.lexsort((places, rows, keys, langs))
-            keys, langs = keys[order], langs[order]
-            first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (langs[1:] != langs[:-1])]))
-            checks = checks[order].view(np.int64)
-            counts = np.diff(np.append(first, len(keys)))
-            pointers = [x[order][first] for x in (rows, places, widths)]
-            of = [names[x] for x in langs[first].tolist()]
-            least, most = np.minimum.reduceat(checks, first), np.maximum.reduceat(checks, first)
-            columns = [of, keys[first].view(np.int64), counts, least, most, *pointers]
-            fields = [f.split()[0] for f in _DETAIL.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=fields)
+            keys, rows, places, widths, checks, langs = _joined(held)
+            order = np.lexsort((places, rows, keys))
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            columns = [pa.array(x[order][first]) for x in (rows, places, widths, checks.astype(np.int64))]
+            of = pa.array([names[x] for x in langs[order][first].tolist()], pa.string())
+            fields = [f.split()[0] for f in _POINTER.split(", ")]
+            return pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), *columns, of], names=fields)
 
         for words, languages, own, rows, starts in _read(batches):
-            names |= dict(zip(languages.tolist(), own))
             hashes = FIRST.words(words.data, words.firsts, words.lasts)
             at, keys = _survivors(words, size, hashes, languages, known, mining)
-            met = wanted.value.holds(keys)
+            met = wanted.value.holds(_of_bucket(keys, rows[words.text[at]] >> 56))
             at, keys = at[met], keys[met]
             if not len(at):
                 continue
-            seconds = SECOND.words(words.data, words.firsts, words.lasts)
-            checks = keys_of(words, size, at, SECOND, seconds, languages)
+            names |= dict(zip(languages.tolist(), own))
             of = words.text[at]
-            places = words.firsts[at] - starts[of]
-            held.append([keys, checks, languages[of], rows[of], places, words.lasts[at + size - 1] - words.firsts[at]])
+            places, widths = words.firsts[at] - starts[of], words.lasts[at + size - 1] - words.firsts[at]
+            held.append([keys, rows[of], places, widths, _checks(words, size, at, languages), languages[of]])
             number += len(at)
             if number >= PORTION:
                 yield portion()
@@ -235,10 +265,9 @@ def _described(docs: DataFrame, size: int, shorter, wanted, mining: Mining) -> D
         if number:
             yield portion()
 
-    found = docs.mapInArrow(run, _DETAIL)
-    pointer = F.min(F.struct("row", "place", "width")).alias("pointer")
-    summed = found.groupBy("lang", "key").agg(F.sum("a").alias("a"), F.min("low").alias("low"), F.max("high").alias("high"), pointer)
-    return summed.filter(F.col("a") >= mining.least).withColumn("size", F.lit(size))
+    first = F.min(F.struct("row", "place", "width", "check", "lang")).alias("first")
+    found = docs.mapInArrow(run, _POINTER).groupBy("key").agg(first)
+    return counts.drop("bucket").join(found, "key").select("key", "a", "s", "first.*", F.lit(size).alias("size"))
 
 
 def _texts_of(docs: DataFrame, size: int, wanted, mining: Mining) -> DataFrame:
@@ -275,29 +304,26 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", mining: Mi
     rows = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.col(text).alias("text")).filter("text <> ''")
     rows = rows.withColumn("row", F.xxhash64("text"))
     context = docs.sparkSession.sparkContext
-    shorter, parts, filters = None, [], []
+    shorter, details = None, None
     for size in range(1, mining.words + 1):
-        wanted = context.broadcast(_filter(_counted(rows, size, shorter, mining)))
-        parts.append(checkpointed(_described(rows, size, shorter, wanted, mining)))
-        filters.append(wanted)
-        shorter = wanted
-    details = parts[0]
-    for part in parts[1:]:
-        details = details.unionByName(part)
-    clean = details.filter("low = high")
+        counts = _counted(rows, size, shorter, mining)
+        found = checkpointed(_pointers(rows, size, counts, shorter, mining))
+        details = found if details is None else details.unionByName(found)
+        shorter = context.broadcast(_filter(counts, "key"))
+    clean = details.filter("s = a * check")
     # The smallest pointers stand in few texts, which are read once each.
-    asked = checkpointed(clean.select("lang", "size", "a", "pointer.*"))
+    asked = checkpointed(clean.select("lang", "size", "a", "row", "place", "width"))
     sources = rows.select("row", "text").join(_small(checkpointed(asked.select("row").distinct())), "row", "left_semi")
     sources = sources.groupBy("row").agg(F.first("text").alias("text"))
     held = asked.join(sources, "row")
     piece = F.expr("cast(substring(cast(text as binary), cast(place as int) + 1, cast(width as int)) as string)")
     phrase = F.regexp_replace(lower_ascii(piece), "[ \t]+", " ")
     found = held.select("lang", "size", phrase.alias("phrase"), "a")
-    collided = checkpointed(details.filter("low <> high").select("lang", "key", "size"))
+    collided = checkpointed(details.filter("s <> a * check").select("key", "size"))
     for (size,) in sorted(collided.select("size").distinct().collect()):
         own = collided.filter(F.col("size") == size)
-        again = _texts_of(rows, size, context.broadcast(_filter(own.select("key"))), mining)
-        again = again.join(own, ["lang", "key", "size"], "left_semi").filter(F.col("a") >= mining.least)
+        again = _texts_of(rows, size, context.broadcast(_filter(own, "key")), mining)
+        again = again.join(own, ["key", "size"], "left_semi").filter(F.col("a") >= mining.least)
         found = found.unionByName(again.select("lang", "size", "phrase", "a"))
     return checkpointed(found)
 

@@ -194,8 +194,8 @@ class Outputs:
 
 
 @lru_cache(maxsize=1)
-def vocabulary_of(model: bytes) -> Vocabulary:
-    return Vocabulary(model)
+def vocabulary_of(model: bytes, remembered: int) -> Vocabulary:
+    return Vocabulary(model, remembered)
 
 
 @lru_cache(maxsize=1)
@@ -203,18 +203,27 @@ def outputs_of(model: bytes) -> Outputs:
     return Outputs(model)
 
 
-def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", keep_text: bool = True) -> DataFrame:
+def encode(
+    df: DataFrame,
+    model: bytes,
+    text: str = "text",
+    ids: str = "ids",
+    keep_text: bool = True,
+    remembered: int = 600_000,
+    decoded: str | None = None,
+) -> DataFrame:
     """Add the ids of the whole ``text`` as an array of integers, without begin or end ids.
 
     NULL and empty texts get an empty array. A column named like ``ids`` is replaced; all others stay. Repeated
-    rows stay. The model file's content goes to the tasks as a broadcast of its fixed size.
+    rows stay. ``decoded`` names a column for the text of the ids, read back in the same pass. A worker remembers
+    ``remembered`` words and pairs of tokens, of which a hundred thousand take about 30 MB. The model file's content goes to the tasks as a broadcast of its fixed size.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in df.columns if c != ids]
+    kept = [c for c in df.columns if c not in (ids, decoded)]
     put = [c for c in kept if keep_text or c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = vocabulary_of(shared.value)
+        vocabulary = vocabulary_of(shared.value, remembered)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
@@ -223,10 +232,17 @@ def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", ke
                 np.cumsum([len(f) // 4 for f in found], out=offsets[1:])
                 values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in put), lists], names=[*put, ids])
+                columns, names = [*(part.column(c) for c in put), lists], [*put, ids]
+                if decoded:
+                    read = outputs_of(shared.value).decode
+                    columns.append(pa.array([read(np.frombuffer(f, dtype=np.int32).tolist()) for f in found], pa.string()))
+                    names.append(decoded)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = [df.schema[c] for c in put]
     schema = T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    if decoded:
+        schema = schema.add(decoded, T.StringType())
     return df.select(*kept).mapInArrow(run, schema)
 
 

@@ -125,7 +125,7 @@ def op9_embeddings(spark: SparkSession, root: str) -> DataFrame:
 
 def op10_html(spark: SparkSession, root: str) -> DataFrame:
     """Main text of every page."""
-    found = pages.extract(table(spark, root, "pages").select("page_id", "url", "html"))
+    found = pages.extract(table(spark, root, "pages").select("page_id", "url", "html"), keep_html=False)
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 

@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 1 << 20
 SEPARATORS = np.zeros(256, dtype=bool)
@@ -34,6 +35,19 @@ def groups(starts: np.ndarray, budget: int = BLOCK) -> Iterator[tuple[int, int]]
         first = min(last, count)
 
 
+def slices(batch: pa.RecordBatch, text: str, budget: int = 4 * BLOCK) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most ``budget`` bytes of text, or one longer text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    first, held = 0, 0
+    for k, size in enumerate(sizes.tolist()):
+        if k > first and held + size > budget:
+            yield batch.slice(first, k - first)
+            first, held = k, 0
+        held += size
+    if batch.num_rows > first:
+        yield batch.slice(first)
+
+
 @lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number modulo 2**64 and of its inverse."""

@@ -34,7 +34,7 @@ def brute(rows, least=20, edits=2):
     first = {}
     for doc, text in sorted(rows):
         for k, line in enumerate(text.split("\n")):
-            if len(line.strip(" ")) >= least:
+            if line.strip(" "):
                 first.setdefault(line.strip(" "), (doc, k))
     parent = {line: line for line in first}
 
@@ -43,7 +43,7 @@ def brute(rows, least=20, edits=2):
             x = parent[x]
         return x
 
-    known = sorted(first, key=len)
+    known = sorted((line for line in first if len(line) >= least), key=len)
     for k, a in enumerate(known):
         for b in known[k + 1 :]:
             if len(b) - len(a) > edits:
@@ -53,7 +53,7 @@ def brute(rows, least=20, edits=2):
     kept = {}
     for line, place in first.items():
         kept[find(line)] = min(kept.get(find(line), place), place)
-    stays = lambda doc, k, line: len(line) < least or kept[find(line)] == (doc, k)
+    stays = lambda doc, k, line: not line or kept[find(line)] == (doc, k)
     return {doc: "\n".join(x for k, x in enumerate(text.split("\n")) if stays(doc, k, x.strip(" "))) for doc, text in rows}
 
 
@@ -104,9 +104,10 @@ def test_odd_rows(spark):
         (6, "x" * 200_000 + "\n" + other, 7),
         (6, "x" * 200_000 + "\n" + other, 7),
     ]
-    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").selectExpr("*", "1 AS row", "2 AS a", "3 AS _gone_")
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").selectExpr("*", "1 AS row", "2 AS a", "3 AS _gone", "4 AS _row", "5 AS n_removed")
     out = lines.deduplicate(df, report=True)
-    assert out.columns == [*df.columns, "n_lines", "n_removed"]
+    assert out.columns == [*df.columns[:-1], "n_lines", "n_removed"]
+    assert {(r["row"], r["a"], r["_gone"], r["_row"]) for r in out.collect()} == {(1, 2, 3, 4)}
     got = sorted(((r["doc_id"] or 0), r["text"], r["n_lines"], r["n_removed"], r["n_chars"]) for r in out.filter("doc_id <> 4 OR doc_id IS NULL").collect())
     assert got == [
         (0, other, 1, 0, 6),
@@ -126,3 +127,11 @@ def test_short_lines_go_as_exact_repeats(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in lines.deduplicate(df, report=True).collect()}
     assert got == {1: (rows[0][1], 0), 2: ("\nmore\nshort line 2", 2), 3: (" \nlast", 3)}
+
+
+def test_texts_of_very_many_lines(spark):
+    """Removal stays linear in the lines of one text."""
+    text = "the same line that stands here again\n" * 300_000 + "end"
+    out = lines.deduplicate(spark.createDataFrame([(1, text), (2, "end")], "doc_id long, text string"), report=True)
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in out.collect()}
+    assert got == {1: ("the same line that stands here again\nend", 299_999), 2: ("", 1)}

@@ -28,6 +28,38 @@ def test_query_over_the_table(spark):
         assert got[row["page_id"]]["n_chars"] == len(plain(row["html"]))
 
 
+def test_no_article_text_is_lost_on_the_larger_tables(spark):
+    """Stock sentences that many hosts share are no template."""
+    got = {r["page_id"]: r["text"] for r in queries.op10_html(spark, "/root/testdata/sf0.1").collect()}
+    rows = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    assert [r["page_id"] for r in rows if got[r["page_id"]] != plain(r["html"])] == []
+
+
+def test_rare_headings_stay_and_blocks_of_a_section_go(spark):
+    def page(k):
+        parts = [f"<p>article {k} has {k * k} words of its own to tell</p>"]
+        parts += ["<h2>Introduction</h2>"] * (k < 6) + ["<p>As is well known.</p>"] * (20 <= k < 26)
+        parts += ["<div><p>Read our guide</p></div>"] * (k % 10 < 3)
+        return (k, "https://one.example/x", f"<body><article>{''.join(parts)}</article></body>")
+
+    rows = [page(k) for k in range(300)]
+    out = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert sum("Introduction" in t for t in out.values()) == 6 and sum("well known" in t for t in out.values()) == 6
+    assert not any("guide" in t for t in out.values())
+    assert all(out[k].startswith(f"article {k} has") for k in range(300))
+
+
+def test_both_ways_of_joining_templates_agree(spark, monkeypatch):
+    rows = [
+        (k, "https://one.example/x", f"<body><article><p>text {k} is new</p><div>More of <b>us</b></div>end {k}</article></body>")
+        for k in range(30)
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    monkeypatch.setattr(pages, "BROADCAST_ROWS", 0)
+    out = {r["page_id"]: r["text"] for r in pages.extract(df).collect()}
+    assert out == {k: f"text {k} is new\nend {k}" for k in range(30)}
+
+
 def test_furniture_goes():
     page = """<html><head><title>t</title><style>p{}</style></head><body class="with-sidebar"><header><h2>Site</h2></header>
     <div class="cookie-notice">We use cookies</div><aside>side</aside><nav>menu</nav>
@@ -43,10 +75,11 @@ def test_odd_pages(spark):
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     rows = [(1, None, None), (2, "", ""), (3, "no url", "plain &lt;text&gt;"), (4, "http://a.b/", deep), (4, "http://a.b/", deep)]
     rows += [(5, "http://a.b/", "<article><p>" + "word " * 300_000 + "</p></article>")]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'old' AS text", "1 AS _host_")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'old' AS text", "1 AS _host_", "'mine' AS _host", "2 AS host", "3 AS _salt")
     out = pages.extract(df).orderBy("page_id").collect()
     assert [r["text"] for r in out[:5]] == ["", "", "plain <text>", "deep", "deep"]
     assert len(out[5]["text"]) == 5 * 300_000 - 1
+    assert all((r["_host"], r["host"], r["_salt"], r["html"]) == ("mine", 2, 3, x[2]) for r, x in zip(out, rows))
     assert pages.extract(df.limit(0)).count() == 0
 
 
