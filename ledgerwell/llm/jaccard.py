@@ -15,11 +15,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerwell.llm.common import checkpointed, components, fresh
+from ledgerwell.llm.filters import filter_of
 from ledgerwell.llm.texts import flat, groups, mixed, shingles, word_hashes
 
 SKETCH = 512
@@ -192,6 +194,29 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def _narrowed(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The nodes whose lists (``mine``) hold a wanted ``shingle``, with those shingles and few others.
+
+    The wanted ones travel as a filter of fixed size, so the lists stay where they are.
+    """
+    shared = nodes.sparkSession.sparkContext.broadcast(filter_of(wanted, "shingle"))
+    others = [c for c in nodes.columns if c != "mine"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("mine")
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            met = shared.value.holds(values.view(np.uint64))
+            lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            before = np.concatenate([[0], np.cumsum(met)])[np.concatenate([[0], np.cumsum(lengths)])]
+            kept = _lists(values[met].view(np.uint64), before)
+            rows = pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), kept], names=[*others, "mine"])
+            yield rows.filter(pa.array(np.diff(before) > 0))
+
+    schema = T.StructType([nodes.schema[c] for c in (*others, "mine")])
+    return nodes.mapInArrow(run, schema)
+
+
 def _described_and_linked(docs: DataFrame, key: str, text: str, join: Join) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Documents (``row``, ``id``, ``n``, ``node``), the distinct nodes, and those that link with their component, if any."""
     spark = docs.sparkSession
@@ -200,13 +225,13 @@ def _described_and_linked(docs: DataFrame, key: str, text: str, join: Join) -> t
     described = checkpointed(_described(rows, frequent, join))
     documents = described.select("row", "id", "n", "node")
     nodes = checkpointed(documents.filter("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"), F.min("id").alias("id")))
-    postings = described.filter("node IS NOT NULL").select("node", F.explode("prefix").alias("shingle"))
-    several = postings.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    several = checkpointed(several.filter("low <> high").select("shingle"))
-    # A node's shingles that other nodes have among their first ones too.
-    shared = postings.join(_small(several), "shingle").groupBy("node").agg(F.collect_set("shingle").alias("mine"))
-    sized = described.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    one = checkpointed(shared.join(sized, "node"))
+    described = described.filter("node IS NOT NULL").select("node", "n", "sketch", F.col("prefix").alias("mine"))
+    postings = described.select("node", F.explode("mine").alias("shingle"))
+    several = postings.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
+    # A node's shingles that other nodes have among their first ones too; equal sets keep the same.
+    shared = _narrowed(described, several)
+    one = shared.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("mine").alias("mine"))
+    one = checkpointed(one)
     linked = None if one.isEmpty() else _linked(rows, nodes, one, frequent, join)
     return documents, nodes, linked
 
@@ -229,18 +254,20 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", joi
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _linked(rows: DataFrame, nodes: DataFrame, one: DataFrame, frequent, join: Join) -> DataFrame:
-    """(``node``, ``component``) of all nodes that link with another."""
+def _linked(rows: DataFrame, nodes: DataFrame, one: DataFrame, frequent, join: Join) -> DataFrame | None:
+    """(``node``, ``component``) of all nodes that link with another; None without candidates."""
     labels = one.select("node", F.col("node").alias("label"))
-    links = None
+    links = joined = None
     for number in range(join.rounds + 1):
-        posts = one.select("node", "n", F.explode("mine").alias("shingle")).join(labels, "node")
+        labelled = one.join(_small(labels), "node")
+        posts = labelled.select("node", "n", "label", F.explode("mine").alias("shingle"))
         # Shingles whose holders are all in one component have nothing more to tell.
-        spread = posts.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        mixed_ = checkpointed(spread.filter("low <> high").select("shingle"))
-        if mixed_.isEmpty():
+        spread = posts.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+        one = checkpointed(_narrowed(one, spread))
+        if one.isEmpty():
             break
-        posts = posts.join(_small(mixed_), "shingle")
+        labelled = one.join(_small(labels), "node")
+        posts = labelled.select("node", "n", "label", F.explode("mine").alias("shingle"))
         same = F.col("x.shingle") == F.col("y.shingle")
         apart = F.col("x.label") != F.col("y.label")
         if number < join.rounds:
@@ -257,12 +284,10 @@ def _linked(rows: DataFrame, nodes: DataFrame, one: DataFrame, frequent, join: J
             both = pairs.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(sketches.alias("y"), F.col("b") == F.col("y.node"))
             pairs = both.filter(_sketches_allow(join)).select("a", "b")
         else:
-            held = posts.groupBy("node").agg(F.collect_list("shingle").alias("mine"), F.first("label").alias("label"))
-            full = held.join(one.drop("mine"), "node").select("*", F.explode("mine").alias("shingle"))
-            ordered = F.col("x.node") < F.col("y.node")
-            first = F.array_min(F.array_intersect("x.mine", "y.mine")) == F.col("x.shingle")
-            fits = ordered & apart & _sizes_allow(join) & _sketches_allow(join) & first
+            full = labelled.select("node", "n", "label", "sketch", F.explode("mine").alias("shingle"))
+            fits = (F.col("x.node") < F.col("y.node")) & apart & _sizes_allow(join) & _sketches_allow(join)
             pairs = full.alias("x").join(full.alias("y"), same & fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+            pairs = pairs.distinct()
         found = _verified(rows, nodes, checkpointed(pairs), frequent, join)
         links = found if links is None else links.unionByName(found)
         joined = checkpointed(components(links, "a", "b"))

@@ -19,14 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwell.llm.common import checkpointed, lower_ascii
+from ledgerwell.llm.filters import Filter, filter_of, paired
 from ledgerwell.llm.texts import LOWER, flat, groups, mixed
 
 BREAKS = np.zeros(256, dtype=bool)
 BREAKS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 GAPS = BREAKS.copy()
 GAPS[[0x20, 0x09]] = True
-#: Bits of the filters that are sent to the tasks; a full filter only lets more runs be counted.
-BITS = 1 << 26
 #: Runs that a task holds before it adds them up.
 PORTION = 1 << 22
 #: Tables of at most this many short rows are broadcast; larger ones are joined by shuffle.
@@ -113,36 +112,6 @@ def keys_of(words: Words, size: int, at: np.ndarray, prints: Prints, hashes: np.
     return mixed(runs ^ mixed(languages[words.text[at]] + np.uint64(size)))
 
 
-class Filter:
-    """A set of fingerprints as bits; says yes for all of them and for few others."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-
-    def holds(self, keys: np.ndarray) -> np.ndarray:
-        at = (keys % np.uint64(BITS)).astype(np.int64)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
-def _filter(keys: DataFrame, key: str, bucket: str | None = None) -> Filter:
-    """The filter of a table's keys, or of its keys and buckets; its fixed number of bits is put together by the tasks."""
-
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = batch.column(key).to_numpy().view(np.uint64)
-            if bucket:
-                values = _of_bucket(values, batch.column(bucket).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array((values % np.uint64(BITS)).astype(np.int64))], names=["p"])
-
-    places = keys.select(key, *([bucket] if bucket else [])).mapInArrow(put, "p long")
-    parts = places.groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("bucket"))
-    bits = np.zeros(BITS // 8, dtype=np.uint8)
-    for row in parts.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p + 1))").alias("bits")).collect():
-        own = np.frombuffer(row["bits"], dtype=np.uint8)
-        bits[(row["bucket"] - 1) * 4096 : (row["bucket"] - 1) * 4096 + len(own)] = own
-    return Filter(bits)
-
-
 def _language_hash(name: str) -> int:
     return xxhash.xxh3_64_intdigest(name)
 
@@ -175,10 +144,6 @@ def _survivors(words: Words, size: int, hashes, languages, shorter: Filter | Non
     return at, keys_of(words, size, at, FIRST, hashes, languages) & np.uint64(mining.mask)
 
 
-def _of_bucket(keys: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    return keys ^ mixed(buckets.astype(np.int64).view(np.uint64))
-
-
 def _counted(docs: DataFrame, size: int, shorter, mining: Mining) -> DataFrame:
     """Fingerprints (``key``) of runs of ``size`` words that occur often enough.
 
@@ -231,7 +196,7 @@ def _pointers(docs: DataFrame, size: int, counts: DataFrame, shorter, mining: Mi
 
     Only texts of a run's least bucket are asked for it, so few tasks report the same one.
     """
-    wanted = docs.sparkSession.sparkContext.broadcast(_filter(counts, "key", "bucket"))
+    wanted = docs.sparkSession.sparkContext.broadcast(filter_of(counts, "key", "bucket"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shorter.value if shorter else None
@@ -250,7 +215,7 @@ def _pointers(docs: DataFrame, size: int, counts: DataFrame, shorter, mining: Mi
         for words, languages, own, rows, starts in _read(batches):
             hashes = FIRST.words(words.data, words.firsts, words.lasts)
             at, keys = _survivors(words, size, hashes, languages, known, mining)
-            met = wanted.value.holds(_of_bucket(keys, rows[words.text[at]] >> 56))
+            met = wanted.value.holds(paired(keys, rows[words.text[at]] >> 56))
             at, keys = at[met], keys[met]
             if not len(at):
                 continue
@@ -309,7 +274,7 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", mining: Mi
         counts = _counted(rows, size, shorter, mining)
         found = checkpointed(_pointers(rows, size, counts, shorter, mining))
         details = found if details is None else details.unionByName(found)
-        shorter = context.broadcast(_filter(counts, "key"))
+        shorter = context.broadcast(filter_of(counts, "key"))
     clean = details.filter("s = a * check")
     # The smallest pointers stand in few texts, which are read once each.
     asked = checkpointed(clean.select("lang", "size", "a", "row", "place", "width"))
@@ -322,7 +287,7 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", mining: Mi
     collided = checkpointed(details.filter("s <> a * check").select("key", "size"))
     for (size,) in sorted(collided.select("size").distinct().collect()):
         own = collided.filter(F.col("size") == size)
-        again = _texts_of(rows, size, context.broadcast(_filter(own, "key")), mining)
+        again = _texts_of(rows, size, context.broadcast(filter_of(own, "key")), mining)
         again = again.join(own, ["key", "size"], "left_semi").filter(F.col("a") >= mining.least)
         found = found.unionByName(again.select("lang", "size", "phrase", "a"))
     return checkpointed(found)
