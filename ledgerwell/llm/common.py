@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove shuffle files and checkpoints that nothing refers to any more.
+
+    It learns of them when the driver's memory is collected, which a driver with room to spare may not do for hours;
+    a job of many rounds would keep the files of all rounds until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh(stem: str) -> str:
     """A column name that no input column has."""
     return f"_{stem}_{uuid.uuid4().hex[:8]}"

@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwell.llm.common import checkpointed, components, fresh
+from ledgerwell.llm.common import checkpointed, components, fresh, release
 from ledgerwell.llm.filters import filter_of
-from ledgerwell.llm.texts import flat, groups, mixed, shingles, word_hashes
+from ledgerwell.llm.texts import flat, groups, mixed, shingles, slices, word_hashes
 
 SKETCH = 512
 WORDS = SKETCH // 64
@@ -45,19 +45,23 @@ class Join:
     rounds: int = 2
 
 
+def _distinct(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of texts, sorted by text, and where each text's begin."""
+    found, places = shingles(*word_hashes(data, starts), size)
+    owner = np.repeat(np.arange(len(starts) - 1), np.diff(places))
+    order = np.lexsort((found, owner))
+    found, owner = found[order], owner[order]
+    new = np.ones(len(found), dtype=bool)
+    new[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
+    found, owner = found[new], owner[new]
+    return found, np.searchsorted(owner, np.arange(len(starts)))
+
+
 def _sets(batch: pa.RecordBatch, text: str, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Distinct shingles of some texts at a time: first row, last row, shingles sorted by text, where each begins."""
     data, starts = flat(batch.column(text))
     for first, last in groups(starts):
-        own = starts[first : last + 1] - starts[first]
-        found, places = shingles(*word_hashes(data[starts[first] : starts[last]], own), size)
-        owner = np.repeat(np.arange(last - first), np.diff(places))
-        order = np.lexsort((found, owner))
-        found, owner = found[order], owner[order]
-        new = np.ones(len(found), dtype=bool)
-        new[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
-        found, owner = found[new], owner[new]
-        yield first, last, found, np.searchsorted(owner, np.arange(last - first + 1))
+        yield first, last, *_distinct(data[starts[first] : starts[last]], starts[first : last + 1] - starts[first], size)
 
 
 def frequent_shingles(docs: DataFrame, text: str, join: Join) -> tuple[np.ndarray, np.ndarray]:
@@ -161,21 +165,35 @@ def _described(docs: DataFrame, frequent, join: Join) -> DataFrame:
     return docs.select("row", "id", "text").mapInArrow(run, schema)
 
 
-def _full(docs: DataFrame, frequent, join: Join) -> DataFrame:
-    """Whole sets of documents (``node``, ``text``), with prefixes under two more orders: rarity classes, and none."""
+def _similar(pairs: DataFrame, frequent, join: Join) -> DataFrame:
+    """The pairs (``a``, ``b``) that share prefixes under two more orders, rarity classes and none, and are similar enough.
+
+    Both texts are turned into sets where they meet: they take less room on the way than their sets.
+    """
+
+    def overlap(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], k: int) -> int:
+        own = [values[places[k] : places[k + 1]] for values, places in (one, two)]
+        return len(np.intersect1d(*own, assume_unique=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, times = frequent.value
-        for batch in batches:
-            for first, last, found, places in _sets(batch, "text", join.size):
+        for part in (p for batch in batches for p in slices(batch, "text_a")):
+            sets, seconds, thirds = [], [], []
+            for side in ("text_a", "text_b"):
+                found, places = _distinct(*flat(part.column(side)), join.size)
                 classes = np.floor(np.log2(_ranks(found, values, times) + 1))
-                second = _prefixes(found, places, (_salted(found, 3), classes), join.percent)
-                third = _prefixes(found, places, (_salted(found, 4),), join.percent)
-                nodes = batch.column("node").slice(first, last - first)
-                columns = [nodes, _lists(found, places), _lists(*second), _lists(*third)]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "whole", "second", "third"])
+                sets.append((found, places))
+                seconds.append(_prefixes(found, places, (_salted(found, 3), classes), join.percent))
+                thirds.append(_prefixes(found, places, (_salted(found, 4),), join.percent))
+            sizes = np.diff(sets[0][1]) + np.diff(sets[1][1])
+            good = np.zeros(part.num_rows, dtype=bool)
+            for k in range(part.num_rows):
+                if overlap(*seconds, k) and overlap(*thirds, k):
+                    common = overlap(*sets, k)
+                    good[k] = 100 * common >= join.percent * (sizes[k] - common)
+            yield part.select(["a", "b"]).filter(pa.array(good))
 
-    return docs.select("node", "text").mapInArrow(run, "node long, whole array<long>, second array<long>, third array<long>")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
 def _sizes_allow(join: Join) -> Column:
@@ -223,7 +241,7 @@ def _described_and_linked(docs: DataFrame, key: str, text: str, join: Join) -> t
     rows = docs.select(F.xxhash64(key, text).alias("row"), F.col(key).alias("id"), F.col(text).alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows, "text", join))
     described = checkpointed(_described(rows, frequent, join))
-    documents = described.select("row", "id", "n", "node")
+    documents = checkpointed(described.select("row", "id", "n", "node"))
     nodes = checkpointed(documents.filter("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row"), F.min("id").alias("id")))
     described = described.filter("node IS NOT NULL").select("node", "n", "sketch", F.col("prefix").alias("mine"))
     postings = described.select("node", F.explode("mine").alias("shingle"))
@@ -232,6 +250,8 @@ def _described_and_linked(docs: DataFrame, key: str, text: str, join: Join) -> t
     shared = _narrowed(described, several)
     one = shared.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("mine").alias("mine"))
     one = checkpointed(one)
+    del described, postings, several, shared
+    release(spark)
     linked = None if one.isEmpty() else _linked(rows, nodes, one, frequent, join)
     return documents, nodes, linked
 
@@ -256,64 +276,71 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", joi
 
 def _linked(rows: DataFrame, nodes: DataFrame, one: DataFrame, frequent, join: Join) -> DataFrame | None:
     """(``node``, ``component``) of all nodes that link with another; None without candidates."""
+    spark = rows.sparkSession
     labels = one.select("node", F.col("node").alias("label"))
     links = joined = None
     for number in range(join.rounds + 1):
-        labelled = one.join(_small(labels), "node")
-        posts = labelled.select("node", "n", "label", F.explode("mine").alias("shingle"))
-        # Shingles whose holders are all in one component have nothing more to tell.
-        spread = posts.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-        one = checkpointed(_narrowed(one, spread))
+        one = _undecided(one, labels)
         if one.isEmpty():
             break
-        labelled = one.join(_small(labels), "node")
-        posts = labelled.select("node", "n", "label", F.explode("mine").alias("shingle"))
-        same = F.col("x.shingle") == F.col("y.shingle")
-        apart = F.col("x.label") != F.col("y.label")
-        if number < join.rounds:
-            # Pivots: the holders with the least hashes, of which there are new ones in each round.
-            holder = F.struct("node", "n", "label")
-            ranked = [
-                F.min_by(holder, F.xxhash64("node", F.lit(number * join.pivots + k))).alias(f"p{k}") for k in range(join.pivots)
-            ]
-            pivots = posts.groupBy("shingle").agg(*ranked)
-            pivots = pivots.select("shingle", F.explode(F.array_distinct(F.array(*(f"p{k}" for k in range(join.pivots))))).alias("p"))
-            met = posts.alias("x").join(pivots.select("shingle", "p.*").alias("y"), same & apart & _sizes_allow(join))
-            pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-            sketches = one.select("node", "n", "sketch")
-            both = pairs.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(sketches.alias("y"), F.col("b") == F.col("y.node"))
-            pairs = both.filter(_sketches_allow(join)).select("a", "b")
-        else:
-            full = labelled.select("node", "n", "label", "sketch", F.explode("mine").alias("shingle"))
-            fits = (F.col("x.node") < F.col("y.node")) & apart & _sizes_allow(join) & _sketches_allow(join)
-            pairs = full.alias("x").join(full.alias("y"), same & fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-            pairs = pairs.distinct()
-        found = _verified(rows, nodes, checkpointed(pairs), frequent, join)
+        release(spark)
+        pairs = _pairs(one, labels, number, join)
+        release(spark)
+        found = _verified(rows, nodes, pairs, frequent, join)
         links = found if links is None else links.unionByName(found)
+        del pairs
+        release(spark)
         joined = checkpointed(components(links, "a", "b"))
         labels = one.select("node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
         labels = checkpointed(labels)
+        release(spark)
     return joined
 
 
+def _undecided(one: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes without the shingles whose holders are all in one component: those have nothing more to tell."""
+    posts = one.join(_small(labels), "node").select("label", F.explode("mine").alias("shingle"))
+    spread = posts.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return checkpointed(_narrowed(one, spread))
+
+
+def _pairs(one: DataFrame, labels: DataFrame, number: int, join: Join) -> DataFrame:
+    """Pairs of nodes (``a``, ``b``) of different components to be compared in a round.
+
+    At first each node with the one pivot of its shingles that it shares most of them with; in the last round all
+    that are left.
+    """
+    labelled = one.join(_small(labels), "node")
+    same, apart = F.col("x.shingle") == F.col("y.shingle"), F.col("x.label") != F.col("y.label")
+    if number == join.rounds:
+        full = labelled.select("node", "n", "label", "sketch", F.explode("mine").alias("shingle"))
+        fits = (F.col("x.node") < F.col("y.node")) & apart & _sizes_allow(join) & _sketches_allow(join)
+        pairs = full.alias("x").join(full.alias("y"), same & fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        return checkpointed(pairs.distinct())
+    # Pivots: the holders with the least hashes, of which there are new ones in each round.
+    posts = labelled.select("node", "n", "label", F.explode("mine").alias("shingle"))
+    holder = F.struct("node", "n", "label")
+    ranked = [F.min_by(holder, F.xxhash64("node", F.lit(number * join.pivots + k))).alias(f"p{k}") for k in range(join.pivots)]
+    pivots = posts.groupBy("shingle").agg(*ranked)
+    pivots = pivots.select("shingle", F.explode(F.array_distinct(F.array(*(f"p{k}" for k in range(join.pivots))))).alias("p"))
+    met = posts.alias("x").join(pivots.select("shingle", "p.*").alias("y"), same & apart & _sizes_allow(join))
+    shared = met.groupBy(F.col("x.node").alias("own"), F.col("y.node").alias("pivot")).agg(F.count(F.lit(1)).alias("shared"))
+    sketches = one.select("node", "n", "sketch")
+    both = shared.join(sketches.alias("x"), F.col("own") == F.col("x.node")).join(sketches.alias("y"), F.col("pivot") == F.col("y.node"))
+    best = F.max(F.struct("shared", "pivot"))["pivot"].alias("pivot")
+    chosen = both.filter(_sketches_allow(join)).select("own", "pivot", "shared").groupBy("own").agg(best)
+    return checkpointed(chosen.select(F.least("own", "pivot").alias("a"), F.greatest("own", "pivot").alias("b")).distinct())
+
+
 def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, frequent, join: Join) -> DataFrame:
     """The pairs of nodes (``a``, ``b``) that also share prefixes under the other orders and are similar enough."""
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = checkpointed(asked.join(nodes, "node").select("node", "row"))
-    # Equal rows are reduced while they are texts, which take less room than sets.
-    chosen = rows.select("row", "text").join(_small(wanted), "row").dropDuplicates(["node"]).select("node", "text")
-    sets = checkpointed(_full(chosen, frequent, join))
-
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
-
-    filtered = pairs.join(side("a", "second", "third"), "a").join(side("b", "second", "third"), "b")
-    both = F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")
-    candidates = checkpointed(filtered.filter(both).select("a", "b"))
-    whole = candidates.join(side("a", "whole"), "a").join(side("b", "whole"), "b")
-    sized = whole.select("a", "b", F.size("whole_a").alias("m"), F.size("whole_b").alias("n"), F.size(F.array_intersect("whole_a", "whole_b")).alias("i"))
-    similar = sized.filter(F.col("i") * 100 >= (F.col("m") + F.col("n") - F.col("i")) * join.percent)
-    return checkpointed(similar.select("a", "b"))
+    # Equal rows are reduced to one text for each node.
+    texts = rows.select("row", "text").join(_small(wanted), "row").dropDuplicates(["node"]).select("node", "text")
+    both = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
+    both = both.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
+    return checkpointed(_similar(both, frequent, join))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
