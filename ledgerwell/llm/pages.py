@@ -295,7 +295,7 @@ def parsed(df: DataFrame, html: str, name: str, keep: list[str], at: str) -> Dat
 
     schema = T.StructType([df.schema[c] for c in keep]).add(at, struct)
     path = shared_folder(df.sparkSession, "pages")
-    df.mapInArrow(run, schema).write.parquet(path)
+    df.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -305,16 +305,18 @@ def templates(
     """Subtrees (``s``) that are template on a ``host``, of trees with ``host``, ``article``, ``subtrees``, ``own``, ``whole``."""
     # One row per article of a host, whatever the number of its copies; the whole of it counts as subtree NULL.
     parts = seen.select("host", "article", F.explode(F.concat("subtrees", F.array(F.lit(None).cast("long")))).alias("s"))
-    standing = checkpointed(parts.distinct().groupBy("host", "s").agg(F.count(F.lit(1)).alias("n")))
+    standing = parts.distinct().groupBy("host", "s").agg(F.count(F.lit(1)).alias("n"))
+    standing = checkpointed(standing.filter("s IS NULL OR n >= %d" % few))
     sizes = standing.filter("s IS NULL").select("host", F.col("n").alias("total"))
     total, n = F.col("total"), F.col("n")
     small = F.least(F.lit(several), F.ceil(total / 2))
     needed = F.greatest(F.lit(few), small, F.ceil(total * part))
-    common = standing.filter(F.col("s").isNotNull() & (n >= few)).join(sizes, "host").withColumn("needed", needed)
+    common = standing.filter("s IS NOT NULL").join(sizes, "host").withColumn("needed", needed)
     common = checkpointed(common.filter(n >= F.col("needed")))
     # What stands as often on many other hosts is text that many write, unless most articles of the host hold it.
-    elsewhere = standing.filter("s IS NOT NULL").join(common.select("s").distinct(), "s", "left_semi")
-    elsewhere = elsewhere.groupBy("s").agg(F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("hosts"))
+    everywhere = parts.join(common.select("s").distinct(), "s", "left_semi").distinct()
+    everywhere = everywhere.groupBy("s", "host").agg(F.count(F.lit(1)).alias("n"))
+    elsewhere = everywhere.groupBy("s").agg(F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("hosts"))
     articles = sizes.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     others = F.greatest(F.lit(articles) - total, F.lit(1))
     usual = (F.col("hosts") > wide) & (n / total < lift * (F.col("all_n") - n) / others)
