@@ -34,18 +34,23 @@ def _positions(edits: int) -> list[tuple[int, int, int, bool]]:
     return out
 
 
-def signatures(line: Column, size: Column, edits: int = EDITS) -> Column:
-    """Keys of a line: array of ``key`` and ``filed`` (its own segments; these are looked up as well)."""
-    parts = []
-    for longer, segment, shift, filed in _positions(edits):
-        length = size - longer
-        first = F.floor(length * (segment - 1) / (edits + 1)).cast("int")
-        last = F.floor(length * segment / (edits + 1)).cast("int")
-        piece = F.substring(line, first + shift + 1, last - first)
-        fits = (first + shift >= 0) & (last + shift <= size)
-        key = F.xxhash64(length, F.lit(segment), piece)
-        parts.append(F.when(fits, F.struct(key.alias("key"), F.lit(filed).alias("filed"))))
-    return F.array(*parts)
+def _signed(lines_: DataFrame, edits: int) -> DataFrame:
+    """Keys of lines: ``a``, ``line``, ``key`` and ``filed`` (its own segments; these are looked up as well).
+
+    The places are a table that lines are multiplied by, not an expression for each place: so much code would run
+    uncompiled.
+    """
+    names = ("longer", "segment", "shift", "filed")
+    places = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, place))) for place in _positions(edits)))
+    sized = lines_.select("a", "line", F.length("line").alias("size"))
+    spread = sized.select("a", "line", "size", F.explode(places).alias("p")).select("a", "line", "size", "p.*")
+    length = F.col("size") - F.col("longer")
+    first = F.floor(length * (F.col("segment") - 1) / (edits + 1)).cast("int")
+    last = F.floor(length * F.col("segment") / (edits + 1)).cast("int")
+    cut = spread.withColumns({"length": length, "start": first + F.col("shift"), "end": last + F.col("shift")})
+    fits = cut.filter((F.col("start") >= 0) & (F.col("end") <= F.col("size")))
+    piece = F.substring("line", F.col("start") + 1, F.col("end") - F.col("start"))
+    return fits.select("a", "line", F.xxhash64("length", "segment", piece).alias("key"), "filed")
 
 
 def _parity(items: Column) -> Column:
@@ -117,11 +122,11 @@ def _lines(docs: DataFrame, key: str, text: str, least: int = 1) -> DataFrame:
 def links(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 20, edits: int = EDITS) -> DataFrame:
     """Pairs of different lines at most ``edits`` apart, as line hashes ``a`` < ``other``."""
     found = _lines(docs, key, text, least)
-    signed = found.select("a", "line", F.explode(signatures(F.col("line"), F.length("line"), edits)).alias("s")).filter("s IS NOT NULL")
+    signed = _signed(found, edits)
     # Only keys of two different lines matter; the least and the greatest line combine before the shuffle.
-    per_key = signed.select("s.key", "a").groupBy("key").agg(F.min("a").alias("low"), F.max("a").alias("high"))
+    per_key = signed.groupBy("key").agg(F.min("a").alias("low"), F.max("a").alias("high"))
     keys = checkpointed(per_key.filter("low <> high").select("key"))
-    active = signed.select("a", "line", "s.key", "s.filed").join(_small(keys), "key")
+    active = signed.join(_small(keys), "key")
     lines_ = active.groupBy("a").agg(F.first("line").alias("line"), F.collect_set(F.struct("key", "filed")).alias("keys"))
     known = checkpointed(_sketches(lines_))
     spread = known.select("a", "one", "two", F.explode("keys").alias("s")).select("a", "one", "two", "s.*")
