@@ -3,7 +3,8 @@
 If two lines differ by at most T edits and one is cut into T + 1 segments, one segment stands unchanged in the other,
 near its own place. So every line files its segments under its length and looks up the substrings of the lengths and
 places that can match. Pairs that also agree in two parity sketches, which T edits can change in few bits only, are
-verified by a banded bit-parallel automaton. All of it is built-in functions.
+verified by a banded bit-parallel automaton. Long lines are joined a second time by the same method with words in the
+place of characters, so that a replaced word counts as one edit however long it is. All of it is built-in functions.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from ledgerwell.llm.common import checkpointed, components, fresh
 
 EDITS = 2
+#: Lines of at least so many characters and words may also differ in so many words.
+LONG, WORDS, WORD_EDITS = 60, 10, 1
 #: Tables of at most this many short rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -34,23 +37,42 @@ def _positions(edits: int) -> list[tuple[int, int, int, bool]]:
     return out
 
 
-def _signed(lines_: DataFrame, edits: int) -> DataFrame:
-    """Keys of lines: ``a``, ``line``, ``key`` and ``filed`` (its own segments; these are looked up as well).
+def _signed(lines_: DataFrame, edits: int, word_edits: int) -> DataFrame:
+    """Keys of lines: ``a``, ``line``, ``key``, ``filed`` (its own segments; these are looked up as well), ``by_word``.
 
     The places are a table that lines are multiplied by, not an expression for each place: so much code would run
     uncompiled.
     """
-    names = ("longer", "segment", "shift", "filed")
-    places = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, place))) for place in _positions(edits)))
-    sized = lines_.select("a", "line", F.length("line").alias("size"))
-    spread = sized.select("a", "line", "size", F.explode(places).alias("p")).select("a", "line", "size", "p.*")
+    names = ("longer", "segment", "shift", "filed", "parts", "by_word")
+
+    def places(most: int, by_word: bool) -> list[Column]:
+        rows = [(*place, most + 1, by_word) for place in _positions(most)]
+        return [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in rows]
+
+    letters = F.array(*places(edits, False))
+    both = F.array(*places(edits, False), *places(word_edits, True))
+    sized = lines_.select("a", "line", F.length("line").alias("letters"), _words(F.col("line")).alias("words"))
+    spread = sized.select("*", F.explode(F.when(_is_long(), both).otherwise(letters)).alias("p"))
+    size = F.when(F.col("p.by_word"), F.size("words")).otherwise(F.col("letters")).alias("size")
+    spread = spread.select("a", "line", "words", size, "p.*")
     length = F.col("size") - F.col("longer")
-    first = F.floor(length * (F.col("segment") - 1) / (edits + 1)).cast("int")
-    last = F.floor(length * F.col("segment") / (edits + 1)).cast("int")
+    first = F.floor(length * (F.col("segment") - 1) / F.col("parts")).cast("int")
+    last = F.floor(length * F.col("segment") / F.col("parts")).cast("int")
     cut = spread.withColumns({"length": length, "start": first + F.col("shift"), "end": last + F.col("shift")})
     fits = cut.filter((F.col("start") >= 0) & (F.col("end") <= F.col("size")))
-    piece = F.substring("line", F.col("start") + 1, F.col("end") - F.col("start"))
-    return fits.select("a", "line", F.xxhash64("length", "segment", piece).alias("key"), "filed")
+    begin, count = F.col("start") + 1, F.col("end") - F.col("start")
+    by_letter = F.xxhash64("length", "segment", F.substring("line", begin, count))
+    by_words = F.xxhash64("length", -F.col("segment"), F.slice("words", begin, count))
+    return fits.select("a", "line", F.when(F.col("by_word"), by_words).otherwise(by_letter).alias("key"), "filed", "by_word")
+
+
+def _words(line: Column) -> Column:
+    """What stands between single spaces; two spaces in a row have an empty word between them."""
+    return F.split(line, " ")
+
+
+def _is_long() -> Column:
+    return (F.col("letters") >= LONG) & (F.size("words") >= WORDS)
 
 
 def _parity(items: Column) -> Column:
@@ -62,23 +84,27 @@ def _parity(items: Column) -> Column:
 
 
 def _sketches(df: DataFrame) -> DataFrame:
-    """Parities of characters (an edit changes at most 2 bits) and of pairs of neighbours (at most 4)."""
+    """Parities of characters and of words (an edit changes at most 2 bits) and of pairs of characters (at most 4)."""
     letters = df.withColumn("letters", F.split("line", ""))
     letters = letters.withColumn("letters", F.filter("letters", lambda c: c != ""))
     pairs = F.transform(F.sequence(F.lit(1), F.size("letters") - 1), lambda k: F.concat(F.col("letters")[k - 1], F.col("letters")[k]))
     return letters.withColumns(
-        {"one": _parity(F.col("letters")), "two": F.when(F.size("letters") > 1, _parity(pairs)).otherwise(F.lit(0).cast("long"))}
+        {
+            "one": _parity(F.col("letters")),
+            "two": F.when(F.size("letters") > 1, _parity(pairs)).otherwise(F.lit(0).cast("long")),
+            "three": _parity(_words(F.col("line"))),
+        }
     ).drop("letters")
 
 
-def padded(letters: Column, edits: int = EDITS) -> Column:
-    """Characters with room for the band before and after them."""
-    blank = F.array_repeat(F.lit(""), edits)
+def padded(letters: Column, edits: int = EDITS, blank: str = "") -> Column:
+    """Characters or words with room for the band before and after them, filled with what none of them is."""
+    blank = F.array_repeat(F.lit(blank), edits)
     return F.concat(blank, letters, blank, blank)
 
 
 def within(one: Column, other: Column, edits: int = EDITS) -> Column:
-    """Whether two arrays of characters are at most ``edits`` edits apart; ``one`` is ``padded``.
+    """Whether two arrays of characters or words are at most ``edits`` edits apart; ``one`` is ``padded``.
 
     A banded automaton: for each number of edits one word whose bits are the diagonals of the band. Reading a
     character of ``other`` moves all diagonals at once by shifts and logical operations. Both have to be columns,
@@ -119,47 +145,71 @@ def _lines(docs: DataFrame, key: str, text: str, least: int = 1) -> DataFrame:
     return trimmed.select("*", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
 
 
-def links(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 20, edits: int = EDITS) -> DataFrame:
-    """Pairs of different lines at most ``edits`` apart, as line hashes ``a`` < ``other``."""
+def links(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 20, edits: int = EDITS, word_edits: int = WORD_EDITS
+) -> DataFrame:
+    """Pairs of different lines that are near to each other, as line hashes ``a`` < ``other``.
+
+    Those are lines at most ``edits`` characters apart, and lines of ``LONG`` characters and ``WORDS`` words or more
+    that are at most ``word_edits`` words apart.
+    """
     found = _lines(docs, key, text, least)
-    signed = _signed(found, edits)
+    signed = _signed(found, edits, word_edits)
     # Only keys of two different lines matter; the least and the greatest line combine before the shuffle.
     per_key = signed.groupBy("key").agg(F.min("a").alias("low"), F.max("a").alias("high"))
     keys = checkpointed(per_key.filter("low <> high").select("key"))
     active = signed.join(_small(keys), "key")
-    lines_ = active.groupBy("a").agg(F.first("line").alias("line"), F.collect_set(F.struct("key", "filed")).alias("keys"))
+    lines_ = active.groupBy("a").agg(F.first("line").alias("line"), F.collect_set(F.struct("key", "filed", "by_word")).alias("keys"))
     known = checkpointed(_sketches(lines_))
-    spread = known.select("a", "one", "two", F.explode("keys").alias("s")).select("a", "one", "two", "s.*")
-    other = spread.select("key", *(F.col(c).alias(f"other_{c}") for c in ("a", "one", "two")))
-    near = (
-        (F.col("a") != F.col("other_a"))
-        & (F.bit_count(F.col("one").bitwiseXOR(F.col("other_one"))) <= 2 * edits)
-        & (F.bit_count(F.col("two").bitwiseXOR(F.col("other_two"))) <= 4 * edits)
-    )
+    sketches = ("a", "one", "two", "three")
+    spread = known.select(*sketches, F.explode("keys").alias("s")).select(*sketches, "s.*")
+    other = spread.select("key", F.col("by_word").alias("other_by_word"), *(F.col(c).alias(f"other_{c}") for c in sketches))
+
+    def flips(name: str) -> Column:
+        return F.bit_count(F.col(name).bitwiseXOR(F.col(f"other_{name}")))
+
+    by_letter = ~F.col("by_word") & (flips("one") <= 2 * edits) & (flips("two") <= 4 * edits)
+    by_words = F.col("by_word") & (flips("three") <= 2 * word_edits)
+    near = (F.col("a") != F.col("other_a")) & (F.col("by_word") == F.col("other_by_word")) & (by_letter | by_words)
     filed = spread.filter("filed").drop("filed").withColumnRenamed("key", "filed_key")
     met = filed.join(other, (F.col("filed_key") == F.col("key")) & near)
-    pairs = met.select(F.least("a", "other_a").alias("a"), F.greatest("a", "other_a").alias("other")).distinct()
-    letters = F.filter(F.split("line", ""), lambda c: c != "")
-    one, two = known.select("a", padded(letters, edits).alias("one")), known.select(F.col("a").alias("other"), letters.alias("two"))
-    both = pairs.join(one, "a").join(two, "other")
-    return both.filter(within(F.col("one"), F.col("two"), edits)).select("a", "other")
+    pairs = checkpointed(met.select(F.least("a", "other_a").alias("a"), F.greatest("a", "other_a").alias("other"), "by_word").distinct())
+    letters, words = F.filter(F.split("line", ""), lambda c: c != ""), _words(F.col("line"))
+    ways = [(~F.col("by_word"), letters, padded(letters, edits), edits)]
+    ways.append((F.col("by_word"), words, padded(words, word_edits, " "), word_edits))
+    found = None
+    for way, units, wide, most in ways:
+        one, two = known.select("a", wide.alias("one")), known.select(F.col("a").alias("other"), units.alias("two"))
+        both = pairs.filter(way).join(one, "a").join(two, "other")
+        good = both.filter(within(F.col("one"), F.col("two"), most)).select("a", "other")
+        found = good if found is None else found.unionByName(good)
+    return found.distinct()
 
 
 def deduplicate(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 20, edits: int = EDITS, report: bool = False
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    least: int = 20,
+    edits: int = EDITS,
+    report: bool = False,
+    word_edits: int = WORD_EDITS,
 ) -> DataFrame:
-    """Documents without lines that repeat an earlier one, exactly or up to ``edits`` edits.
+    """Documents without lines that repeat an earlier one, exactly or up to ``edits`` edits or ``word_edits`` words.
+
+    The words count for lines of ``LONG`` characters and ``WORDS`` words or more only: in those one other word is a
+    small part. Words stand between single spaces.
 
     Lines that link directly or through others form a class; its first line by document key and place stays, the others
     go from the text, with their line break. Lines of fewer than ``least`` characters between outer spaces have no near
-    lines, but go as exact repeats; empty lines always stay. All rows and columns stay; a document that consists of repeated lines keeps an empty text. NULL texts stay
-    NULL. Rows with equal key and text are one document and keep or lose the same lines; a NULL key comes first.
+    lines, but go as exact repeats; empty lines always stay. All rows and columns stay; a document that consists of
+    repeated lines keeps an empty text. NULL texts stay NULL. Rows with equal key and text are one document and keep or lose the same lines; a NULL key comes first.
     With ``report`` the columns ``n_lines`` and ``n_removed`` are added (those of these names are replaced).
     """
     found = _lines(docs, key, text)
     place = F.struct("id", "row", "place")
     firsts = found.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    classes = checkpointed(components(links(docs, key, text, least, edits), "a", "other"))
+    classes = checkpointed(components(links(docs, key, text, least, edits, word_edits), "a", "other"))
     joined = firsts.join(_small(classes).withColumnRenamed("node", "a"), "a", "left")
     repeated = joined.filter(F.col("component").isNotNull() | (F.col("first") != F.col("last")))
     # A line without near ones is a class of its own, known by both hashes.

@@ -30,6 +30,24 @@ def near(a, b, edits):
     return len(set(a) - set(b)) <= edits and distance(a, b) <= edits
 
 
+def near_words(a, b, most=1):
+    """The same by words, for long lines only."""
+    one, two = a.split(" "), b.split(" ")
+    long = min(len(a), len(b)) >= 60 and min(len(one), len(two)) >= 10
+    return long and near(one, two, most)
+
+
+def word_groups(known):
+    """Long lines that can be one word apart: equal in the first or in the last half of the words of the shorter one."""
+    found = {}
+    for line in known:
+        words = line.split(" ")
+        for size in (len(words) - 1, len(words)):
+            found.setdefault((size, 0, *words[: size // 2]), []).append(line)
+            found.setdefault((size, 1, *words[len(words) - (size - size // 2) :]), []).append(line)
+    return found.values()
+
+
 def brute(rows, least=20, edits=2):
     first = {}
     for doc, text in sorted(rows):
@@ -50,6 +68,11 @@ def brute(rows, least=20, edits=2):
                 break
             if near(a, b, edits):
                 parent[find(a)] = find(b)
+    for group in word_groups([line for line in known if len(line) >= 60]):
+        for k, a in enumerate(group):
+            for b in group[k + 1 :]:
+                if find(a) != find(b) and near_words(a, b):
+                    parent[find(a)] = find(b)
     kept = {}
     for line, place in first.items():
         kept[find(line)] = min(kept.get(find(line), place), place)
@@ -77,6 +100,27 @@ def test_edited_lines(spark):
     assert {r["doc_id"]: r["text"] for r in lines.deduplicate(df).collect()} == brute(rows)
 
 
+def test_long_lines_that_differ_in_one_word(spark):
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(3, 11))) for _ in range(300)]
+    rows, base = [], [[rng.choice(vocabulary) for _ in range(rng.randint(9, 25))] for _ in range(12)]
+    for k in range(150):
+        words = list(rng.choice(base))
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randint(0, 1)] = rng.choice([[], ["sanctuary"], [""], [rng.choice(vocabulary)]])
+        rows.append((k, " ".join(words)))
+    same = "one sentence of rather many words in which the sixteenth and only that one is {} here and there"
+    rows += [(200, same.format("extraordinary")), (201, same.format("plain")), (202, same.format("very plain")), (203, same.format("").replace("  ", " "))]
+    rows += [(210, "few but long wordsthatcount sixtycharacters andmoretogether extraordinary"), (211, "few but long wordsthatcount sixtycharacters andmoretogether plain")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in lines.deduplicate(df).collect()}
+    assert got == brute(rows)
+    assert [got[k] == "" for k in (200, 201, 202, 203, 210, 211)] == [False, True, True, True, False, False]
+    rest = {r["doc_id"]: r["text"] for r in lines.deduplicate(df, word_edits=0).collect()}
+    assert rest[201] == rows[151][1]
+
+
 @pytest.mark.parametrize("edits", [1, 2, 3])
 def test_automaton_is_the_edit_distance(spark, edits):
     rng = random.Random(edits)
