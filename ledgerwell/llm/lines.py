@@ -9,6 +9,8 @@ place of characters, so that a replaced word counts as one edit however long it
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,24 +77,35 @@ def _is_long() -> Column:
     return (F.col("letters") >= LONG) & (F.size("words") >= WORDS)
 
 
-def _parity(items: Column) -> Column:
+def _letters(line: Column) -> Column:
+    return F.filter(F.split(line, ""), lambda c: c != "")
+
+
+def _parity(items: Column, number: Callable[[Column], Column] = F.xxhash64) -> Column:
     """64 bits, each telling whether an odd number of items fall on it."""
     def flip(mask: Column, item: Column) -> Column:
-        return mask.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(item), F.lit(64)).cast("int")))
+        return mask.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number(item), F.lit(64)).cast("int")))
 
     return F.aggregate(items, F.lit(0).cast("long"), flip)
 
 
 def _sketches(df: DataFrame) -> DataFrame:
-    """Parities of characters and of words (an edit changes at most 2 bits) and of pairs of characters (at most 4)."""
-    letters = df.withColumn("letters", F.split("line", ""))
-    letters = letters.withColumn("letters", F.filter("letters", lambda c: c != ""))
-    pairs = F.transform(F.sequence(F.lit(1), F.size("letters") - 1), lambda k: F.concat(F.col("letters")[k - 1], F.col("letters")[k]))
+    """Parities of characters and of words (an edit changes at most 2 bits) and of pairs of characters (at most 4).
+
+    Lines have those of the ways in which they share a key; the others are NULL and are never looked at.
+    """
+    def neighbours(k: Column) -> Column:
+        return F.xxhash64(F.col("letters")[k - 1], F.col("letters")[k])
+
+    by_letter, by_word = F.exists("keys", lambda k: ~k["by_word"]), F.exists("keys", lambda k: k["by_word"])
+    none = F.lit(0).cast("long")
+    pairs = F.when(F.size("letters") > 1, _parity(F.sequence(F.lit(1), F.size("letters") - 1), neighbours)).otherwise(none)
+    letters = df.withColumn("letters", F.when(by_letter, _letters(F.col("line"))))
     return letters.withColumns(
         {
-            "one": _parity(F.col("letters")),
-            "two": F.when(F.size("letters") > 1, _parity(pairs)).otherwise(F.lit(0).cast("long")),
-            "three": _parity(_words(F.col("line"))),
+            "one": F.when(by_letter, _parity(F.col("letters"))),
+            "two": F.when(by_letter, pairs),
+            "three": F.when(by_word, _parity(_words(F.col("line")))),
         }
     ).drop("letters")
 
@@ -107,7 +120,7 @@ def within(one: Column, other: Column, edits: int = EDITS) -> Column:
     """Whether two arrays of characters or words are at most ``edits`` edits apart; ``one`` is ``padded``.
 
     A banded automaton: for each number of edits one word whose bits are the diagonals of the band. Reading a
-    character of ``other`` moves all diagonals at once by shifts and logical operations. Both have to be columns,
+    character of ``other`` moves all diagonals at once by shifts and logical operations. Both have to be columns or variables,
     not expressions, or they would be computed again for every character.
     """
     width = 2 * edits + 1
@@ -174,16 +187,16 @@ def links(
     filed = spread.filter("filed").drop("filed").withColumnRenamed("key", "filed_key")
     met = filed.join(other, (F.col("filed_key") == F.col("key")) & near)
     pairs = checkpointed(met.select(F.least("a", "other_a").alias("a"), F.greatest("a", "other_a").alias("other"), "by_word").distinct())
-    letters, words = F.filter(F.split("line", ""), lambda c: c != ""), _words(F.col("line"))
-    ways = [(~F.col("by_word"), letters, padded(letters, edits), edits)]
-    ways.append((F.col("by_word"), words, padded(words, word_edits, " "), word_edits))
-    found = None
-    for way, units, wide, most in ways:
-        one, two = known.select("a", wide.alias("one")), known.select(F.col("a").alias("other"), units.alias("two"))
-        both = pairs.filter(way).join(one, "a").join(two, "other")
-        good = both.filter(within(F.col("one"), F.col("two"), most)).select("a", "other")
-        found = good if found is None else found.unionByName(good)
-    return found.distinct()
+    one, two = known.select("a", F.col("line").alias("one")), known.select(F.col("a").alias("other"), F.col("line").alias("two"))
+    both = pairs.join(one, "a").join(two, "other")
+
+    def verified(units: Callable[[Column], Column], most: int, blank: str) -> Column:
+        # The variable of the function holds the arrays; as expressions they would be computed at every use.
+        split = F.struct(padded(units(F.col("one")), most, blank).alias("one"), units(F.col("two")).alias("two"))
+        return F.transform(F.array(split), lambda s: within(s["one"], s["two"], most))[0]
+
+    good = F.when(F.col("by_word"), verified(_words, word_edits, " ")).otherwise(verified(_letters, edits, ""))
+    return both.filter(good).select("a", "other").distinct()
 
 
 def deduplicate(
