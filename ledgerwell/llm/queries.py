@@ -169,6 +169,71 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_collocations": op13_collocations,
 }
 
+OP2_SQL = r"""
+WITH spoken AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), marked AS (
+    SELECT *, regexp_replace(regexp_replace(text,
+        '<(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|unk>|pad>)', '<\\\1\2', 'g'),
+        '\[(\\*)(INST\]|/INST\])', '[\\\1\2', 'g') AS body
+    FROM spoken
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|im_start|>' || role || body || '<|im_end|>') + 2) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+OP6_SQL = r"""
+WITH RECURSIVE spoken AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), held AS (
+    SELECT DISTINCT row, array_to_string(words[i : i + 3], ' ') AS shingle
+    FROM spoken, unnest(range(1, greatest(len(words) - 2, 2))) AS u(i) WHERE len(words) > 0
+), sizes AS (
+    SELECT row, count(*) AS n FROM held GROUP BY row
+), met AS (
+    SELECT x.row AS a, y.row AS b, count(*) AS common FROM held AS x JOIN held AS y USING (shingle) WHERE x.row <> y.row GROUP BY ALL
+), links AS (
+    SELECT a, b FROM met JOIN sizes AS x ON x.row = a JOIN sizes AS y ON y.row = b WHERE 100 * common >= 85 * (x.n + y.n - common)
+), reach AS (
+    SELECT row AS a, row AS b FROM spoken
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT x.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y.doc_id) AS component_id
+FROM reach JOIN spoken AS x ON x.row = reach.a JOIN spoken AS y ON y.row = reach.b LEFT JOIN sizes ON sizes.row = reach.a
+GROUP BY reach.a, x.doc_id
+"""
+
+OP9_SQL = """
+WITH RECURSIVE vectors AS (
+    SELECT row_number() OVER () AS row, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), able AS (
+    SELECT *, sqrt(list_dot_product(v, v)) AS length FROM vectors
+    WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT x.row AS a, y.row AS b FROM able AS x JOIN able AS y USING (label)
+    WHERE x.row <> y.row AND list_dot_product(x.v, y.v) / (x.length * y.length) >= 0.98
+), counted AS (
+    SELECT a, count(*) AS n_links FROM links GROUP BY a
+), reach AS (
+    SELECT row AS a, row AS b FROM vectors
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT x.vec_id, coalesce(any_value(n_links), 0) AS n_links, min(y.vec_id) AS component_id, x.vec_id = min(y.vec_id) AS kept
+FROM reach JOIN vectors AS x ON x.row = reach.a JOIN vectors AS y ON y.row = reach.b LEFT JOIN counted ON counted.a = reach.a
+GROUP BY reach.a, x.vec_id
+"""
+
 OP11_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -215,7 +280,13 @@ WINDOW best AS (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase)
 QUALIFY row_number() OVER best <= 2000
 """
 
-ORACLES: dict[str, str] = {"op11_exact": OP11_SQL, "op13_collocations": OP13_SQL}
+ORACLES: dict[str, str] = {
+    "op2_chat": OP2_SQL,
+    "op6_jaccard": OP6_SQL,
+    "op9_embeddings": OP9_SQL,
+    "op11_exact": OP11_SQL,
+    "op13_collocations": OP13_SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
