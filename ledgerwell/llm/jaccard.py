@@ -317,13 +317,14 @@ def _pairs(one: DataFrame, labels: DataFrame, number: int, join: Join) -> DataFr
         fits = (F.col("x.node") < F.col("y.node")) & apart & _sizes_allow(join) & _sketches_allow(join)
         pairs = full.alias("x").join(full.alias("y"), same & fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         return checkpointed(pairs.distinct())
-    # Pivots: the holders with the least hashes, of which there are new ones in each round.
+    # Pivots: the holders whose hashes are least once some bits are turned over, others in each round. Only these
+    # numbers are counted for each shingle; the rest of a pivot is looked up afterwards.
     posts = labelled.select("node", "n", "label", F.explode("mine").alias("shingle"))
-    holder = F.struct("node", "n", "label")
-    ranked = [F.min_by(holder, F.xxhash64("node", F.lit(number * join.pivots + k))).alias(f"p{k}") for k in range(join.pivots)]
-    pivots = posts.groupBy("shingle").agg(*ranked)
-    pivots = pivots.select("shingle", F.explode(F.array_distinct(F.array(*(f"p{k}" for k in range(join.pivots))))).alias("p"))
-    met = posts.alias("x").join(pivots.select("shingle", "p.*").alias("y"), same & apart & _sizes_allow(join))
+    turned = [F.xxhash64(F.lit(number * join.pivots + k)) for k in range(join.pivots)]
+    pivots = posts.groupBy("shingle").agg(*(F.min(F.col("node").bitwiseXOR(t)).alias(f"p{k}") for k, t in enumerate(turned)))
+    back = F.array_distinct(F.array(*(F.col(f"p{k}").bitwiseXOR(t) for k, t in enumerate(turned))))
+    pivots = pivots.select("shingle", F.explode(back).alias("node")).join(_small(labelled.select("node", "n", "label")), "node")
+    met = posts.alias("x").join(pivots.alias("y"), same & apart & _sizes_allow(join))
     shared = met.groupBy(F.col("x.node").alias("own"), F.col("y.node").alias("pivot")).agg(F.count(F.lit(1)).alias("shared"))
     sketches = one.select("node", "n", "sketch")
     both = shared.join(sketches.alias("x"), F.col("own") == F.col("x.node")).join(sketches.alias("y"), F.col("pivot") == F.col("y.node"))
