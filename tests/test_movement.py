@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerwell.config import Limits
 from ledgerwell.operators import matching as m
 from ledgerwell.operators.joins import FILTER_WORDS, Dimension, fan_out, key_filter, parted, repeated_keys
+from ledgerwell.sources.sinks import read_table, replace_table
 
 ROW = "source_hash string, account_id string, source_row_id bigint, description string"
 
@@ -57,3 +58,11 @@ def test_a_short_dictionary_is_tried_in_order(spark, cfg):
     assert "Window" not in plan(out)
     got = sorted((r.source_hash, r.rule_category_id, r.rule_merchant, r.rule_priority) for r in out.collect())
     assert got == [("h", "S", None, 2), ("i", None, None, None), ("j", None, None, None)]
+
+
+def test_written_hashes_are_compressed(spark, tmp_path):
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("source_hash"))
+    replace_table(rows, str(tmp_path / "t"))
+    files = [f for f in (tmp_path / "t").rglob("*.parquet")]
+    assert sum(f.stat().st_size for f in files) < 20_000 * 50
+    assert read_table(spark, str(tmp_path / "t")).exceptAll(rows).isEmpty()
