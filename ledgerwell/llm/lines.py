@@ -39,33 +39,60 @@ def _positions(edits: int) -> list[tuple[int, int, int, bool]]:
     return out
 
 
+def _grade(size: Column) -> Column:
+    """The size rounded down to one of eight steps between powers of two; sizes below 16 stay as they are."""
+    bits = F.greatest(F.length(F.bin(size)) - 4, F.lit(0)).cast("int")
+    return F.call_function("shiftleft", F.call_function("shiftright", size, bits), bits)
+
+
 def _signed(lines_: DataFrame, edits: int, word_edits: int) -> DataFrame:
     """Keys of lines: ``a``, ``line``, ``key``, ``filed`` (its own segments; these are looked up as well), ``by_word``.
 
-    The places are a table that lines are multiplied by, not an expression for each place: so much code would run
-    uncompiled.
+    Lines of one grade share the size of their segments: all but the last are cut from the start, the last from the
+    end, and what is left over before it belongs to none. So the places for shorter lines are tried only where some of
+    those have another grade; otherwise the places for a line of the same length hold them. The places are a table that
+    lines are multiplied by, not an expression for each place: so much code would run uncompiled. Grades are found
+    before, once for a line, and lines of one byte a character are cut by bytes, as characters have to be counted.
     """
     names = ("longer", "segment", "shift", "filed", "parts", "by_word")
 
-    def places(most: int, by_word: bool) -> list[Column]:
-        rows = [(*place, most + 1, by_word) for place in _positions(most)]
+    def grades(size: Column, most: int) -> Column:
+        return F.array(*(_grade(size - longer) for longer in range(most + 1)))
+
+    def places(most: int, by_word: bool, alike: bool) -> list[Column]:
+        rows = [(*place, most + 1, by_word) for place in _positions(most) if not alike or place[0] == 0]
         return [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in rows]
 
-    letters = F.array(*places(edits, False))
-    both = F.array(*places(edits, False), *places(word_edits, True))
-    sized = lines_.select("a", "line", F.length("line").alias("letters"), _words(F.col("line")).alias("words"))
-    spread = sized.select("*", F.explode(F.when(_is_long(), both).otherwise(letters)).alias("p"))
-    size = F.when(F.col("p.by_word"), F.size("words")).otherwise(F.col("letters")).alias("size")
-    spread = spread.select("a", "line", "words", size, "p.*")
-    length = F.col("size") - F.col("longer")
-    first = F.floor(length * (F.col("segment") - 1) / F.col("parts")).cast("int")
-    last = F.floor(length * F.col("segment") / F.col("parts")).cast("int")
-    cut = spread.withColumns({"length": length, "start": first + F.col("shift"), "end": last + F.col("shift")})
-    fits = cut.filter((F.col("start") >= 0) & (F.col("end") <= F.col("size")))
-    begin, count = F.col("start") + 1, F.col("end") - F.col("start")
-    by_letter = F.xxhash64("length", "segment", F.substring("line", begin, count))
-    by_words = F.xxhash64("length", -F.col("segment"), F.slice("words", begin, count))
-    return fits.select("a", "line", F.when(F.col("by_word"), by_words).otherwise(by_letter).alias("key"), "filed", "by_word")
+    sized = lines_.select("a", "line", F.length("line").alias("letters"), F.size(_words(F.col("line"))).alias("words"))
+    graded = sized.withColumns(
+        {
+            "fine": grades(F.col("letters"), edits),
+            "coarse": grades(F.col("words"), word_edits),
+            "bytes": F.when(F.octet_length("line") == F.col("letters"), F.col("line").cast("binary")),
+        }
+    )
+    fine_alike, coarse_alike = F.col("fine")[edits] == F.col("fine")[0], F.col("coarse")[word_edits] == F.col("coarse")[0]
+
+    def chosen(fine: bool) -> Column:
+        letters = places(edits, False, fine)
+        both = (F.array(*letters, *places(word_edits, True, coarse)) for coarse in (True, False))
+        return F.when(~_is_long(), F.array(*letters)).when(coarse_alike, next(both)).otherwise(next(both))
+
+    spread = graded.withColumn("p", F.explode(F.when(fine_alike, chosen(True)).otherwise(chosen(False))))
+    size = F.when(F.col("p.by_word"), F.col("words")).otherwise(F.col("letters")).alias("size")
+    grade = F.when(F.col("p.by_word"), F.col("coarse")[F.col("p.longer")]).otherwise(F.col("fine")[F.col("p.longer")])
+    cut = spread.select("a", "line", "bytes", size, grade.alias("grade"), "p.*")
+    count = F.floor(F.col("grade") / F.col("parts")).cast("int")
+    cut = cut.withColumns({"length": F.col("size") - F.col("longer"), "count": count})
+    last = F.col("segment") == F.col("parts")
+    start = F.when(last, F.col("length") - F.col("count")).otherwise((F.col("segment") - 1) * F.col("count")) + F.col("shift")
+    fits = cut.withColumn("start", start).filter((F.col("start") >= 0) & (F.col("start") + F.col("count") <= F.col("size")))
+    begin, count = F.col("start") + 1, F.col("count")
+    words = F.call_function("substring_index", "line", F.lit(" "), F.col("start") + count)
+    words = F.call_function("substring_index", words, F.lit(" "), -count).cast("binary")
+    letters = F.coalesce(F.substring("bytes", begin, count), F.substring("line", begin, count).cast("binary"))
+    piece = F.when(F.col("by_word"), words).otherwise(letters)
+    return fits.select("a", "line", F.xxhash64("grade", "segment", "by_word", piece).alias("key"), "filed", "by_word")
 
 
 def _words(line: Column) -> Column:
@@ -74,7 +101,7 @@ def _words(line: Column) -> Column:
 
 
 def _is_long() -> Column:
-    return (F.col("letters") >= LONG) & (F.size("words") >= WORDS)
+    return (F.col("letters") >= LONG) & (F.col("words") >= WORDS)
 
 
 def _letters(line: Column) -> Column:
@@ -175,14 +202,19 @@ def links(
     lines_ = active.groupBy("a").agg(F.first("line").alias("line"), F.collect_set(F.struct("key", "filed", "by_word")).alias("keys"))
     known = checkpointed(_sketches(lines_))
     sketches = ("a", "one", "two", "three")
-    spread = known.select(*sketches, F.explode("keys").alias("s")).select(*sketches, "s.*")
-    other = spread.select("key", F.col("by_word").alias("other_by_word"), *(F.col(c).alias(f"other_{c}") for c in sketches))
+    sizes = F.length("line").alias("letters"), F.size(_words(F.col("line"))).alias("words")
+    spread = known.select(*sketches, *sizes, F.explode("keys").alias("s"))
+    size = F.when(F.col("s.by_word"), F.col("words")).otherwise(F.col("letters")).alias("size")
+    spread = spread.select(*sketches, size, "s.*")
+    other = spread.select("key", *(F.col(c).alias(f"other_{c}") for c in ("by_word", "size", *sketches)))
 
     def flips(name: str) -> Column:
         return F.bit_count(F.col(name).bitwiseXOR(F.col(f"other_{name}")))
 
-    by_letter = ~F.col("by_word") & (flips("one") <= 2 * edits) & (flips("two") <= 4 * edits)
-    by_words = F.col("by_word") & (flips("three") <= 2 * word_edits)
+    # Looked up is what the shorter line files.
+    longer = F.col("other_size") - F.col("size")
+    by_letter = ~F.col("by_word") & longer.between(0, edits) & (flips("one") <= 2 * edits) & (flips("two") <= 4 * edits)
+    by_words = F.col("by_word") & longer.between(0, word_edits) & (flips("three") <= 2 * word_edits)
     near = (F.col("a") != F.col("other_a")) & (F.col("by_word") == F.col("other_by_word")) & (by_letter | by_words)
     filed = spread.filter("filed").drop("filed").withColumnRenamed("key", "filed_key")
     met = filed.join(other, (F.col("filed_key") == F.col("key")) & near)

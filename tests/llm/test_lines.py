@@ -179,3 +179,38 @@ def test_texts_of_very_many_lines(spark):
     out = lines.deduplicate(spark.createDataFrame([(1, text), (2, "end")], "doc_id long, text string"), report=True)
     got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in out.collect()}
     assert got == {1: ("the same line that stands here again\nend", 299_999), 2: ("", 1)}
+
+
+def test_a_line_has_few_keys(spark):
+    line = "a line of forty words stands here " * 6
+    rows = spark.createDataFrame([(1, line[:200]), (2, "é" + line[:200])], "doc_id long, text string")
+    signed = lines._signed(lines._lines(rows, "doc_id", "text", 20), 2, 1)
+    assert max(r["count"] for r in signed.groupBy("a").count().collect()) <= 9
+
+
+def test_near_lines_across_the_sizes_of_segments(spark):
+    rng = random.Random(3)
+    letters, vocabulary = "abcdefgé", ["".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(200)]
+    known = set()
+    for size in (20, 31, 32, 33, 63, 64, 66, 72, 127, 128, 129, 144, 257):
+        for _ in range(3):
+            base = [rng.choice(letters) for _ in range(size)]
+            known.add("".join(base))
+            for _ in range(8):
+                text = list(base)
+                for _ in range(2):
+                    at = rng.randrange(len(text))
+                    text[at : at + rng.randint(0, 1)] = [rng.choice(letters)] * rng.randint(0, 1)
+                known.add("".join(text))
+    for size in (10, 11, 15, 16, 17, 18, 31, 32, 33, 36):
+        base = [rng.choice(vocabulary) for _ in range(size)]
+        known.add(" ".join(base))
+        for at in (0, size // 2 - 1, size // 2, size // 2 + 1, size - 1):
+            known |= {" ".join([*base[:at], *new, *base[at + cut :]]) for new, cut in ((["x" * 9], 1), ([], 1), (["y" * 9], 0))}
+    known = sorted(line for line in known if len(line) >= 20 and line == line.strip(" "))
+    df = spark.createDataFrame(list(enumerate(known)), "doc_id long, text string").repartition(3)
+    names = lines._lines(df, "doc_id", "text").select("id", "a")
+    found = lines.links(df).join(names.toDF("x", "a"), "a").join(names.toDF("y", "other"), "other")
+    got = {tuple(sorted((known[r["x"]], known[r["y"]]))) for r in found.collect()}
+    pairs = ((a, b) for k, a in enumerate(known) for b in known[k + 1 :] if abs(len(a) - len(b)) < 12)
+    assert got == {(a, b) for a, b in pairs if near(a, b, 2) or near_words(a, b)}
