@@ -31,19 +31,35 @@ def fact(resolved: DataFrame) -> DataFrame:
 
 
 def salary_totals(facts: DataFrame) -> DataFrame:
-    """Payroll and benefits by the month they were earned in."""
+    """Payroll and benefits by the month they were earned in.
+
+    Other rows add nothing, and what holds no others goes after the sums. A filter before them would be repeated into
+    every statement with the whole chain that finds a category, which is more than Spark compiles. Sums by payer come
+    first, as the greatest text of a group needs its rows sorted.
+    """
     payroll = F.col("category_id") == book.PAYROLL
     benefit = F.col("category_id") == book.BENEFIT
     amount = F.col("personal_amount")
-    return (
-        facts.filter(F.col("category_id").isin(*SALARY_PAY))
-        .groupBy(accrual_month(F.col("value_date"), F.col("category_id"), SALARY_PAY).alias("accrual_date"))
+
+    def earned(of_payroll: Column, of_benefit: Column) -> Column:
+        return F.sum(F.when(payroll, of_payroll).when(benefit, of_benefit)).cast(TOTAL)
+
+    by_payer = (
+        facts.groupBy(
+            accrual_month(F.col("value_date"), F.col("category_id"), SALARY_PAY).alias("accrual_date"),
+            F.when(payroll, F.col("merchant")).alias("_payer"),
+        )
         .agg(
-            F.coalesce(F.max(F.when(payroll, F.col("merchant"))), F.lit(book.BENEFIT_PAYER)).alias("empresa"),
-            total(amount, payroll).alias("importe_nomina"),
-            total(amount, benefit).alias("importe_prestacion"),
-            total(amount).alias("importe_total"),
+            earned(amount, zero()).alias("importe_nomina"),
+            earned(zero(), amount).alias("importe_prestacion"),
+            earned(amount, amount).alias("importe_total"),
+            F.count(F.when(payroll | benefit, True)).alias("_paid"),
         )
+        .filter("_paid > 0")
+    )
+    return by_payer.groupBy("accrual_date").agg(
+        F.coalesce(F.max("_payer"), F.lit(book.BENEFIT_PAYER)).alias("empresa"),
+        *(total(F.col(c)).alias(c) for c in ("importe_nomina", "importe_prestacion", "importe_total")),
     )
 
 

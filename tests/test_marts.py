@@ -1,12 +1,15 @@
 """Calendar, facts and monthly marts."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
+from ledgerwell.config import Limits
 from ledgerwell.operators import aggregate as ag
 from ledgerwell.operators import timeline as tl
+from ledgerwell.plans.warehouse import Warehouse
 from ledgerwell.schemas import FACT_COLUMNS
 
 FACT = (
@@ -78,6 +81,28 @@ def test_salaries(spark):
     ]
 
 
+def test_salary_totals_leave_other_rows_and_their_months_out(spark):
+    day = lambda m, d: dt.date(2024, m, d)
+    rows = [
+        (None, day(5, 20), "ING_NOMINA", None, None, "Acme", None, None, True, False),
+        (None, day(6, 20), "ING_NOMINA", None, None, None, None, D(3), True, False),
+        (None, day(6, 20), "ING_NOMINA", None, None, "Acme", None, D(4), True, False),
+        (None, day(7, 1), "ING_PRESTACIONES", None, None, "Ignored", None, D(2), True, False),
+        (None, day(6, 20), None, None, None, "Zeta", None, D(9), True, False),
+        (None, day(8, 20), "VAR_OTROS", None, None, "Zeta", None, D(9), True, False),
+        (None, None, "VAR_OTROS", None, None, "Zeta", None, D(9), True, False),
+    ]
+    got = {tuple(r) for r in ag.salary_totals(spark.createDataFrame(rows, FACT)).collect()}
+    assert got == {(month(5), "Acme", None, D("0.00"), None), (month(6), "Acme", D("7.00"), D("2.00"), D("9.00"))}
+
+
+def test_salaries_do_not_repeat_the_category_chain_in_every_statement(spark, warehouse, cfg):
+    # As many adjustments as are joined by a shuffle; the rules are still tried in order.
+    large = Warehouse(spark, warehouse.inputs, replace(cfg, limits=Limits(broadcast_rows=100)))
+    plan = ag.salary_totals(large.fct_transactions())._jdf.queryExecution().optimizedPlan().toString()
+    assert max(len(line) for line in plan.splitlines() if "Filter " in line) < 2_000
+
+
 def test_balances(spark):
     accounts = spark.createDataFrame(
         [("A", "one", "t"), ("A", "two", "t"), ("A", "two", "t"), ("B", "b", "t")],
