@@ -15,6 +15,8 @@ NULL_PARTS = 4096
 #: Words of 64 bits in a filter of keys, which bound its broadcast, and the bits that a key sets in its word.
 FILTER_WORDS = 1 << 20
 FILTER_BITS = 3
+#: Over so many slots, least and most, every key is dealt out if the keys are not counted.
+EVEN_PARTS = 256, 1024
 
 
 @dataclass(frozen=True)
@@ -103,11 +105,30 @@ def spread_left_join(left: DataFrame, right: DataFrame, key: str, limits: Limits
     return dealt.join(copy_to_slots(right, key, hot, limits), [key, "_slot"], "left").drop("_slot")
 
 
+def even_parts(right: Size, limits: Limits) -> int | None:
+    """Slots for every key of a short right side, whose copies then stay few; None where there is no room for enough."""
+    least, most = EVEN_PARTS
+    parts = min(most, limits.hot_keys // max(right.rows, 1), limits.broadcast_bytes // max(right.bytes, 1))
+    return parts if parts >= least else None
+
+
+def even_left_join(left: DataFrame, right: DataFrame, key: str, parts: int) -> DataFrame:
+    """Shuffled left join in which every key is dealt out over several copies of a short right side.
+
+    No key is counted, so the left rows are computed once.
+    """
+    dealt = left.withColumn("_slot", F.pmod(F.xxhash64(*left.columns), F.lit(parts)).cast("int"))
+    slots = F.sequence(F.lit(0), F.lit(parts - 1))
+    copies = right.filter(F.col(key).isNotNull()).withColumn("_slot", F.explode(slots))
+    return dealt.join(copies, [key, "_slot"], "left").drop("_slot")
+
+
 def lookup(left: DataFrame, right: Dimension, key: str, limits: Limits) -> DataFrame:
     """Left join of many rows to a table with few rows per key; the left rows move once at most."""
     if right.size.within(limits):
         return left.join(F.broadcast(right.df), key, "left")
-    return spread_left_join(left, right.df, key, limits)
+    parts = even_parts(right.size, limits)
+    return even_left_join(left, right.df, key, parts) if parts else spread_left_join(left, right.df, key, limits)
 
 
 def _word(key: Column) -> Column:
@@ -126,16 +147,22 @@ def key_filter(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys.groupBy(_word(F.col("_key")).alias("_word")).agg(bits))
 
 
+def marked(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Whether the key of each row may be in a filter (``_listed``); it surely is not where this is false."""
+    hashed = F.xxhash64(key)
+    met = df.withColumns({"_word": _word(hashed), "_mask": _mask(hashed)}).join(keys, "_word", "left")
+    listed = F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
+    return met.select(*df.columns, listed.alias("_listed"))
+
+
 def parted(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows whose key is surely not in a filter, and those that may be; neither moves.
 
     A key that shares its bits with others is among the second without cause, so what is done there has to hold for
     any row.
     """
-    hashed = F.xxhash64(key)
-    marked = df.withColumns({"_word": _word(hashed), "_mask": _mask(hashed)}).join(keys, "_word", "left")
-    listed = F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
-    return marked.filter(~listed).select(*df.columns), marked.filter(listed).select(*df.columns)
+    met = marked(df, key, keys)
+    return met.filter(~F.col("_listed")).drop("_listed"), met.filter("_listed").drop("_listed")
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:

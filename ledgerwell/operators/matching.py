@@ -27,8 +27,8 @@ from ledgerwell.operators.joins import (
     counted,
     expanded,
     grid_join,
+    marked,
     measure,
-    parted,
     repeated_keys,
     spread_left_join,
 )
@@ -200,14 +200,15 @@ def match_keywords(
     cfg: LedgerConfig,
     way: str | None = None,
     texts: Texts | None = None,
+    picking: DataFrame | None = None,
 ) -> tuple[DataFrame, bool]:
     """Rows with candidate entries, the best by ``order`` among them; NULL entry where nothing matches.
 
     ``way`` chooses among the ways that the sizes of the dictionary and of the distinct ``texts`` allow. Also tells
-    whether each row carries its best entry only.
+    whether each row carries its best entry only; then ``picking``, the rows with columns of the caller, stands for them.
     """
     limits, profile = cfg.limits, profile_of(dictionary)
-    texts = texts or Texts(rows, "description")
+    texts, picking = texts or Texts(rows, "description"), rows if picking is None else picking
     chosen = choose_match(profile.size, limits)
     way = chosen if way is None and chosen != "grams" else way or "coded"
     if chosen == "shuffled":
@@ -216,12 +217,13 @@ def match_keywords(
         way = "grams"
     if way == "coded":
         best = match_texts(texts, dictionary, profile, order, cfg)
-        return rows.join(F.broadcast(best), texts.column, "left"), True
+        return picking.join(F.broadcast(best), texts.column, "left"), True
     if way == "shuffled":
-        return match_shuffled(rows, texts, dictionary, profile, order, cfg), True
-    rows = rows.withColumn(TEXT, normalise(F.col(texts.column), cfg.fold_accents))
+        return match_shuffled(picking, texts, dictionary, profile, order, cfg), True
+    text = normalise(F.col(texts.column), cfg.fold_accents)
     if way == "nested" and profile.size.rows <= limits.nested_loop_keywords:
-        return match_in_order(rows, dictionary, order).drop(TEXT), True
+        return match_in_order(picking.withColumn(TEXT, text), dictionary, order).drop(TEXT), True
+    rows = rows.withColumn(TEXT, text)
     found = match_nested(rows, dictionary) if way == "nested" else match_grams(rows, dictionary, profile)
     return found.drop(TEXT), False
 
@@ -247,7 +249,9 @@ def attach_participant(
         F.col("participant_name").asc_nulls_last(),
     ]
     people = _collapsed(people, "_keyword", best, cfg)
-    found, picked = match_keywords(rows, people, best, cfg, way, texts)
+    # Told before the match, so that those with copies are matched alone for the pick among them.
+    told = marked(rows, "source_hash", repeated_keys(rows, "source_hash"))
+    found, picked = match_keywords(rows, people, best, cfg, way, texts, told)
     found = found.drop(KEYWORD)
     copies = ["account_id", "source_row_id"]
     copies += [c for c in UNIFIED_COLUMNS if c in rows.columns and c not in (*copies, "source_hash")]
@@ -255,8 +259,8 @@ def attach_participant(
     order = [*best, *(F.col(c).asc_nulls_last() for c in copies)]
     if not picked:
         return first_by(found, ["source_hash"], order).drop("_keyword")
-    single, copied = parted(found, "source_hash", repeated_keys(rows, "source_hash"))
-    return single.unionByName(first_by(copied, ["source_hash"], order)).drop("_keyword")
+    single, copied = found.filter(~F.col("_listed")), first_by(found.filter("_listed"), ["source_hash"], order)
+    return single.unionByName(copied).drop("_keyword", "_listed")
 
 
 def attach_rule(

@@ -1,6 +1,8 @@
 """Physical plans: what must and must not happen to the transactions."""
 
 import re
+from collections import Counter
+from dataclasses import replace
 
 import pytest
 
@@ -77,6 +79,20 @@ def test_the_left_side_of_a_large_join_moves_once(spark, join):
     assert len([x for x in moved if "_slot" in x]) == 2 and not any("wide" in x for x in moved)
 
 
+def test_a_lookup_in_a_short_table_computes_the_left_rows_once(spark, tmp_path):
+    """Every key is dealt out without counts, the rows as they were; a long table is looked up as before."""
+    rows = [(f"k{n % 5}" if n % 7 else None, n // 3) for n in range(200)]
+    spark.createDataFrame(rows, "k string, n int").write.parquet(str(tmp_path / "left"))
+    left = spark.read.parquet(str(tmp_path / "left"))
+    table = spark.createDataFrame([(f"k{n % 4}", n) for n in range(6)] + [(None, 9)], "k string, v int")
+    limits = Limits(broadcast_rows=0, hot_key_rows=3)
+    out = lookup(left, Dimension(table), "k", limits)
+    assert plan(out).count("Scan parquet") == 1 and out.columns == ["k", "n", "v"]
+    assert Counter(map(tuple, out.collect())) == Counter(map(tuple, left.join(table, "k", "left").collect()))
+    few = replace(limits, hot_keys=100)
+    assert plan(lookup(left, Dimension(table), "k", few)).count("Scan parquet") > 1
+
+
 def test_marts_combine_before_the_shuffle(warehouse):
     assert "partial_sum" in plan(warehouse.fct_monthly_pnl())
     assert "partial_sum" in plan(warehouse.fct_monthly_balances())
