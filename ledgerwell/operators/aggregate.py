@@ -46,7 +46,7 @@ def salary_totals(facts: DataFrame) -> DataFrame:
 
     by_payer = (
         facts.groupBy(
-            accrual_month(F.col("value_date"), F.col("category_id"), SALARY_PAY).alias("accrual_date"),
+            accrual_month(F.col("value_date"), F.col("category_id"), SALARY_PAY).alias("_month"),
             F.when(payroll, F.col("merchant")).alias("_payer"),
         )
         .agg(
@@ -57,10 +57,13 @@ def salary_totals(facts: DataFrame) -> DataFrame:
         )
         .filter("_paid > 0")
     )
-    return by_payer.groupBy("accrual_date").agg(
+    # As an aggregate the month keeps what a join infers about it above the sums as well.
+    by_month = by_payer.groupBy("_month").agg(
+        F.max("_month").alias("accrual_date"),
         F.coalesce(F.max("_payer"), F.lit(book.BENEFIT_PAYER)).alias("empresa"),
         *(total(F.col(c)).alias(c) for c in ("importe_nomina", "importe_prestacion", "importe_total")),
     )
+    return by_month.drop("_month")
 
 
 def salaries_by_month(months: DataFrame, totals: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime as dt
 from dataclasses import replace
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerwell.config import Limits
@@ -96,10 +97,12 @@ def test_salary_totals_leave_other_rows_and_their_months_out(spark):
     assert got == {(month(5), "Acme", None, D("0.00"), None), (month(6), "Acme", D("7.00"), D("2.00"), D("9.00"))}
 
 
-def test_salaries_do_not_repeat_the_category_chain_in_every_statement(spark, warehouse, cfg):
+@pytest.mark.parametrize("mart", ["totals", "monthly"])
+def test_salaries_do_not_repeat_the_category_chain_in_every_statement(spark, warehouse, cfg, mart):
     # As many adjustments as are joined by a shuffle; the rules are still tried in order.
     large = Warehouse(spark, warehouse.inputs, replace(cfg, limits=Limits(broadcast_rows=100)))
-    plan = ag.salary_totals(large.fct_transactions())._jdf.queryExecution().optimizedPlan().toString()
+    found = ag.salary_totals(large.fct_transactions()) if mart == "totals" else large.fct_salaries_monthly()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert max(len(line) for line in plan.splitlines() if "Filter " in line) < 2_000
 
 
