@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerwell.config import Limits
 from ledgerwell.operators import matching as m
 from ledgerwell.operators.joins import FILTER_WORDS, Dimension, fan_out, key_filter, parted, repeated_keys
+from ledgerwell.sources import sinks
 from ledgerwell.sources.sinks import read_table, replace_table
 
 ROW = "source_hash string, account_id string, source_row_id bigint, description string"
@@ -66,3 +67,14 @@ def test_written_hashes_are_compressed(spark, tmp_path):
     files = [f for f in (tmp_path / "t").rglob("*.parquet")]
     assert sum(f.stat().st_size for f in files) < 20_000 * 50
     assert read_table(spark, str(tmp_path / "t")).exceptAll(rows).isEmpty()
+
+
+def test_hashes_travel_as_bytes_to_their_partition(spark, tmp_path):
+    digits = F.sha2(F.col("id").cast("string"), 256)
+    odd = "CASE id WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'ABCD' WHEN 3 THEN 'abc' WHEN 4 THEN 'xyz é' WHEN 5 THEN '00ff' END"
+    rows = spark.range(2_000).select("id", F.when(F.col("id") < 6, F.expr(odd)).otherwise(digits).alias("source_hash"), F.expr("id % 3 AS p"))
+    moved = sinks._gathered(rows, "p")
+    assert "unhex(source_hash" in plan(moved).split("Exchange", 1)[1]
+    assert moved.schema.names == rows.columns and Counter(map(tuple, moved.collect())) == Counter(map(tuple, rows.collect()))
+    replace_table(rows, str(tmp_path / "t"), "p")
+    assert Counter(map(tuple, read_table(spark, str(tmp_path / "t"), rows.columns).collect())) == Counter(map(tuple, rows.collect()))
